@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .shared import fresh_path, table
+from .simhash import near_duplicates
 from .token_counts import with_token_counts
 from .token_files import read_checksums, write_token_files
 from .tokenizing import tokenizer_path
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_token_counts(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
@@ -21,5 +26,5 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_checksums(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op5_token_files)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_token_counts, op5_token_files)}
 ORACLE_SQL: dict[str, str] = {}
