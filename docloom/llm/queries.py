@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .quality import classify
 from .shared import fresh_path, table
 from .simhash import near_duplicates
 from .token_counts import with_token_counts
@@ -11,6 +12,10 @@ from .token_files import read_checksums, write_token_files
 from .tokenizing import tokenizer_path
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,5 +31,5 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_checksums(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_token_counts, op5_token_files)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files)}
 ORACLE_SQL: dict[str, str] = {}
