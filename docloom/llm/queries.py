@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import identify
 from .quality import classify
 from .shared import fresh_path, table
 from .simhash import near_duplicates
@@ -31,5 +32,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_checksums(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files)}
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id)}
 ORACLE_SQL: dict[str, str] = {}
