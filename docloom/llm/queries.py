@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .language import identify
+from .packing import pack
 from .quality import classify
 from .shared import fresh_path, table
 from .simhash import near_duplicates
@@ -36,5 +37,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id)}
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {}
