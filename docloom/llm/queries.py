@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import secrets
 from .language import identify
 from .packing import pack
 from .quality import classify
@@ -37,9 +38,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("all_spans")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id, op10_best_fit_packing)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id, op8_secret_scans, op10_best_fit_packing)}
+ORACLE_SQL: dict[str, str] = {"op8_secret_scans": secrets.oracle_sql()}
