@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import embeddings, secrets
 from .language import identify
 from .packing import pack
 from .quality import classify
@@ -42,9 +42,13 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("all_spans")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id, op8_secret_scans, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {"op8_secret_scans": secrets.oracle_sql()}
