@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import embeddings, secrets
+from .decontamination import find_leaks
 from .language import identify
 from .packing import pack
 from .quality import classify
@@ -28,6 +29,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_token_counts(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"), end_id=2)
@@ -50,5 +55,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op5_token_files, op6_language_id, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op4_benchmark_decontamination, op5_token_files, op6_language_id, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {"op8_secret_scans": secrets.oracle_sql()}
