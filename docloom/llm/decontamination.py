@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import cut
+
 WORD = re.compile(r"\w+")
 #: Walks, and steps sampled of each. At a similarity of 0.8 the tests measure a recall above 0.95 for them.
 WALKS, SAMPLED = 12, 3
@@ -268,4 +270,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """docs without those that hold a passage of the benchmark; rows with a null doc_id stay."""
     bad = find_leaks(docs, benchmark, doc_id=doc_id, **options).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(bad, doc_id, "left_anti")
+    return docs.join(cut(bad, "leaks"), doc_id, "left_anti")  # written first: its size tells Spark whether to broadcast it

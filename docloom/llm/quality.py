@@ -159,6 +159,27 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", max_rows: int = 20_000) -> Trees | None:
+    """train(), with statistics of the sampled documents alone; ids are matched before texts are read."""
+    ids = docs.select(F.col(doc_id).alias("doc_id")).distinct()
+    sample = labels.where("quality in (0, 1)").select("doc_id").where(~held_out()).distinct().join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id", "left_semi")  # max_rows ids at most
+    return train(with_statistics(chosen), labels, max_rows)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3, max_rows: int = 20_000) -> DataFrame:
+    """The rows of docs, all columns, whose score is at least threshold; no shuffle of texts. Without a usable label all stay."""
+    trees = train_on(docs, labels, doc_id, text, max_rows)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        if trees is None or not len(texts):
+            return pd.Series(np.full(len(texts), 0.5))
+        return pd.Series(trees.score(np.array([statistics(t) for t in texts], np.float32).astype(float)))
+
+    return docs.where(scored(F.col(text)) >= threshold)
+
+
 def is_held_out(doc_id) -> bool:
     """held_out() for one value, for tests."""
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0

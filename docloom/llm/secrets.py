@@ -60,15 +60,18 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
 
 
-def find_spans(docs: DataFrame, doc_id: str, text: str, owner: str) -> DataFrame:
-    """(uid, doc_id, owner, base, extra): spans of the base kinds, and mixed tokens that touch none of them."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    base = F.concat(
+def _base(body: Column) -> Column:
+    return F.concat(
         _spans(body, ASSIGN, 0, _assigned, lambda m: F.length(_assigned(m)) >= 12),
         _spans(body, ACCESS, 1, lambda m: m, lambda m: F.length(m) >= 18),
         _spans(body, HEX, 2, lambda m: m, lambda m: F.lit(True)),
     )
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), F.col(owner).cast("string").alias("owner"), base.alias("base"), _spans(body, OWNED, 3, lambda m: m, _mixed).alias("extra"))
+
+
+def find_spans(docs: DataFrame, doc_id: str, text: str, owner: str) -> DataFrame:
+    """(uid, doc_id, owner, base, extra): spans of the base kinds, and mixed tokens that touch none of them."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), F.col(owner).cast("string").alias("owner"), _base(body).alias("base"), _spans(body, OWNED, 3, lambda m: m, _mixed).alias("extra"))
     apart = F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
     return rows.withColumn("extra", apart)
 
@@ -122,6 +125,18 @@ def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
     return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
 
 
+def without_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", mask: str = "[secret]") -> DataFrame:
+    """docs, all columns and rows, with every span of scan() replaced by mask; texts without one are unchanged.
+
+    doc_ids should be distinct; rows that share one get the spans of the row itself where it has a null doc_id, base
+    kinds only, and else those of any of them.
+    """
+    spans = scan(docs, doc_id, text, owner).where("doc_id is not null and size(all_spans) > 0").select(F.col("doc_id").alias(doc_id), "all_spans").dropDuplicates([doc_id])
+    joined = docs.join(cut(spans, "spans"), doc_id, "left")
+    own = F.when(F.col(doc_id).isNull(), _base(F.coalesce(F.col(text), F.lit("")))).otherwise(F.col("all_spans"))
+    return joined.withColumn(text, F.when(F.size(own) > 0, redact(F.col(text), own, mask)).otherwise(F.col(text))).select(docs.columns)
+
+
 def _duck_spans(kind: int, pattern: str, value: str, keep: str) -> str:
     parts = f"string_split(regexp_replace(translate(body, chr(65535), chr(65534)), '{pattern}', chr(65535) || '\\0' || chr(65535), 'g'), chr(65535))"
     return f"""(select doc_id, src, s.start as start, {kind} as kind, s.stop as stop, md5(s.v) as hash from (

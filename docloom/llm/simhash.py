@@ -102,3 +102,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     roots = components(near_pairs(prints, max_bits), "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
     groups = prints.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     return rows.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs, all columns, that stand for their group: those with the smallest doc_id; a repeated doc_id stays
+    once. Rows with a null doc_id stay."""
+    groups = near_duplicates(docs, doc_id, text, **options)
+    gone = cut(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct(), "copies")
+    named = docs.where(F.col(doc_id).isNotNull()).join(gone, doc_id, "left_anti").dropDuplicates([doc_id])
+    return named.select(docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))
