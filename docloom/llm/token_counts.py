@@ -12,19 +12,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tokenizing import CACHE_ENTRIES, Words
+from .tokenizing import CACHE_ENTRIES, Words, byte_letters
 
 # Fixed value: how byte-level vocabularies split a text, but for white space, which is split off before.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+")
 
 
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte in byte-level vocabularies: itself where it prints, else the next one from 256."""
-    prints = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in prints else chr(next(spare)) for b in range(256)]
-
-
 def merges_done(symbols: list[str], rank: dict[tuple[str, str], int]) -> int:
     """How many merges byte-pair encoding makes: pops the pair of lowest rank (leftmost on ties) until none is left.
 

@@ -8,12 +8,12 @@ word is encoded only the first time a worker meets it. The cache is bounded; a w
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Callable
 from functools import lru_cache, reduce
 from operator import add
 
-import numpy as np
-
 # White space as the tokenizers' \s has it, and ASCII marks but the apostrophe, which may begin a piece.
 SPACE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -92,6 +92,20 @@ class Words(dict):
             return [self.by_chunks(text)]
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in these vocabularies: itself where it prints, else the next one from 256."""
+    prints = {*range(ord("!"), ord("~") + 1), *range(ord("\u00a1"), ord("\u00ac") + 1), *range(ord("\u00ae"), ord("\u00ff") + 1)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(spare)) for b in range(256)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class TextEncoder:
     """Gives the ids that the library's encode(text, add_special_tokens=False) gives, as little-endian uint32."""
 
@@ -100,10 +114,24 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = Words(self._library, b"", self.tokenizer.normalizer is None, room)
+        self.letters = dict(enumerate(byte_letters()))
+        self.words = Words(self._chunk, b"", self.tokenizer.normalizer is None, room)
 
     def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk. A word of letters is one piece, which goes to the library's model as it stands."""
+        word = chunk.lstrip(" ")
+        if word.isalpha() and len(chunk) - len(word) < 2:
+            if self.words.byte_level:
+                piece = chunk if chunk.isascii() else chunk.encode().decode("latin-1")
+                return _packed([t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))])
+            if max(word) < "\u0250":  # no character of these is composed with another
+                piece = word.lower()
+                piece = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+                return _packed([t.id for t in self.tokenizer.model.tokenize(piece)])
+        return self._library(chunk)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
