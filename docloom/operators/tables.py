@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLANK = F.lit("")
 NUMERIC = r"^\d+$"
 DATE = r"^(\d{1,2}[/-]\d{1,2}[/-]\d{2,4}|\d{4}[/-]\d{1,2}[/-]\d{1,2})$"
 CURRENCY = r"^[$€£¥]\s?[\d,]+(\.\d+)?$"
@@ -47,15 +46,15 @@ def consistency(cells: DataFrame, table: list[str]) -> DataFrame:
 
 def purity_penalty(cells: DataFrame, table: list[str]) -> DataFrame:
     """0.8 for tables of three rows and more where a mostly numeric column holds something else that isn't blank, else 1."""
-    blank = F.trim(F.coalesce(F.col("text"), BLANK)) == ""
-    columns = cells.groupBy(*table, "col_id").agg(F.count("*").alias("n"), F.count_if(is_numeric(F.col("text"))).alias("numbers"), F.count_if(~is_numeric(F.coalesce(F.col("text"), BLANK)) & ~blank).alias("others"))
+    blank = F.trim(F.coalesce(F.col("text"), F.lit(""))) == ""
+    columns = cells.groupBy(*table, "col_id").agg(F.count("*").alias("n"), F.count_if(is_numeric(F.col("text"))).alias("numbers"), F.count_if(~is_numeric(F.coalesce(F.col("text"), F.lit(""))) & ~blank).alias("others"))
     mixed = (F.col("n") >= 3) & (F.col("numbers") > 0.5 * F.col("n")) & (F.col("others") > 0)
     return columns.groupBy(*table).agg(F.when(F.max(mixed), 0.8).otherwise(1.0).alias("purity"))
 
 
 def column_types(cells: DataFrame, table: list[str]) -> DataFrame:
     """numeric, date or currency where more than 70 % of a column's filled cells are; else text, or empty."""
-    t = F.trim(F.coalesce(F.col("text"), BLANK))
+    t = F.trim(F.coalesce(F.col("text"), F.lit("")))
     each = cells.withColumn("kind", F.when(t == "", "empty").when(is_numeric(t), "numeric").when(t.rlike(DATE), "date").when(t.rlike(CURRENCY), "currency").otherwise("text"))
     n = F.count_if(F.col("kind") != "empty")
     most = lambda k: F.count_if(F.col("kind") == k) > 0.7 * n
@@ -64,7 +63,7 @@ def column_types(cells: DataFrame, table: list[str]) -> DataFrame:
 
 def structure_score(cells: DataFrame, table: list[str]) -> DataFrame:
     """Mean of 1 / (1 + variance of row widths) and the share of filled cells."""
-    rows = cells.groupBy(*table, "row_id").agg(F.count("*").alias("wide"), F.count_if(F.trim(F.coalesce(F.col("text"), BLANK)) != "").alias("filled"))
+    rows = cells.groupBy(*table, "row_id").agg(F.count("*").alias("wide"), F.count_if(F.trim(F.coalesce(F.col("text"), F.lit(""))) != "").alias("filled"))
     return rows.groupBy(*table).agg(((1 / (1 + F.var_pop("wide")) + F.sum("filled") / F.sum("wide")) / 2).alias("structure"))
 
 
@@ -87,7 +86,7 @@ def split_stacked_rows(cells: DataFrame, table: list[str]) -> DataFrame:
 
     A row is a stack if it has several cells, each of as many lines, more than one. New rows are numbered on.
     """
-    lines = cells.withColumn("lines", F.split(F.coalesce("text", BLANK), "\n"))
+    lines = cells.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     per_row = lines.groupBy(*table, "row_id").agg(F.count("*").alias("n"), F.min(F.size("lines")).alias("least"), F.max(F.size("lines")).alias("most"))
     per_row = per_row.withColumn("stack", (F.col("n") > 1) & (F.col("least") == F.col("most")) & (F.col("most") > 1))
     whole = Window.partitionBy(*table)
@@ -101,18 +100,18 @@ def split_stacked_rows(cells: DataFrame, table: list[str]) -> DataFrame:
 
 def merge_dollar_columns(cells: DataFrame, table: list[str]) -> DataFrame:
     """A column that holds only blanks and dollar signs, two cells or more, goes into the next column of the same rows."""
-    columns = cells.groupBy(*table, "col_id").agg(F.count("*").alias("n"), F.min(F.trim(F.coalesce("text", BLANK)).isin("", "$")).alias("signs"), F.max(F.trim(F.coalesce("text", BLANK)) == "$").alias("any"), F.array_sort(F.collect_set("row_id")).alias("row_ids"))
+    columns = cells.groupBy(*table, "col_id").agg(F.count("*").alias("n"), F.min(F.trim(F.coalesce("text", F.lit(""))).isin("", "$")).alias("signs"), F.max(F.trim(F.coalesce("text", F.lit(""))) == "$").alias("any"), F.array_sort(F.collect_set("row_id")).alias("row_ids"))
     w = Window.partitionBy(*table).orderBy("col_id")
     gone = F.col("signs") & F.col("any") & (F.col("n") > 1) & (F.lead("row_ids").over(w) == F.col("row_ids"))
     columns = columns.withColumns({"gone": F.coalesce(gone, F.lit(False)), "next": F.lead("col_id").over(w)})
     marked = cells.join(columns.select(*table, "col_id", "gone", "next"), [*table, "col_id"])
     signs = marked.where("gone").select(*table, "row_id", F.col("next").alias("col_id"), F.trim("text").alias("sign"))
-    return marked.where("not gone").drop("gone", "next").join(signs, [*table, "row_id", "col_id"], "left").withColumn("text", F.concat(F.coalesce("sign", BLANK), F.coalesce("text", BLANK))).select(*cells.columns)
+    return marked.where("not gone").drop("gone", "next").join(signs, [*table, "row_id", "col_id"], "left").withColumn("text", F.concat(F.coalesce("sign", F.lit("")), F.coalesce("text", F.lit("")))).select(*cells.columns)
 
 
 def to_html(cells: DataFrame, table: list[str]) -> DataFrame:
     """(table columns, html): rows in order, header cells where is_header is set."""
-    escape = F.replace(F.replace(F.replace(F.coalesce("text", BLANK), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    escape = F.replace(F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     tag = F.when(F.coalesce("is_header", F.lit(False)), "th").otherwise("td") if "is_header" in cells.columns else F.lit("td")
     one = cells.select(*table, "row_id", F.struct("col_id", F.concat(F.lit("<"), tag, F.lit(">"), escape, F.lit("</"), tag, F.lit(">")).alias("h")).alias("c"))
     rows = one.groupBy(*table, "row_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["h"]), "").alias("h"))
@@ -122,7 +121,7 @@ def to_html(cells: DataFrame, table: list[str]) -> DataFrame:
 
 def to_csv(cells: DataFrame, table: list[str]) -> DataFrame:
     quoted = lambda t: F.when(t.rlike('[",\n]'), F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(t)
-    rows = rows_of(cells, table).withColumn("line", F.array_join(F.transform("cells", lambda t: quoted(F.coalesce(t, BLANK))), ","))
+    rows = rows_of(cells, table).withColumn("line", F.array_join(F.transform("cells", lambda t: quoted(F.coalesce(t, F.lit("")))), ","))
     return rows.groupBy(*table).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "line"))), lambda r: r["line"]), "\n").alias("csv"))
 
 
@@ -163,7 +162,7 @@ def append(tables: list[DataFrame]) -> DataFrame:
 
 def whitespace_patterns(cells: DataFrame, table: list[str]) -> DataFrame:
     """Per table: mean leading and trailing spaces and inner double spaces of cell lines, and whether at most two indents occur."""
-    lines = cells.select(*table, F.explode(F.split(F.coalesce("text", BLANK), "\n")).alias("line"))
+    lines = cells.select(*table, F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
     lead, trail = F.length("line") - F.length(F.ltrim("line")), F.length("line") - F.length(F.rtrim("line"))
     return lines.groupBy(*table).agg(F.avg(lead).alias("leading"), F.avg(trail).alias("trailing"), F.avg(F.regexp_count(F.trim("line"), F.lit(" {2,}"))).alias("inner_runs"), (F.count_distinct(lead) <= 2).alias("consistent"))
 

@@ -241,11 +241,11 @@ def graph_edge_integrity(spark, sf_dir):
     return good.withColumn("whole", F.lit(True)).unionByName(bad.withColumn("whole", F.lit(False))).groupBy(*kinds, "whole").agg(F.count("*").alias("n"))
 
 
-@query("""select n_name, c_mktsegment, o_orderpriority, count(*) as n, round(avg(o_totalprice), 2) as mean_price from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+@query("""select n_name, c_mktsegment, o_orderpriority, count(*) as n, sum(round(o_totalprice * 100)::bigint)::bigint as cents from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 group by grouping sets ((n_name), (c_mktsegment), (n_name, o_orderpriority))""")
 def category_rollup(spark, sf_dir):
     j = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return j.groupingSets([["n_name"], ["c_mktsegment"], ["n_name", "o_orderpriority"]], "n_name", "c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
+    return j.groupingSets([["n_name"], ["c_mktsegment"], ["n_name", "o_orderpriority"]], "n_name", "c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
 
 
 @query("""select event_type, count(*) as n, round(avg(value), 6) as mean_value, round(count(*) filter (value > 50) / count(*), 6) as done_share from events where ts >= (select max(ts) - interval 7 day from events) group by event_type""")
