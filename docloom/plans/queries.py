@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import entities, hierarchy, qa, spatial, tables
+from ..operators import chunking, entities, hierarchy, processors, qa, render, rules, scoring, spatial, tables, validators
 from ..sources import html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -385,3 +385,58 @@ def html_containment_edges(spark, sf_dir):
     """contains and follows edges among each page's blocks."""
     b = html.html_blocks(read(spark, sf_dir, "pages")).where("block_type <> 'TableCell'")
     return hierarchy.containment_edges(b, ["page_id"])
+
+
+@query()
+def chunk_packing(spark, sf_dir):
+    """Chunks of every document, at most 500 estimated tokens each."""
+    return chunking.chunk(read(spark, sf_dir, "documents")).select("doc_id", "chunk_no", "n_tokens", F.length("text").alias("n_chars"), "chunk_hash")
+
+
+_TYPES = " ".join(f"when {' or '.join(f'''contains(lower(text), '{w}')''' for w in words)} then '{name}'" for name, words in rules.DOCUMENT_TYPES.items())
+
+
+@query(f"select doc_type, lang, count(*) as n from (select case {_TYPES} else 'general_document' end as doc_type, lang from documents) group by all")
+def doc_type_inference(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select(rules.document_type(F.col("text")).alias("doc_type"), "lang").groupBy("doc_type", "lang").agg(F.count("*").alias("n"))
+
+
+@query(r"""with d as (select trim(text) <> '' as present, length(text) between 200 and 5000 as length_ok, regexp_matches(text, '^(?:\p{Lu})') as capital, lang in ('en', 'fr', 'de') as lang_ok, n_chars between 1 and 100000 as range_ok from documents)
+select rule, count(*) as n, count(*) filter (ok) as n_valid from (select unnest(['present', 'length_ok', 'capital', 'lang_ok', 'range_ok']) as rule, unnest([present, length_ok, capital, lang_ok, range_ok]) as ok from d) group by rule""")
+def validation_report(spark, sf_dir):
+    """How many documents meet each of a set of field rules."""
+    v = validators.RULES
+    t = F.col("text")
+    checks = {"present": v["present"](t), "length_ok": v["length_between"](t, 200, 5000), "capital": v["matches"](t, r"\p{Lu}"), "lang_ok": v["one_of"](F.col("lang"), ["en", "fr", "de"]), "range_ok": v["in_range"](F.col("n_chars"), 1, 100_000)}
+    return validators.report(validators.apply_rules(read(spark, sf_dir, "documents"), checks), list(checks))
+
+
+@query("""with r as (select o_custkey, row_number() over w1 as truth, row_number() over (partition by o_custkey order by o_totalprice, o_orderkey) as found from orders window w1 as (partition by o_custkey order by o_orderkey)),
+n as (select o_custkey, count(*) as n from r group by 1), p as (select a.o_custkey, sum(sign(b.found - a.found)) as s from r a join r b on a.o_custkey = b.o_custkey and a.truth < b.truth group by 1)
+select o_custkey, round(case when n <= 1 then 100.0 else (coalesce(s, 0) / (n * (n - 1) / 2) + 1) / 2 * 100 end, 6) as order_score from n left join p using (o_custkey)""")
+def reading_order_score(spark, sf_dir):
+    """How far each customer's orders by price agree with their order by key."""
+    w = lambda *c: Window.partitionBy("o_custkey").orderBy(*c)
+    ranks = read(spark, sf_dir, "orders").select("o_custkey", F.row_number().over(w("o_orderkey")).alias("truth"), F.row_number().over(w("o_totalprice", "o_orderkey")).alias("found"))
+    return scoring.order_score(ranks, ["o_custkey"]).withColumn("order_score", F.round("order_score", 6))
+
+
+@query()
+def html_page_stats(spark, sf_dir):
+    """Block counts by type for each page, as a sorted text."""
+    b = html.html_blocks(read(spark, sf_dir, "pages")).withColumn("page_no", F.col("page_id"))
+    s = render.page_stats(b.select(F.lit("site").alias("site"), F.col("page_no").alias("page_id"), "block_type"), ["site"])
+    return s.select("page_id", F.to_json("counts").alias("counts"))
+
+
+@query()
+def html_toc(spark, sf_dir):
+    b = html.html_blocks(read(spark, sf_dir, "pages")).where("block_type = 'SectionHeader'").withColumn("doc", F.col("page_id"))
+    return processors.table_of_contents(b, ["doc"]).select(F.col("doc").alias("page_id"), F.size("toc").alias("n_headers"), F.col("toc")[0]["title"].alias("first_title"))
+
+
+@query("""with f as (select conv_id, count(*) as n, count(*) filter (role = 'user') as users, max(length(text)) as longest from conversations group by 1)
+select users, count(*) as n_convs, sum(n)::bigint as turns, max(longest)::int as longest from f group by users""")
+def conversation_shape(spark, sf_dir):
+    c = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"), F.count_if(F.col("role") == "user").alias("users"), F.max(F.length("text")).alias("longest"))
+    return c.groupBy("users").agg(F.count("*").alias("n_convs"), F.sum("n").alias("turns"), F.max("longest").alias("longest"))
