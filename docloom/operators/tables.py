@@ -125,13 +125,6 @@ def to_csv(cells: DataFrame, table: list[str]) -> DataFrame:
     return rows.groupBy(*table).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "line"))), lambda r: r["line"]), "\n").alias("csv"))
 
 
-def merge_score(same_columns: Column, content_ratio: Column, rows_ratio: Column, header_ratio: Column, first_last_ratio: Column, near: Column, overlap: Column) -> Column:
-    """Weighted evidence, 0 to 1, that two tables are parts of one: structure 0.4, content 0.3, position 0.3."""
-    structure = 0.7 * same_columns.cast("double") + 0.3 * rows_ratio
-    content = 0.5 * header_ratio + 0.3 * content_ratio + 0.2 * (1 - first_last_ratio)
-    return 0.4 * structure + 0.3 * content + 0.3 * (0.5 * near + 0.5 * overlap)
-
-
 def runs(tables: DataFrame, doc: list[str], order: str = "table_ord") -> DataFrame:
     """tables with run: consecutive tables of one document that go on over a page break, beside or below each other share a number.
 
