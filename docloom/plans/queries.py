@@ -440,3 +440,77 @@ select users, count(*) as n_convs, sum(n)::bigint as turns, max(longest)::int as
 def conversation_shape(spark, sf_dir):
     c = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"), F.count_if(F.col("role") == "user").alias("users"), F.max(F.length("text")).alias("longest"))
     return c.groupBy("users").agg(F.count("*").alias("n_convs"), F.sum("n").alias("turns"), F.max("longest").alias("longest"))
+
+
+@query(f"""with bx as ({_BOXES}), p as (select a.id as a_id, b.id as b_id, a.x0 as ax0, a.y0 as ay0, a.x1 as ax1, a.y1 as ay1, b.* from bx a join bx b on a.page_id = b.page_id and (a.id // 40) % 10 = 1 and (b.id // 40) % 10 = 2)
+select a_id, b_id, greatest(0, least(ax1, x1) - greatest(ax0, x0))::double as over_x, greatest(0, least(ay1, y1) - greatest(ay0, y0))::double as over_y,
+ round(sqrt(pow(greatest(0, x0 - ax1, ax0 - x1), 2) + pow(greatest(0, y0 - ay1, ay0 - y1), 2)), 6) as gap, round(sqrt(pow((ax0 + ax1 - x0 - x1) / 2, 2) + pow((ay0 + ay1 - y0 - y1) / 2, 2)), 6) as centers, round(sqrt(pow(ax0 - x0, 2) + pow(ay0 - y0, 2)), 6) as corners from p""")
+def geometry_measures(spark, sf_dir):
+    """Overlaps and distances of pairs of boxes on a page."""
+    b = _boxes(spark, sf_dir)
+    p = b.where("(id div 40) % 10 = 1").select("page_id", F.col("id").alias("a_id"), F.col("box").alias("a")).join(b.where("(id div 40) % 10 = 2").select("page_id", F.col("id").alias("b_id"), F.col("box").alias("b")), "page_id")
+    x, y = F.col("a"), F.col("b")
+    return p.select("a_id", "b_id", g.overlap_x(x, y).alias("over_x"), g.overlap_y(x, y).alias("over_y"), F.round(g.gap(x, y), 6).alias("gap"), F.round(g.center_distance(x, y), 6).alias("centers"), F.round(g.corner_distance(x, y), 6).alias("corners"))
+
+
+@query(f"""with bx as ({_BOXES}) select a.page_id, a.id as ref_id, arg_min(b.id, (sqrt(pow(a.x0 - b.x0, 2) + pow(a.y0 - b.y0, 2)), b.id)) as block_id from bx a join bx b on a.page_id = b.page_id and (a.id // 40) % 4 = 1 and (b.id // 40) % 4 <> 1 group by all""")
+def nearest_reference(spark, sf_dir):
+    """Each reference's block with the nearest top-left corner."""
+    b = _boxes(spark, sf_dir)
+    refs = b.where("(id div 40) % 4 = 1").select("page_id", F.col("id").alias("ref_id"), "box")
+    return spatial.nearest(refs, b.where("(id div 40) % 4 <> 1").select("page_id", F.col("id").alias("block_id"), "box"), ["page_id"])
+
+
+@query(f"""with bx as ({_BOXES}), w as (select *, lag(x0) over o as px0, lag(y0) over o as py0, lag(x1) over o as px1, lag(y1) over o as py1 from bx window o as (partition by page_id order by id)),
+n as (select page_id, id, coalesce(sqrt(pow(greatest(0, x0 - px1, px0 - x1), 2) + pow(greatest(0, y0 - py1, py0 - y1), 2)) > 60, false)::int as new from w)
+select page_id, id, sum(new) over (partition by page_id order by id)::bigint as island from n""")
+def orphan_line_islands(spark, sf_dir):
+    """Consecutive lines that lie close together."""
+    return spatial.orphan_islands(_boxes(spark, sf_dir), ["page_id"], "id", 60.0).select("page_id", "id", F.col("island").cast("bigint").alias("island"))
+
+
+@query("select user_id, event_id, event_type, round(value, 4) as value from events qualify row_number() over (partition by user_id, event_type order by event_id desc) = 1")
+def latest_upsert(spark, sf_dir):
+    """The last write for each key."""
+    return hierarchy.latest(read(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id").select("user_id", "event_id", "event_type", F.round("value", 4).alias("value"))
+
+
+@query(r"""with k as (select case when p_partkey % 13 = 0 then '' when p_partkey % 17 = 0 then p_name else 'P' || p_partkey end as key, case when p_partkey % 11 = 0 then '' when p_partkey % 7 = 0 then '9bad' else 'blocks' end as collection from part)
+select case when coalesce(key, '') = '' then 'empty key' when length(key) > 254 then 'key too long' when not regexp_matches(key, '^[A-Za-z0-9_:.@()+,=;$!*''%-]+$') then 'character not allowed'
+ when not regexp_matches(collection, '^[A-Za-z][A-Za-z0-9_-]*$') then 'bad collection' end as problem, count(*) as n from k group by 1""")
+def id_validation(spark, sf_dir):
+    p = read(spark, sf_dir, "part").select(F.expr("case when p_partkey % 13 = 0 then '' when p_partkey % 17 = 0 then p_name else concat('P', p_partkey) end").alias("key"), F.expr("case when p_partkey % 11 = 0 then '' when p_partkey % 7 = 0 then '9bad' else 'blocks' end").alias("collection"))
+    return p.select(hierarchy.valid_id(F.col("collection"), F.col("key")).alias("problem")).groupBy("problem").agg(F.count("*").alias("n"))
+
+
+_NUMERIC = r"regexp_matches(regexp_replace(trim(text), '^([^.]*)\.', '\1'), '^\d+$')"
+
+
+@query(rf"""with c as (select t, c, count(*) as n, count(*) filter ({_NUMERIC}) as num, count(*) filter (not {_NUMERIC} and trim(text) <> '') as others from ({_CELLS}) group by all)
+select t as table_id, case when bool_or(n >= 3 and num > 0.5 * n and others > 0) then 0.8 else 1.0 end::double as purity from c group by 1""")
+def table_purity(spark, sf_dir):
+    return tables.purity_penalty(_cells(spark, sf_dir), ["table_id"]).select("table_id", F.col("purity").cast("double").alias("purity"))
+
+
+@query(rf"""with w as (select t, count(*) as n_rows, min(wide) = max(wide) as even from (select t, r, count(*) as wide from ({_CELLS}) group by all) group by 1),
+c as (select t, avg((num = 0 or num = n)::int::double) as pure from (select t, c, count(*) as n, count(*) filter ({_NUMERIC}) as num from ({_CELLS}) group by all) group by 1)
+select t as table_id, round(case when even then 0.7 else 0 end + case when n_rows >= 3 then 0.3 * pure else 0.3 end, 6)::double as consistency from w join c using (t)""")
+def table_consistency(spark, sf_dir):
+    return tables.consistency(_cells(spark, sf_dir), ["table_id"]).select("table_id", F.round("consistency", 6).alias("consistency"))
+
+
+@query(f"""with l as (select t, unnest(string_split(coalesce(text, ''), chr(10))) as line from ({_CELLS}))
+select t as table_id, round(avg(length(line) - length(ltrim(line))), 6) as leading, round(avg(length(line) - length(rtrim(line))), 6) as trailing, round(avg(len(regexp_extract_all(trim(line), ' {{2,}}'))), 6) as inner_runs, count(distinct length(line) - length(ltrim(line))) <= 2 as consistent from l group by 1""")
+def table_whitespace(spark, sf_dir):
+    w = tables.whitespace_patterns(_cells(spark, sf_dir), ["table_id"])
+    return w.select("table_id", *[F.round(c, 6).alias(c) for c in ("leading", "trailing", "inner_runs")], "consistent")
+
+
+@query(r"""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from documents), w as (select *, lead(line) over (partition by doc_id order by n) as nxt from l)
+select doc_id, count(*) as n_lines, count(*) filter (regexp_matches(line, '[-—¬]\s*$') and regexp_matches(nxt, '^\s*\p{Ll}')) as hyphenated, count(*) filter (regexp_matches(nxt, '^\s*\p{Ll}')) as lower_starts from w group by 1""")
+def line_continuations(spark, sf_dir):
+    """Lines that end in a hyphen before a lower-case start, and all lower-case starts."""
+    lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    w = Window.partitionBy("doc_id").orderBy("n")
+    nxt = F.lead("line").over(w)
+    return lines.select("doc_id", F.coalesce(tx.starts_as_continuation(F.col("line"), nxt), F.lit(False)).alias("h"), F.coalesce(nxt.rlike(r"^\s*\p{Ll}"), F.lit(False)).alias("l")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if("h").alias("hyphenated"), F.count_if("l").alias("lower_starts"))
