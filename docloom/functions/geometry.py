@@ -49,12 +49,20 @@ def merged(b: Column) -> Column:
     return box(F.min(b["x0"]), F.min(b["y0"]), F.max(b["x1"]), F.max(b["y1"]))
 
 
+def _if_known(a: Column, b: Column, axis: str, value: Column) -> Column:
+    """greatest() and least() pass over nulls, so a measure of a box that isn't there has to be null by itself."""
+    ends = (a[f"{axis}0"], a[f"{axis}1"], b[f"{axis}0"], b[f"{axis}1"])
+    return F.when(ends[0].isNotNull() & ends[1].isNotNull() & ends[2].isNotNull() & ends[3].isNotNull(), value)
+
+
 def overlap_x(a: Column, b: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"]))
+    """Null where either box is or lacks an end."""
+    return _if_known(a, b, "x", F.greatest(F.lit(0.0), F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"])))
 
 
 def overlap_y(a: Column, b: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]))
+    """Null where either box is or lacks an end."""
+    return _if_known(a, b, "y", F.greatest(F.lit(0.0), F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"])))
 
 
 def intersection_area(a: Column, b: Column) -> Column:
@@ -84,9 +92,9 @@ def corner_distance(a: Column, b: Column) -> Column:
 
 
 def gap(a: Column, b: Column) -> Column:
-    """Shortest distance between two boxes; 0 where they touch."""
-    dx = F.greatest(F.lit(0.0), b["x0"] - a["x1"], a["x0"] - b["x1"])
-    dy = F.greatest(F.lit(0.0), b["y0"] - a["y1"], a["y0"] - b["y1"])
+    """Shortest distance between two boxes; 0 where they touch, null where either box is or lacks an end."""
+    dx = _if_known(a, b, "x", F.greatest(F.lit(0.0), b["x0"] - a["x1"], a["x0"] - b["x1"]))
+    dy = _if_known(a, b, "y", F.greatest(F.lit(0.0), b["y0"] - a["y1"], a["y0"] - b["y1"]))
     return F.sqrt(dx * dx + dy * dy)
 
 
