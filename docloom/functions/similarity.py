@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import difflib
+import hashlib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,3 +76,35 @@ def fuzzy(a: Column, b: Column, kind: str = "ratio") -> Column:
 
 def common_terms(text: str | None) -> set[str]:
     return set(re.findall(r"\w+", (text or "").lower()))
+
+
+def hash_embedding(text: Column, size: int = 1024) -> Column:
+    """A unit vector drawn from a normal distribution by a generator that the text's MD5 seeds: equal texts, equal vectors. Null gives null."""
+
+    @F.pandas_udf("array<double>")
+    def drawn(texts: pd.Series) -> pd.Series:
+        def one(t):
+            if t is None:
+                return None
+            v = np.random.RandomState(int(hashlib.md5(t.encode()).hexdigest(), 16) % (1 << 32)).normal(0, 1, size)
+            return v / np.linalg.norm(v)
+
+        return texts.map(one)
+
+    return drawn(text)
+
+
+def best_match(text: Column, choices: Column, least: float = 80.0) -> Column:
+    """(choice, score): the array element most like text by token_sort_ratio, the first on ties; null where none reaches `least`."""
+
+    @F.pandas_udf("choice string, score double")
+    def matched(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, options in zip(texts, lists, strict=True):
+            scored = [(token_sort_ratio(t, o), -k, o) for k, o in enumerate(options if options is not None else []) if o is not None]
+            top = max(scored, default=(-1.0, 0, None)) if t is not None else (-1.0, 0, None)
+            rows.append((top[2], top[0]) if top[0] >= least else (None, None))
+        return pd.DataFrame(rows, columns=["choice", "score"]).astype({"score": "float64"})
+
+    out = matched(text, choices)
+    return F.when(out["choice"].isNotNull(), out)

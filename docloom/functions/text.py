@@ -108,3 +108,51 @@ def qa_quality(question: Column, answer: Column) -> Column:
         + ok(answer.rlike(r"^\p{Lu}") & answer.rlike(r"[.!?]$"), 1) + ok(~F.lower(answer).rlike("placeholder|generating"), 2)
     )
     return tenths / 10
+
+
+# Bits of a font's flags by name.
+FONT_BITS = {"FixedPitch": 0, "Serif": 1, "Symbolic": 2, "Script": 3, "Nonsymbolic": 5, "Italic": 6, "AllCap": 16, "SmallCap": 17, "ForceBold": 18, "UseExternAttr": 19}
+
+
+def font_styles(flags: Column, name: Column) -> Column:
+    """Sorted distinct styles (bold, italic, plain) of a font by its flags and its name.
+
+    No flag at all is plain, and so is a symbolic italic font, which most readers slant by mistake.
+    """
+    bit = {k: 1 << b for k, b in FONT_BITS.items()}
+    known = flags.bitwiseAND(F.lit(sum(bit.values())))
+    slanted = bit["Symbolic"] | bit["Italic"]
+    only_plain = flags.isNull() | known.isin(0, bit["UseExternAttr"], slanted, slanted | bit["UseExternAttr"])
+    has = lambda *names: known.bitwiseAND(F.lit(sum(bit[n] for n in names))) != 0
+    low = F.lower(F.coalesce(name, F.lit("")))
+    bold = (~only_plain & has("ForceBold")) | F.contains(low, F.lit("bold"))
+    italic = (~only_plain & has("Italic")) | F.contains(low, F.lit("ital"))
+    plain = only_plain | has("FixedPitch", "Serif", "Script", "Nonsymbolic", "AllCap", "SmallCap", "UseExternAttr")
+    return F.array_compact(F.array(F.when(F.coalesce(bold, F.lit(False)), "bold"), F.when(F.coalesce(italic, F.lit(False)), "italic"), F.when(plain, "plain")))
+
+
+def page_numbers(ranges: Column) -> Column:
+    """"0,5-10" to its pages, ascending and distinct; parts that aren't numbers or ranges are passed over, null gives none."""
+    parts = F.filter(F.transform(F.split(F.coalesce(ranges, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p.rlike(r"^\d+(\s*-\s*\d+)?$"))
+
+    def pages(part: Column) -> Column:
+        ends = F.transform(F.split(part, r"\s*-\s*"), lambda e: e.cast("int"))
+        first, last = F.element_at(ends, 1), F.element_at(ends, -1)
+        return F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.slice(F.array(first), 1, 0))
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, pages))))
+
+
+def escape_latex(text: Column) -> Column:
+    """Characters that LaTeX reads as commands, with a backslash before them."""
+    return F.regexp_replace(text, r"([\\&%$#_{}~^])", r"\\$1")
+
+
+def json_slice(text: Column) -> Column:
+    """The JSON of a model's answer: a fenced block if there is one, the text itself if it parses, else from its first bracket to
+    the last one that matches, without trailing commas; null if even that doesn't parse."""
+    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)\s*```", 1)
+    body = F.trim(F.when(fenced != "", fenced).otherwise(text))
+    cut = F.regexp_replace(F.regexp_extract(body, r"(?s)(\[.*\]|\{.*\})", 1), r",\s*([}\]])", "$1")
+    parses = lambda t: (t != "") & F.try_parse_json(t).isNotNull()
+    return F.when(parses(body), body).when(parses(cut), cut)

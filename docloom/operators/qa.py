@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import sequence_ratio
+from ..functions.text import term_overlap
 
 
 def pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
@@ -75,3 +76,26 @@ def report(checks: DataFrame) -> DataFrame:
 def to_instructions(pairs_: DataFrame, metadata: list[str]) -> DataFrame:
     """Rows of the instruction format: instruction, an empty input, output, metadata."""
     return pairs_.select(F.col("question").alias("instruction"), F.lit("").alias("input"), F.col("answer").alias("output"), F.struct(*metadata).alias("metadata"))
+
+
+def accuracy(answer: Column, context: Column, kind: Column, sequence: Column, corpus: Column | None = None, blocks: Column | None = None, threshold: float = 0.6) -> Column:
+    """(score, passed): how far the answer's words are found in its context, by overlap of terms and the sequence ratio.
+
+    Code with few shared terms but a like sequence, and tables with some shared terms, are met half-way. A corpus that
+    holds more of the answer counts for 0.3, then each block (array of texts, in order) that holds more for 0.4. An
+    empty or null answer or context scores 0 and fails.
+    """
+    shared = term_overlap(answer, context)
+    shared = (
+        F.when((kind == "code") & (shared < 0.5) & (sequence > 0.4), F.least(shared + 0.3, F.lit(1.0))).when((kind == "table") & (shared >= 0.4), F.least(shared + 0.2, F.lit(1.0)))
+        .otherwise(shared)
+    )
+    lifted = lambda own, other, part: F.when(other > own, (1 - part) * own + part * other).otherwise(own)
+    if corpus is not None:
+        shared = lifted(shared, term_overlap(answer, corpus), 0.3)
+    if blocks is not None:
+        overlaps = F.transform(F.filter(blocks, lambda b: b.isNotNull() & (b != "")), lambda b: term_overlap(answer, b))
+        shared = F.coalesce(F.aggregate(overlaps, shared.cast("double"), lambda own, o: lifted(own, o, 0.4)), shared)
+    given = (F.coalesce(answer, F.lit("")) != "") & (F.coalesce(context, F.lit("")) != "")
+    score = F.when(given, 0.6 * shared + 0.2 + 0.2 * sequence).otherwise(0.0)
+    return F.struct(score.alias("score"), (given & (score >= threshold)).alias("passed"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,3 +167,68 @@ def case_patterns(cells: DataFrame, table: list[str]) -> DataFrame:
     kind = F.when(t == F.upper(t), "upper").when(t == F.lower(t), "lower").when(t == F.initcap(t), "title").otherwise("mixed")
     counts = cells.where(t != "").withColumn("kind", kind).groupBy(*table, "kind").agg(F.count("*").alias("n"))
     return counts.groupBy(*table).agg(F.count("*").alias("kinds"), F.min(F.struct((-F.col("n")).alias("n"), "kind"))["kind"].alias("dominant"), (F.count("*") <= 2).alias("consistent"))
+
+
+def join_cells(first: DataFrame, second: DataFrame, table: list[str], direction: str = "bottom") -> DataFrame:
+    """Cells of both tables of each key as one: the second's columns go to the right of the first's, or its rows below them.
+
+    Where the two don't fit (five rows apart and more, or two columns), the first one stays as it is. direction: right or
+    bottom. A key that only one side has keeps its cells.
+    """
+    id_, across = ("col_id", "row_id") if direction == "right" else ("row_id", "col_id")
+    most = 5 if direction == "right" else 2
+    span = lambda df, s: df.groupBy(*table).agg(F.count_distinct(id_).alias(f"_shift{s}"), F.count_distinct(across).alias(f"_across{s}"))
+    sizes = span(first, 1).join(span(second, 2), table, "right")
+    fits = F.col("_across1").isNull() | (F.abs(F.col("_across1") - F.col("_across2")) < most)
+    moved = second.join(sizes.where(fits).select(*table, "_shift1"), table)
+    moved = moved.withColumn(id_, (F.col(id_) + F.coalesce("_shift1", F.lit(0))).cast(first.schema[id_].dataType))
+    return first.unionByName(moved.select(first.columns))
+
+
+def spread_spans(cells: DataFrame, table: list[str]) -> DataFrame:
+    """cells with col_id on the table's grid: a cell goes to the first place of its row that no span above or before it covers.
+
+    cells: table columns, row_id, col_id (the order in its row), rowspan, colspan. Spans are cut at the table's edges;
+    its width is the widest sum of a row's colspans. Cells without room, and those with a span of 0, are left out.
+    """
+
+    def placed(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["row_id", "col_id"]).reset_index(drop=True)
+        down, across = rows["rowspan"].fillna(1).astype(int), rows["colspan"].fillna(1).astype(int)
+        width, bottom = int(across.groupby(rows["row_id"]).sum().max()), int(rows["row_id"].max())
+        taken: set[tuple[int, int]] = set()
+        kept, row, column = [], None, 0
+        for k, (r, high, wide) in enumerate(zip(rows["row_id"], down, across, strict=True)):
+            row, column = r, column if r == row else 0
+            while (r, column) in taken:
+                column += 1
+            high, wide = min(high, bottom - r + 1), min(wide, width - column)
+            if high > 0 and wide > 0:
+                taken.update((y, x) for y in range(r, r + high) for x in range(column, column + wide))
+                kept.append((k, column, high, wide))
+                column += wide
+        place = pd.DataFrame(kept, columns=["k", "col_id", "rowspan", "colspan"])
+        return rows.iloc[place["k"]].assign(**{c: place[c].to_numpy() for c in ("col_id", "rowspan", "colspan")})
+
+    return cells.groupBy(*table).applyInPandas(placed, cells.schema)
+
+
+def parameter_grid(spark, values: dict[str, list]) -> DataFrame:
+    """Every combination of the given values, one row each; as small as the product of the lists."""
+    out = None
+    for name, each in values.items():
+        one = spark.createDataFrame([(v,) for v in each], [name])
+        out = one if out is None else out.crossJoin(one)
+    return out
+
+
+def best_parameters(trials: DataFrame, table: list[str], parameters: list[str], score: str = "score", enough: float = 0.9, order: str | None = None) -> DataFrame:
+    """(table, parameters, score): each table's best trial; with `order`, the first that is good enough, if one is.
+
+    Ties go to the smaller parameters. Trials without a score count last.
+    """
+    tie = [F.col(p) for p in parameters]
+    s = F.coalesce(F.col(score), F.lit(float("-inf")))
+    rank = [F.when(s >= enough, F.col(order)).asc_nulls_last()] if order else []
+    w = Window.partitionBy(*table).orderBy(*rank, s.desc(), *tie)
+    return trials.withColumn("_k", F.row_number().over(w)).where("_k = 1").select(*table, *parameters, score)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import chunking, entities, hierarchy, processors, qa, render, rules, scoring, spatial, tables, validators
+from ..operators import chunking, entities, graph, hierarchy, layout, processors, qa, render, rollout, rules, scoring, spatial, tables, validators
 from ..sources import html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -514,3 +514,145 @@ def line_continuations(spark, sf_dir):
     w = Window.partitionBy("doc_id").orderBy("n")
     nxt = F.lead("line").over(w)
     return lines.select("doc_id", F.coalesce(tx.starts_as_continuation(F.col("line"), nxt), F.lit(False)).alias("h"), F.coalesce(nxt.rlike(r"^\s*\p{Ll}"), F.lit(False)).alias("l")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if("h").alias("hyphenated"), F.count_if("l").alias("lower_starts"))
+
+
+_FLAGS = "case when p_partkey % 9 = 0 then null when p_partkey % 5 = 0 then 68 when p_partkey % 7 = 0 then 524352 else (p_partkey * 2654435761) % 1048576 end"
+
+
+@query(f"""with f as (select p_partkey as part_id, ({_FLAGS})::bigint as f, case when p_partkey % 4 = 0 then 'Times-BoldItalic' when p_partkey % 4 = 1 then 'Arial-Bold' else p_name end as n from part),
+k as (select part_id, n, f & 983151 as f, f is null or (f & 983151) in (0, 524288, 36 + 32, 524288 + 68) as p from (select part_id, n, f from f)),
+s as (select part_id, (not p and f & 262144 <> 0) or contains(lower(n), 'bold') as bold, (not p and f & 64 <> 0) or contains(lower(n), 'ital') as italic, p or f & 720939 <> 0 as plain from k)
+select part_id, concat_ws(',', case when bold then 'bold' end, case when italic then 'italic' end, case when plain then 'plain' end) as styles from s""")
+def font_styles(spark, sf_dir):
+    """Styles of fonts from their flags and names."""
+    p = read(spark, sf_dir, "part").select("p_partkey", F.expr(_FLAGS).cast("bigint").alias("f"), F.expr("case when p_partkey % 4 = 0 then 'Times-BoldItalic' when p_partkey % 4 = 1 then 'Arial-Bold' else p_name end").alias("n"))
+    return p.select(F.col("p_partkey").alias("part_id"), F.array_join(tx.font_styles(F.col("f"), F.col("n")), ",").alias("styles"))
+
+
+@query("""with p as (select p_partkey, p_size as a, p_partkey % 30 as b from part), r as (select p_partkey, a as page from p union select p_partkey, unnest(generate_series(b, b + 4)) from p)
+select p_partkey as part_id, string_agg(page::varchar, ',' order by page) as pages from r group by 1""")
+def page_ranges(spark, sf_dir):
+    """Page lists such as "7,12-16" written out."""
+    text = F.concat(F.col("p_size").cast("string"), F.lit(", "), (F.col("p_partkey") % 30).cast("string"), F.lit("-"), (F.col("p_partkey") % 30 + 4).cast("string"))
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_id"), F.array_join(F.transform(tx.page_numbers(text), lambda n: n.cast("string")), ",").alias("pages"))
+
+
+@query("""with p as (select p_brand as doc, p_partkey as page_id, p_partkey % 11 > 1 or p_size > 40 as good from part)
+select doc, page_id, case when good or avg(good::int) over (partition by doc) > 0.85 then 'layer' else 'recognition' end as source from p""")
+def text_source_choice(spark, sf_dir):
+    """Which pages keep their own text, by page and by document."""
+    p = read(spark, sf_dir, "part").select(F.col("p_brand").alias("doc"), F.col("p_partkey").alias("page_id"), ((F.col("p_partkey") % 11 > 1) | (F.col("p_size") > 40)).alias("good"))
+    return layout.text_source(p, ["doc"]).select("doc", "page_id", "source")
+
+
+@query(f"""with bx as ({_BOXES}), b as (select * from bx where (id // 40) % 4 = 0 or page_id = 3), t as (select b.page_id, b.id, count(*) filter (a.id is not null and {_SHARED} > 0) as n from b left join (select * from bx where (id // 40) % 4 = 1 and page_id <> 3) a on a.page_id = b.page_id group by all)
+select page_id, round(avg((n >= 1)::int), 6) as coverage, avg((n >= 1)::int) >= 0.25 as covered from t group by 1""")
+def layout_coverage(spark, sf_dir):
+    """How many layout blocks of each page any line touches."""
+    b = _boxes(spark, sf_dir)
+    blocks = b.where("(id div 40) % 4 = 0 or page_id = 3").select("page_id", F.col("id").alias("block_id"), "box", F.lit("Text").alias("block_type"), g.box(*[F.lit(v) for v in (0, 0, 700, 900)]).alias("page_box"))
+    return layout.layout_coverage(blocks, b.where("(id div 40) % 4 = 1 and page_id <> 3"), ["page_id"]).select("page_id", F.round("coverage", 6).alias("coverage"), F.coalesce("covered", F.lit(False)).alias("covered"))
+
+
+@query(f"""with bx as ({_BOXES}), k as (select b.page_id, arg_min(a.id, (-{_SHARED}, a.id)) as id from bx a join bx b on a.page_id = b.page_id and (a.id // 40) % 3 = 0 and (b.id // 40) % 3 = 1 where {_SHARED} > 0 group by b.page_id, b.id)
+select l.page_id, l.id as line_id, l.y1 - l.y0 <= 2 * (l.x1 - l.x0) and exists (select 1 from k where k.page_id = l.page_id and k.id = l.id) as math from bx l where (l.id // 40) % 3 = 0""")
+def math_line_marks(spark, sf_dir):
+    """Lines that hold the better part of a formula."""
+    b = _boxes(spark, sf_dir)
+    return layout.mark_math_lines(b.where("(id div 40) % 3 = 0").select("page_id", F.col("id").alias("line_id"), "box"), b.where("(id div 40) % 3 = 1").select("page_id", F.col("id").alias("formula_id"), "box"), ["page_id"]).select("page_id", "line_id", "math")
+
+
+@query(f"""with bx as ({_BOXES}) select a.page_id, a.id from bx a where (a.id // 40) % 3 = 2 and not exists (select 1 from bx b where b.page_id = a.page_id and (b.id // 40) % 3 = 1
+ and {_SHARED} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {_SHARED}) > 0.2)""")
+def missed_tables(spark, sf_dir):
+    """Boxes of a second finder that the first has no match for."""
+    b = _boxes(spark, sf_dir)
+    return layout.missed_boxes(b.where("(id div 40) % 3 = 1"), b.where("(id div 40) % 3 = 2"), ["page_id"], 0.2).select("page_id", "id")
+
+
+@query("""select p_partkey % 40 as page_id, p_partkey as id, row_number() over (partition by p_partkey % 40 order by p_size < 10, p_partkey) - 1 as place from part""")
+def footnotes_at_end(spark, sf_dir):
+    """Places of blocks on their pages once footnotes stand last."""
+    b = read(spark, sf_dir, "part").select((F.col("p_partkey") % 40).alias("page_id"), F.col("p_partkey").alias("id"), F.when(F.col("p_size") < 10, "Footnote").otherwise("Text").alias("block_type"))
+    return layout.footnotes_last(b, ["page_id"], "id").select("page_id", "id", F.col("place").cast("bigint").alias("place"))
+
+
+@query("""with t as (select l_returnflag as table_id, l_linestatus as flavor, l_linenumber as scale, round(avg(l_discount) * 16, 9) as score from lineitem group by all)
+select table_id, flavor, scale, round(score, 6) as score from t qualify row_number() over (partition by table_id order by case when score >= 0.9 then 0 end nulls last, score desc, flavor, scale) = 1""")
+def best_parameter_search(spark, sf_dir):
+    """Each table's best pair of parameters of all that were tried."""
+    t = read(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("table_id"), F.col("l_linestatus").alias("flavor"), F.col("l_linenumber").alias("scale")).agg(F.round(F.avg("l_discount") * 16, 9).alias("score"))
+    return tables.best_parameters(t, ["table_id"], ["flavor", "scale"]).withColumn("score", F.round("score", 6))
+
+
+@query("""with r as (select user_id, event_id, event_type <> 'click' as trial, value, event_type = 'error' or event_id % 17 = 0 as failed from events),
+w as (select user_id, event_id, avg(case when trial then value end) over l as m, avg(failed::int) over (partition by user_id order by event_id) as e, count(*) filter (trial) over l as k, row_number() over (partition by user_id order by event_id) as n
+ from r window l as (partition by user_id order by event_id rows between 19 preceding and current row))
+select user_id, event_id, round(m, 6) as trial_mean, round(e, 6) as error_rate, coalesce(n >= 10 and k >= 5 and (m < 50 or e > 0.1), false) as roll_back from w""")
+def canary_rollback_window(spark, sf_dir):
+    """Whether a rollout would go back after each request."""
+    r = read(spark, sf_dir, "events").select("user_id", "event_id", (F.col("event_type") != "click").alias("trial"), F.col("value").alias("performance"), ((F.col("event_type") == "error") | (F.col("event_id") % 17 == 0)).alias("failed"))
+    return rollout.rollbacks(r, ["user_id"], "event_id", performance=50.0).select("user_id", "event_id", F.round("trial_mean", 6).alias("trial_mean"), F.round("error_rate", 6).alias("error_rate"), "roll_back")
+
+
+@query("""select 't' as table_id, row_id, col_id, text from (select n_nationkey as row_id, unnest([0, 1]) as col_id, unnest([n_nationkey::varchar, n_name]) as text from nation
+union all select 25 + r_regionkey, unnest([0, 1]), unnest([r_regionkey::varchar, r_name]) from region)""")
+def joined_tables(spark, sf_dir):
+    """Two tables as one, the second below the first."""
+    n, r = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    first = tables.melt(n, F.lit("t"), F.col("n_nationkey").cast("int"), ["n_nationkey", "n_name"])
+    return tables.join_cells(first, tables.melt(r, F.lit("t"), F.col("r_regionkey").cast("int"), ["r_regionkey", "r_name"]), ["table_id"])
+
+
+@query(r"""select event_id, case when event_id % 5 = 0 then null else props end as answer from events""")
+def json_answers(spark, sf_dir):
+    """The JSON inside answers that surround it with words, fence it, or break it off."""
+    props = F.col("props").cast("string")
+    said = (
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("no "), F.substring(props, 1, 3))).when(F.col("event_id") % 5 == 1, F.concat(F.lit("Here it is: "), props, F.lit(" - done")))
+        .when(F.col("event_id") % 5 == 2, F.concat(F.lit("```json\n"), props, F.lit("\n```"))).when(F.col("event_id") % 5 == 3, F.regexp_replace(F.concat(F.lit("x"), props), r"\}$", ", }")).otherwise(props)
+    )
+    return read(spark, sf_dir, "events").select("event_id", tx.json_slice(said).alias("answer"))
+
+
+@query()
+def section_trees(spark, sf_dir):
+    """Headers of pages with what they stand below."""
+    return graph.section_tree(html.html_blocks(read(spark, sf_dir, "pages")), ["page_id"])
+
+
+@query()
+def section_subsections(spark, sf_dir):
+    return graph.subsections(html.html_blocks(read(spark, sf_dir, "pages")), ["page_id"])
+
+
+def _page_blocks(spark, sf_dir):
+    return html.html_blocks(read(spark, sf_dir, "pages")).withColumn("doc_id", F.col("page_id"))
+
+
+@query()
+def graph_vertices(spark, sf_dir):
+    return graph.vertices(_page_blocks(spark, sf_dir), "doc_id")
+
+
+@query()
+def graph_edges(spark, sf_dir):
+    return graph.edges(_page_blocks(spark, sf_dir), "doc_id")
+
+
+@query()
+def page_structure(spark, sf_dir):
+    return layout.structure_statistics(_page_blocks(spark, sf_dir), ["doc_id"]).withColumn("counts", F.to_json("counts"))
+
+
+@query()
+def page_content(spark, sf_dir):
+    return layout.content_statistics(_page_blocks(spark, sf_dir), ["doc_id"]).withColumn("counts", F.to_json("counts"))
+
+
+@query()
+def qa_accuracy(spark, sf_dir):
+    """How far answers keep to their questions' words."""
+    p = qa.pairs(read(spark, sf_dir, "conversations"))
+    score = qa.accuracy(F.col("answer"), F.col("question"), F.lit("text"), F.col("seq"))
+    return p.withColumn("seq", sim.fuzzy(F.col("answer"), F.col("question"), "sequence")).select("conv_id", "turn", score.alias("a")).select("conv_id", "turn", F.round("a.score", 6).alias("score"), "a.passed")
