@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -104,10 +106,82 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def shingle_set(text: str | None, words_per_shingle: int = 5) -> tuple[np.ndarray, list[bytes]]:
+    """(sorted distinct 64-bit hashes of the shingles, words), words and short texts as for fingerprint()."""
+    words = (text or "").encode().lower().split()
+    k = min(words_per_shingle, len(words))
+    hashes = {xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)} if words else set()
+    return np.sort(np.fromiter(hashes, np.uint64, len(hashes))), words
+
+
+def _sketches(docs: DataFrame, words_per_shingle: int) -> DataFrame:
+    """(doc_id, digest of the shingle set, size of it, fp: the SimHash of the distinct words)."""
+
+    def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for doc_id, text in frame.itertuples(index=False):
+                shingles, words = shingle_set(text, words_per_shingle)
+                each = np.fromiter({xxhash.xxh64_intdigest(w, SEED) for w in words}, "<u8")
+                ones = np.unpackbits(each.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+                fp = np.packbits(2 * ones > len(each), bitorder="little").view("<i8")[0]
+                rows.append((doc_id, xxhash.xxh128_digest(shingles.astype("<u8").tobytes()), len(shingles), fp))
+            yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "fp"]).astype({"doc_id": "Int64"})
+
+    return docs.mapInPandas(sketched, "doc_id bigint, digest binary, n int, fp bigint")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
+    """Those of the pairs (rep_a, rep_b) whose shingle sets are that similar. Only texts that occur in a pair are hashed again."""
+    pairs = cut(pairs.select("rep_a", "rep_b").distinct(), "pairs")
+
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"rep": frame["doc_id"], "s": [shingle_set(t, words_per_shingle)[0].view(np.int64) for t in frame["text"]]})
+
+    ends = pairs.select(F.col("rep_a").alias("doc_id")).unionAll(pairs.select("rep_b")).distinct()
+    sets = docs.join(ends, "doc_id", "left_semi").mapInPandas(hashed, "rep bigint, s array<bigint>")
+    sets = cut(sets.groupBy("rep").agg(F.min("s").alias("s")), "sets")  # a doc_id of several texts is one vertex, with one of them
+    side = lambda x: sets.select(F.col("rep").alias(f"rep_{x}"), F.col("s").alias(f"s_{x}"))
+    both = pairs.join(side("a"), "rep_a").join(side("b"), "rep_b")
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("rep_a", "rep_b")
+
+
+def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, similarity: float = 0.8, max_bits: int = 7) -> DataFrame:
+    """One row for each document: doc_id, component_id, linked where sets of shingles have a Jaccard similarity of `similarity`.
+
+    Candidates are documents whose SimHashes over distinct words are within max_bits bits, found by pigeonring; an edit
+    changes one word but several shingles, so these fingerprints move least. Every link is verified by the exact sets.
+    Documents of one set are a class and never paired. Each class is first held against the smallest candidate it has;
+    of all candidate pairs only those that this leaves in different groups are then verified, which gives the groups
+    that verifying all would give. Null and blank texts have the empty set and are one class; shorter texts than a
+    shingle are one shingle. Null doc_ids have no component of their own. An empty table gives an empty result.
+    """
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = cut(_sketches(docs, words_per_shingle), "sketches")
+    classes = cut(rows.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("fp").alias("fp")), "classes")
+    prints = cut(classes.where("rep is not null").groupBy("fp").agg(F.min("rep").alias("rep")), "prints")
+    near = cut(near_pairs(prints, max_bits), "near")
+    smallest = near.select("rep_a", "rep_b").unionAll(near.select(F.col("rep_b").alias("rep_a"), F.col("rep_a").alias("rep_b"))).groupBy("rep_a").agg(F.min("rep_b").alias("rep_b")).where("rep_b < rep_a")
+    in_print = classes.select("fp", F.col("rep").alias("rep_a")).join(prints.select("fp", F.col("rep").alias("rep_b")), "fp").where("rep_a <> rep_b").select("rep_a", "rep_b")
+    first = cut(_verified(smallest.unionByName(in_print), docs, words_per_shingle, similarity), "first")
+    roots = components(first, "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
+    known = cut(classes.where("rep is not null").join(roots, "rep", "left").select("fp", "rep", "n", F.coalesce("root", "rep").alias("root")), "known")
+    side = lambda x: known.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}"))
+    is_open = f"root_a <> root_b and least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)"
+    across = near.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(is_open).select("rep_a", "rep_b")
+    inside = side("a").join(side("b"), F.col("a") == F.col("b")).where(f"rep_a < rep_b and {is_open}").select("rep_a", "rep_b")
+    second = _verified(across.unionByName(inside), docs, words_per_shingle, similarity)
+    roots = components(first.unionByName(second), "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
+    groups = classes.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
+    return rows.join(groups, "digest").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", grouped: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
     """The rows of docs, all columns, that stand for their group: those with the smallest doc_id; a repeated doc_id stays
-    once. Rows with a null doc_id stay."""
-    groups = near_duplicates(docs, doc_id, text, **options)
+    once. Rows with a null doc_id stay. grouped: near_duplicates or similar_documents, with their options."""
+    groups = grouped(docs, doc_id, text, **options)
     gone = cut(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct(), "copies")
     named = docs.where(F.col(doc_id).isNotNull()).join(gone, doc_id, "left_anti").dropDuplicates([doc_id])
     return named.select(docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))

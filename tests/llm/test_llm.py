@@ -151,6 +151,60 @@ def test_simhash_odd(odd, empty):
     assert sorted((r.doc_id for r in simhash.one_of_each(odd).collect()), key=str) == [1, 3, 5, 7, 8, None]
 
 
+def slow_shingles(text, k=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+@pytest.fixture(scope="module")
+def edited(spark):
+    """Texts with copies, light edits, moved halves and strangers."""
+    rng, rows = random.Random(4), []
+    for _ in range(25):
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.randrange(60, 300))]
+        for edits in (0, 0, 1, 2, 3, 6, 12):
+            new = list(words)
+            for at in rng.sample(range(len(words)), edits):
+                new[at] = f"x{rng.randrange(9000)}"
+            rows.append((len(rows), " ".join(new)))
+        rows.append((len(rows), " ".join(words[len(words) // 2 :] + words[: len(words) // 2])))
+        rows.append((len(rows), " ".join(sorted(words))))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("which", ["docs", "edited"])
+def test_similar_documents(request, which):
+    import xxhash
+
+    df = request.getfixturevalue(which)
+    texts = {r.doc_id: r.text for r in df.collect()}
+    sets = {d: slow_shingles(t) for d, t in texts.items()}
+
+    def words_print(t):
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in slow_shingles(t, 1)]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    prints = {d: words_print(t) for d, t in texts.items()}
+    links = [(a, b) for a in texts for b in texts if a < b and jaccard(sets[a], sets[b]) >= 0.8]
+    near = [(a, b) for a, b in links if (prints[a] ^ prints[b]).bit_count() <= 7]
+    assert len(near) >= 0.9 * len(links)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
+    assert got == roots_of(texts, near)
+    kept = simhash.one_of_each(df, grouped=simhash.similar_documents)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values())) and kept.columns == df.columns
+
+
+def test_similar_documents_odd(odd, empty):
+    got = simhash.similar_documents(odd).collect()
+    by = {r.doc_id: r.component_id for r in got}
+    assert len(got) == len(ODD) and by[1] == by[2] == 1 and by[3] == by[4] == by[6] == 3 and by[None] is None and by[5] == 5
+    assert simhash.similar_documents(empty).count() == 0
+
+
 # tokens
 
 
