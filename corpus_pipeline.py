@@ -1,8 +1,9 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's documents.
 
 Every stage but the last returns the columns of documents. quality drops what the classifier rejects; near_dedup keeps
-one document of each SimHash group; decontaminate drops documents that hold a benchmark passage; secrets masks every
-secret in the texts (n_chars follows) and drops none; pack cuts what is left into pieces and lays them into sequences.
+one document of each group that a similarity of 0.8 over five-word shingles links; decontaminate drops documents that hold
+a benchmark passage; secrets masks every secret in the texts (n_chars follows) and drops none; pack cuts what is left into
+pieces and lays them into sequences.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, grouped=simhash.similar_documents)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
