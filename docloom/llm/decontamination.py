@@ -163,22 +163,23 @@ class Items:
         return _Class(gram, steps, seeds, seen, np.take_along_axis(keys, order, axis=1), order, np.array(item), np.array(offset))
 
     def _candidates(self, tokens: np.ndarray, doc_ends: np.ndarray, c: _Class) -> np.ndarray:
-        """Unique rows (item, place where the item's first word would be)."""
+        """Unique rows (item, place where the item's first word would be, document of the hit). The place may lie before the document."""
         runs = grams(tokens, c.gram)
         place = np.flatnonzero(c.seen[(runs >> np.uint64(64 - _MAP_BITS)).astype(np.int64)])
         known = np.minimum(np.searchsorted(c.seeds, runs[place]), len(c.seeds) - 1)
         place = place[c.seeds[known] == runs[place]]
         place = place[place + c.gram <= doc_ends[np.searchsorted(doc_ends, place, side="right")]]
         if not len(place):
-            return np.empty((0, 2), np.int64)
-        keys = walk_keys(tokens, place, doc_ends[np.searchsorted(doc_ends, place, side="right")], c.steps)
+            return np.empty((0, 3), np.int64)
+        owner = np.searchsorted(doc_ends, place, side="right")
+        keys = walk_keys(tokens, place, doc_ends[owner], c.steps)
         out = []
         for w in range(WALKS):
             first, last = np.searchsorted(c.keys[w], keys[w], side="left"), np.searchsorted(c.keys[w], keys[w], side="right")
             many = last - first
             hit = np.repeat(np.arange(len(place)), many)
             entry = c.order[w][np.repeat(first - np.cumsum(many) + many, many) + np.arange(len(hit))]
-            out.append(np.stack([c.item[entry], place[hit] - c.offset[entry]], axis=1))
+            out.append(np.stack([c.item[entry], place[hit] - c.offset[entry], owner[hit]], axis=1))
         return np.unique(np.concatenate(out), axis=0)
 
     def matches(self, docs: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
@@ -189,25 +190,21 @@ class Items:
         tokens, doc_ends = np.concatenate(docs), np.cumsum(sizes)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for c in self.classes:
-            found = self._candidates(tokens, doc_ends, c)
-            # a place before the document's first word belongs to the document of the words that follow
-            owner = np.searchsorted(doc_ends, np.minimum(found[:, 1] + np.array(self.most + [0])[found[:, 0]] + c.gram - 1, len(tokens) - 1), side="right") if len(found) else []
             done: dict[tuple[int, int], int] = {}
-            for (m, at), _ in zip(found.tolist(), owner, strict=True):
+            for m, at, d in self._candidates(tokens, doc_ends, c).tolist():
                 k, n = self.most[m], len(self.words[m])
-                for d in {int(np.searchsorted(doc_ends, min(max(p, 0), len(tokens) - 1), side="right")) for p in (at, at + n - 1)}:
-                    low, high = int(doc_ends[d] - sizes[d]), int(doc_ends[d])
-                    a, b = max(low, at - k), min(high, at + n + k)
-                    if b - a < n - k or done.get((d, m), -1) >= b:
-                        continue
-                    region = tokens[a:b]
-                    if int(np.isin(self.words[m], region).sum()) < n - k:
-                        continue
-                    got = within(self.words[m].tolist(), region.tolist(), k)
-                    if got:
-                        done[d, m] = b
-                        one = (got[0], a - low + got[1], a - low + got[2])
-                        best[d, m] = min(best.get((d, m), one), one)
+                low, high = int(doc_ends[d] - sizes[d]), int(doc_ends[d])
+                a, b = max(low, at - k), min(high, at + n + k)
+                if b - a < n - k or done.get((d, m), -1) >= b:
+                    continue
+                region = tokens[a:b]
+                if int(np.isin(self.words[m], region).sum()) < n - k:
+                    continue
+                got = within(self.words[m].tolist(), region.tolist(), k)
+                if got:
+                    done[d, m] = b
+                    one = (got[0], a - low + got[1], a - low + got[2])
+                    best[d, m] = min(best.get((d, m), one), one)
         return [(d, m, *x) for (d, m), x in sorted(best.items())]
 
 

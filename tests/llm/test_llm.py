@@ -306,6 +306,24 @@ def test_recall_of_edited_passages(docs, spark, sf_dir):
         assert sum((k, i) in found for k, (i, _) in enumerate(items)) / len(items) >= 0.95
 
 
+def test_leaks_of_trimmed_items(spark):
+    """A document that is an item without words of both ends, between longer ones in one slab."""
+    items, docs, want = [], [], set()
+    for i, n in enumerate((10, 20, 50, 100, 150, 151, 250, 251)):
+        words, k = [f"t{i}x{j}" for j in range(n)], n // 5
+        items.append((i, " ".join(words)))
+        for head in {0, k // 4, k // 2, k - 1, k}:
+            docs.append(" ".join(f"f{len(docs)}x{j}" for j in range(300)))
+            want.add((len(docs), i, k))
+            docs.append(" ".join(words[head : n - k + head]))
+    docs.append(" ".join(f"z{j}" for j in range(300)))
+    tables = decontamination.Items(items)
+    assert {x[:3] for x in tables.matches([decontamination.codes(d) for d in docs])} == want
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    got = decontamination.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.distance) for r in got} == want
+
+
 def test_leaks_odd(spark, odd, empty):
     items = spark.createDataFrame([(1, "same text of a few WORDS, here"), (1, "same text of a few words here"), (2, None), (3, ""), (None, "same text"), (4, "12"), (5, "word")], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.distance) for r in decontamination.find_leaks(odd, items).collect())
