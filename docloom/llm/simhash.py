@@ -15,10 +15,8 @@ from .shared import components, cut
 BITS = 64
 SEED = 42
 _SLAB = 1 << 16
-#: Longs of the second fingerprint, over shingles. At a similarity of 0.8 its 512 bits differ in 78 on average, with a
-#: standard deviation of 8; pairs that differ in more than WIDE_BITS are not verified.
-WIDE, WIDE_BITS = 8, 110
-_TURNS = np.random.default_rng(SEED).integers(0, 1 << 63, WIDE, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+#: Longs of the odd sketch of a shingle set [Mitzenmacher, Pagh, Pham 2014].
+WIDE = 8
 
 
 def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
@@ -126,17 +124,22 @@ def _majority(hashes: np.ndarray) -> np.int64:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0]
 
 
-def _wide(shingles: np.ndarray) -> list[np.int64]:
-    """A SimHash of WIDE longs: each is one over the hashes mixed anew."""
-    out = []
-    for turn in _TURNS:
-        mixed = (shingles ^ (shingles >> np.uint64(32))) * turn
-        out.append(_majority((mixed ^ (mixed >> np.uint64(29))) * _TURNS[0]))
-    return out
+def _wide(shingles: np.ndarray) -> np.ndarray:
+    """The odd sketch, as WIDE longs: bit b says whether an odd number of hashes falls to b. Shingles that two sets share
+    cancel out, and each other flips one bit, so two sketches never differ in more bits than the sets differ in shingles."""
+    odd = np.bincount((shingles % np.uint64(BITS * WIDE)).astype(np.int64), minlength=BITS * WIDE) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _may_be(similarity: float) -> str:
+    """A condition on n_a, n_b and w0_a to w7_b that every pair of sets of that similarity meets: such sets differ in at
+    most (1 - similarity) / (1 + similarity) * (n_a + n_b) shingles."""
+    apart = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(WIDE))
+    return f"least(n_a, n_b) >= {similarity}D * greatest(n_a, n_b) - 1e-6D and ({apart}) * {1 + similarity}D <= {1 - similarity}D * (n_a + n_b) + 1e-6D"
 
 
 def _sketches(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(doc_id, digest of the shingle set, its size, fp: the SimHash of the distinct words, wide: that of the shingles)."""
+    """(doc_id, digest of the shingle set, its size, fp: the SimHash of the distinct words, wide: the odd sketch of the shingles)."""
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -173,9 +176,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Candidates are documents whose SimHashes over distinct words are within max_bits bits, found by pigeonring; an edit
     changes one word but several shingles, so these fingerprints move least. Every link is verified by the exact sets.
     Documents of one set are a class and never paired. Each class is first held against the smallest candidate it has;
-    of all candidate pairs only those that this leaves in different groups, and whose wide fingerprints don't rule them
-    out (four standard deviations), are then verified, which gives the groups that verifying all would give. Null and blank texts have the empty set and are one class; shorter texts than a
-    shingle are one shingle. Null doc_ids have no component of their own. An empty table gives an empty result.
+    of all candidate pairs only those that this leaves in different groups, and whose sizes and odd sketches don't prove
+    them less similar, are then verified, which gives the groups that verifying all would give. Null and blank texts have
+    the empty set and are one class; shorter texts than a shingle are one shingle. Null doc_ids have no component of their own. An empty table gives an empty result.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = cut(_sketches(docs, words_per_shingle), "sketches")
@@ -188,8 +191,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     roots = components(first, "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
     known = cut(classes.where("rep is not null").join(roots, "rep", "left").select("fp", "rep", "n", "wide", F.coalesce("root", "rep").alias("root")), "known")
     side = lambda x: known.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}"), *[F.col("wide")[k].alias(f"w{k}_{x}") for k in range(WIDE)])
-    apart = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(WIDE))
-    is_open = f"root_a <> root_b and least(n_a, n_b) >= {similarity} * greatest(n_a, n_b) and {apart} <= {WIDE_BITS}"
+    is_open = f"root_a <> root_b and {_may_be(similarity)}"
     across = near.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(is_open).select("rep_a", "rep_b")
     inside = side("a").join(side("b"), F.col("a") == F.col("b")).where(f"rep_a < rep_b and {is_open}").select("rep_a", "rep_b")
     second = _verified(across.unionByName(inside), docs, words_per_shingle, similarity)
