@@ -15,6 +15,8 @@ from .shared import components, cut
 BITS = 64
 SEED = 42
 _SLAB = 1 << 16
+#: Documents whose shingles are counted, and how many of the commonest shingles go last in a prefix. Any order gives the same links.
+_COUNTED, _COMMON = 8_000, 200_000
 #: Longs of the odd sketch of a shingle set [Mitzenmacher, Pagh, Pham 2014].
 WIDE = 8
 
@@ -138,19 +140,45 @@ def _may_be(similarity: float) -> str:
     return f"least(n_a, n_b) >= {similarity}D * greatest(n_a, n_b) - 1e-6D and ({apart}) * {1 + similarity}D <= {1 - similarity}D * (n_a + n_b) + 1e-6D"
 
 
-def _sketches(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(doc_id, digest of the shingle set, its size, fp: the SimHash of the distinct words, wide: the odd sketch of the shingles)."""
+def _common(docs: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, counts) of the shingles that are commonest in some documents; _COMMON at most."""
+
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for text in frame["text"]:
+                yield pd.DataFrame({"h": shingle_set(text, words_per_shingle)[0].view(np.int64)})
+
+    some = docs.select("text").sample(min(1.0, _COUNTED / max(1, docs.count())), SEED)
+    rows = some.mapInPandas(hashed, "h bigint").groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(_COMMON).collect()
+    hashes, counts = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def _prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set in an order that holds for all sets, rare ones first: so many that two sets of that
+    similarity share one of them [Chaudhuri, Ganti, Kaushik 2006]."""
+    n, (hashes, counts) = len(shingles), common
+    often = np.zeros(n, np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
+        often = np.where(hashes[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((shingles, often))[: n - int(np.ceil(similarity * n - 1e-6)) + 1 if n else 0]].view(np.int64)
+
+
+def _sketches(docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
+    """(doc_id, digest of the shingle set, its size, wide: its odd sketch, prefix)."""
+    common = _common(docs, words_per_shingle)
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for doc_id, text in frame.itertuples(index=False):
-                shingles, words = shingle_set(text, words_per_shingle)
-                each = np.fromiter({xxhash.xxh64_intdigest(w, SEED) for w in words}, np.uint64)
-                rows.append((doc_id, xxhash.xxh128_digest(shingles.astype("<u8").tobytes()), len(shingles), _majority(each), _wide(shingles)))
-            yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "fp", "wide"]).astype({"doc_id": "Int64"})
+                shingles, _ = shingle_set(text, words_per_shingle)
+                rows.append((doc_id, xxhash.xxh128_digest(shingles.astype("<u8").tobytes()), len(shingles), _wide(shingles), _prefix(shingles, common, similarity)))
+            yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "wide", "prefix"]).astype({"doc_id": "Int64"})
 
-    return docs.mapInPandas(sketched, "doc_id bigint, digest binary, n int, fp bigint, wide array<bigint>")
+    return docs.mapInPandas(sketched, "doc_id bigint, digest binary, n int, wide array<bigint>, prefix array<bigint>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
@@ -170,31 +198,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, words_per_shingle: int, similar
     return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("rep_a", "rep_b")
 
 
-def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, similarity: float = 0.8, max_bits: int = 7) -> DataFrame:
+def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row for each document: doc_id, component_id, linked where sets of shingles have a Jaccard similarity of `similarity`.
 
-    Candidates are documents whose SimHashes over distinct words are within max_bits bits, found by pigeonring; an edit
-    changes one word but several shingles, so these fingerprints move least. Every link is verified by the exact sets.
-    Documents of one set are a class and never paired. Each class is first held against the smallest candidate it has;
-    of all candidate pairs only those that this leaves in different groups, and whose sizes and odd sketches don't prove
-    them less similar, are then verified, which gives the groups that verifying all would give. Null and blank texts have
-    the empty set and are one class; shorter texts than a shingle are one shingle. Null doc_ids have no component of their own. An empty table gives an empty result.
+    Candidates share a shingle of their prefixes, as all pairs of that similarity do, so no link is lost; every link is
+    verified by the exact sets. Documents of one set are a class and never paired. Each class is first held against the
+    smallest one of each shingle of its prefix; of all candidate pairs only those that this leaves in different groups,
+    and whose sizes, places of the shared shingle and odd sketches don't prove them less similar, are then verified,
+    which gives the groups that verifying all would give. Null and blank texts have the empty set and are one class;
+    shorter texts than a shingle are one shingle. Null doc_ids have no component of their own. An empty table gives an
+    empty result.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = cut(_sketches(docs, words_per_shingle), "sketches")
-    classes = cut(rows.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")), "classes")
-    prints = cut(classes.where("rep is not null").groupBy("fp").agg(F.min("rep").alias("rep")), "prints")
-    near = cut(near_pairs(prints, max_bits), "near")
-    smallest = near.select("rep_a", "rep_b").unionAll(near.select(F.col("rep_b").alias("rep_a"), F.col("rep_a").alias("rep_b"))).groupBy("rep_a").agg(F.min("rep_b").alias("rep_b")).where("rep_b < rep_a")
-    in_print = classes.select("fp", F.col("rep").alias("rep_a")).join(prints.select("fp", F.col("rep").alias("rep_b")), "fp").where("rep_a <> rep_b").select("rep_a", "rep_b")
-    first = cut(_verified(smallest.unionByName(in_print), docs, words_per_shingle, similarity), "first")
+    rows = cut(_sketches(docs, words_per_shingle, similarity), "sketches")
+    classes = cut(rows.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix")), "classes")
+    named = classes.where("rep is not null")
+    places = named.select("rep", "n", F.posexplode("prefix").alias("at", "h"))
+    several = places.groupBy("h").agg(F.min("rep").alias("least"), F.count("*").alias("many")).where("many > 1").select("h", "least")
+    shared = cut(places.join(several, "h"), "shared")
+    side = lambda x: named.select(F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"), *[F.col("wide")[k].alias(f"w{k}_{x}") for k in range(WIDE)])
+    likely = lambda pairs: _verified(pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").where(_may_be(similarity)), docs, words_per_shingle, similarity)
+    first = cut(likely(shared.where("rep <> least").select(F.col("rep").alias("rep_a"), F.col("least").alias("rep_b")).distinct()), "first")
     roots = components(first, "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
-    known = cut(classes.where("rep is not null").join(roots, "rep", "left").select("fp", "rep", "n", "wide", F.coalesce("root", "rep").alias("root")), "known")
-    side = lambda x: known.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}"), *[F.col("wide")[k].alias(f"w{k}_{x}") for k in range(WIDE)])
-    is_open = f"root_a <> root_b and {_may_be(similarity)}"
-    across = near.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(is_open).select("rep_a", "rep_b")
-    inside = side("a").join(side("b"), F.col("a") == F.col("b")).where(f"rep_a < rep_b and {is_open}").select("rep_a", "rep_b")
-    second = _verified(across.unionByName(inside), docs, words_per_shingle, similarity)
+    rooted = cut(shared.drop("least").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "rooted")
+    mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
+    still = cut(rooted.join(mixed, "h"), "open")
+    end = lambda x: still.select("h", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "at", "root")])
+    is_open = f"rep_a < rep_b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D"
+    second = likely(cut(end("a").join(end("b"), "h").where(is_open).select("rep_a", "rep_b").distinct(), "candidates"))
     roots = components(first.unionByName(second), "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
     groups = classes.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
     return rows.join(groups, "digest").select("doc_id", "component_id")

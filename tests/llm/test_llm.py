@@ -198,6 +198,20 @@ def test_similar_documents(request, which):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values())) and kept.columns == df.columns
 
 
+def test_similar_documents_finds_every_link(spark):
+    """Appended, cut short, edited in one stretch, and texts of few words."""
+    rng, texts = random.Random(8), []
+    for n in [*range(5, 21), 50, 60, 100, 200] * 4:
+        words, more = ([f"{x}{rng.getrandbits(40)}" for _ in range(n)] for x in "wm")
+        k = max(1, (n - 4) // 4)
+        texts += [" ".join(w) for w in (words, words + more[:k], words[: n - max(1, (n - 4) // 5)], words[: n - max(1, n // 12)] + more[: max(1, n // 12)])]
+    sets = [slow_shingles(t) for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if sets[a] & sets[b] and jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(links) > 200
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()} == roots_of(range(len(texts)), links)
+
+
 def test_no_similar_pair_is_ruled_out(spark):
     rng, rows = random.Random(6), []
     for n in [*range(4, 40)] * 30 + [100, 400, 3000] * 10:
