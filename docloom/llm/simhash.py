@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -166,75 +166,119 @@ def _prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], similar
     return shingles[np.lexsort((shingles, often))[: n - int(np.ceil(similarity * n - 1e-6)) + 1 if n else 0]].view(np.int64)
 
 
+ROW = "id bigint, n int, fp bigint, wide array<bigint>, prefix array<bigint>"
+
+
 def _sketches(docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
-    """(doc_id, digest of the shingle set, its size, wide: its odd sketch, prefix)."""
+    """(doc_id, key: a hash of the text, id: one of the shingle set, its size n, fp: its SimHash, wide: its odd sketch, prefix)."""
     common = _common(docs, words_per_shingle)
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for doc_id, text in frame.itertuples(index=False):
-                shingles, _ = shingle_set(text, words_per_shingle)
-                rows.append((doc_id, xxhash.xxh128_digest(shingles.astype("<u8").tobytes()), len(shingles), _wide(shingles), _prefix(shingles, common, similarity)))
-            yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "wide", "prefix"]).astype({"doc_id": "Int64"})
+            for doc_id, text, key in frame.itertuples(index=False):
+                s, _ = shingle_set(text, words_per_shingle)
+                digest = xxhash.xxh3_64_intdigest(s.astype("<u8").tobytes())
+                rows.append((doc_id, key, digest - (1 << 63), len(s), _majority(s), _wide(s), _prefix(s, common, similarity)))
+            yield pd.DataFrame(rows, columns=["doc_id", "key", "id", "n", "fp", "wide", "prefix"]).astype({"doc_id": "Int64"})
 
-    return docs.mapInPandas(sketched, "doc_id bigint, digest binary, n int, wide array<bigint>, prefix array<bigint>")
+    return docs.mapInPandas(sketched, f"doc_id bigint, key bigint, {ROW}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
-    """Those of the pairs (rep_a, rep_b) whose shingle sets are that similar. Only texts that occur in a pair are hashed again."""
-    pairs = cut(pairs.select("rep_a", "rep_b").distinct(), "pairs")
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) of classes whose shingle sets are that similar. Only texts that stand for a class in a pair are read again."""
+    pairs = cut(pairs.select("a", "b").distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+    chosen = classes.join(ends, "id", "left_semi").select("id", F.col("first.doc_id").alias("d"), F.col("first.key").alias("k"))
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"rep": frame["doc_id"], "s": [shingle_set(t, words_per_shingle)[0].view(np.int64) for t in frame["text"]]})
+            yield pd.DataFrame({"id": frame["id"], "s": [shingle_set(t, words_per_shingle)[0].view(np.int64) for t in frame["text"]]})
 
-    ends = pairs.select(F.col("rep_a").alias("doc_id")).unionAll(pairs.select("rep_b")).distinct()
-    sets = docs.join(ends, "doc_id", "left_semi").mapInPandas(hashed, "rep bigint, s array<bigint>")
-    sets = cut(sets.groupBy("rep").agg(F.min("s").alias("s")), "sets")  # a doc_id of several texts is one vertex, with one of them
-    side = lambda x: sets.select(F.col("rep").alias(f"rep_{x}"), F.col("s").alias(f"s_{x}"))
-    both = pairs.join(side("a"), "rep_a").join(side("b"), "rep_b")
+    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("id", "text")
+    sets = cut(texts.mapInPandas(hashed, "id bigint, s array<bigint>").dropDuplicates(["id"]), "sets")  # repeated rows have one set
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("s").alias(f"s_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("rep_a", "rep_b")
+    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
 
 
-def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row for each document: doc_id, component_id, linked where sets of shingles have a Jaccard similarity of `similarity`.
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text, key): key tells texts apart that share a doc_id; a null text has its own."""
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), _key(F.col(text)).alias("key"))
 
-    Candidates share a shingle of their prefixes, as all pairs of that similarity do, so no link is lost; every link is
-    verified by the exact sets. Documents of one set are a class and never paired. Each class is first held against the
-    smallest one of each shingle of its prefix; of all candidate pairs only those that this leaves in different groups,
-    and whose sizes, places of the shared shingle and odd sketches don't prove them less similar, are then verified,
-    which gives the groups that verifying all would give. Null and blank texts have the empty set and are one class;
-    shorter texts than a shingle are one shingle. Null doc_ids have no component of their own. An empty table gives an
-    empty result.
-    """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+def _key(text: Column) -> Column:
+    return F.xxhash64(text.isNull(), text)
+
+
+def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bits: int) -> DataFrame:
+    """(doc_id, key, id, component_id, first): the row's class, the smallest doc_id of its component, and that row's (doc_id, key)."""
     rows = cut(_sketches(docs, words_per_shingle, similarity), "sketches")
-    classes = cut(rows.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix")), "classes")
-    named = classes.where("rep is not null")
-    places = named.select("rep", "n", F.posexplode("prefix").alias("at", "h"))
-    several = places.groupBy("h").agg(F.min("rep").alias("least"), F.count("*").alias("many")).where("many > 1").select("h", "least")
-    shared = cut(places.join(several, "h"), "shared")
-    side = lambda x: named.select(F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"), *[F.col("wide")[k].alias(f"w{k}_{x}") for k in range(WIDE)])
-    likely = lambda pairs: _verified(pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").where(_may_be(similarity)), docs, words_per_shingle, similarity)
-    first = cut(likely(shared.where("rep <> least").select(F.col("rep").alias("rep_a"), F.col("least").alias("rep_b")).distinct()), "first")
-    roots = components(first, "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
-    rooted = cut(shared.drop("least").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "rooted")
+    own = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "key")
+    classes = cut(rows.groupBy("id").agg(F.min(own).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")), "classes")
+    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *[F.col("wide")[k].alias(f"w{k}_{x}") for k in range(WIDE)])
+    likely = lambda pairs: _verified(pairs.join(side("a"), "a").join(side("b"), "b").where(_may_be(similarity)), classes, docs, words_per_shingle, similarity)
+    # fingerprints first: classes of one, and those of near ones
+    prints = cut(classes.groupBy("fp").agg(F.min("id").alias("rep")), "prints")
+    near = near_pairs(prints, max_bits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    same = classes.join(prints, "fp").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    # then every class with the least one of each shingle of its prefix. Merge joins, so that the plan is one at any size
+    places = rows.select("id", "n", F.posexplode("prefix").alias("at", "h"))
+    several = places.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "least")
+    shared = cut(places.join(several.hint("merge"), "h").distinct(), "shared")  # copies of a class make one row
+    lead = shared.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    first = cut(likely(near.unionAll(same).unionAll(lead).distinct()), "first")
+    roots = components(first, "a", "b").select(F.col("node").alias("id"), "root")
+    rooted = cut(shared.drop("least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
     still = cut(rooted.join(mixed, "h"), "open")
-    end = lambda x: still.select("h", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "at", "root")])
-    is_open = f"rep_a < rep_b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D"
-    second = likely(cut(end("a").join(end("b"), "h").where(is_open).select("rep_a", "rep_b").distinct(), "candidates"))
-    roots = components(first.unionByName(second), "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
-    groups = classes.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
-    return rows.join(groups, "digest").select("doc_id", "component_id")
-
-
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", grouped: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
-    """The rows of docs, all columns, that stand for their group: those with the smallest doc_id; a repeated doc_id stays
-    once. Rows with a null doc_id stay. grouped: near_duplicates or similar_documents, with their options."""
-    groups = grouped(docs, doc_id, text, **options)
+    end = lambda x: still.select("h", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "at", "root")])
+    is_open = f"a < b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D"
+    second = likely(cut(end("a").join(end("b"), "h").where(is_open).select("a", "b").distinct(), "candidates"))
+    roots = components(first.unionByName(second), "a", "b").select(F.col("node").alias("id"), "root")
+    named = cut(classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "roots")
+    groups = named.join(named.groupBy("root").agg(F.min("first").alias("of")), "root").select("id", F.col("of").alias("first"))
+    return rows.select("doc_id", "key", "id").join(groups, "id").withColumn("component_id", F.col("first.doc_id"))
+
+
+def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, similarity: float = 0.8, max_bits: int = 3) -> DataFrame:
+    """One row for each document: doc_id, component_id, linked where sets of shingles have a Jaccard similarity of `similarity`.
+
+    SimHash fingerprints of the sets give the first candidates, by pigeonring within max_bits bits. Sets at 0.8 differ in
+    some ten of 64 bits, so an exact way finds the rest: candidates share a shingle of their prefixes, as all pairs of that
+    similarity do, and no link is lost. Documents of one set are a class and never paired. Each class is held against
+    those its fingerprint finds and the least one of each shingle of its prefix; of all other candidate pairs only those
+    that this leaves in different groups, and whose sizes, places of the shared shingle and odd sketches (bounds that
+    every similar pair meets) don't rule them out, follow. Every link is verified by the exact sets, told apart by 64-bit
+    hashes. Null and blank texts have the empty set and are one class; shorter texts than a shingle are one shingle. Rows
+    that share a doc_id are rows of their own, each with its own text. A null doc_id comes last in its group and is its
+    component_id only where all are null. An empty table gives an empty result.
+    """
+    return _similar(_rows(docs, doc_id, text), words_per_shingle, similarity, max_bits).select("doc_id", "component_id")
+
+
+def one_of_each_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs, all columns, that stand for their group of similar_documents(): the one with the smallest doc_id,
+    of several texts with that doc_id one. Rows are told apart by doc_id and text, so a text that merely shares its doc_id
+    with a copy stays; of rows that are equal in both one stays. Rows with a null doc_id stay. Texts are not shuffled
+    where the list of what goes may be broadcast.
+    """
+    found = _similar(_rows(docs, doc_id, text), **{"words_per_shingle": 5, "similarity": 0.8, "max_bits": 3} | options).where("doc_id is not null")
+    found = cut(found.select("doc_id", "key", (F.struct("doc_id", "key") == F.struct("first.doc_id", "first.key")).alias("stays")), "groups")
+    gone = found.where(~F.col("stays")).select("doc_id", "key").distinct()
+    twice = found.where("stays").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
+    marks = cut(gone.withColumn("gone", F.lit(True)).unionByName(twice.withColumn("gone", F.lit(False))), "marks")
+    marks = marks.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("gone").alias("_gone"))
+    marked = docs.join(marks, (F.col(doc_id).cast("long") == F.col("_d")) & (_key(F.col(text)) == F.col("_k")), "left")
+    once = marked.where("not _gone").dropDuplicates(["_d", "_k"])  # repeated rows alone
+    return marked.where("_gone is null").unionByName(once).select(docs.columns)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs, all columns, that stand for their group of near_duplicates(): those with the smallest doc_id; a
+    repeated doc_id stays once, whichever its text. Rows with a null doc_id stay."""
+    groups = near_duplicates(docs, doc_id, text, **options)
     gone = cut(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct(), "copies")
     named = docs.where(F.col(doc_id).isNotNull()).join(gone, doc_id, "left_anti").dropDuplicates([doc_id])
     return named.select(docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))

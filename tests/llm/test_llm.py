@@ -178,23 +178,14 @@ def edited(spark):
 
 @pytest.mark.parametrize("which", ["docs", "edited"])
 def test_similar_documents(request, which):
-    import xxhash
-
     df = request.getfixturevalue(which)
     texts = {r.doc_id: r.text for r in df.collect()}
     sets = {d: slow_shingles(t) for d, t in texts.items()}
 
-    def words_print(t):
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in slow_shingles(t, 1)]
-        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-    prints = {d: words_print(t) for d, t in texts.items()}
     links = [(a, b) for a in texts for b in texts if a < b and jaccard(sets[a], sets[b]) >= 0.8]
-    near = [(a, b) for a, b in links if (prints[a] ^ prints[b]).bit_count() <= 7]
-    assert len(near) >= 0.9 * len(links)
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
-    assert got == roots_of(texts, near)
-    kept = simhash.one_of_each(df, grouped=simhash.similar_documents)
+    assert got == roots_of(texts, links)
+    kept = simhash.one_of_each_similar(df)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values())) and kept.columns == df.columns
 
 
@@ -230,6 +221,36 @@ def test_similar_documents_odd(odd, empty):
     by = {r.doc_id: r.component_id for r in got}
     assert len(got) == len(ODD) and by[1] == by[2] == 1 and by[3] == by[4] == by[6] == 3 and by[None] is None and by[5] == 5
     assert simhash.similar_documents(empty).count() == 0
+    assert sorted((r.doc_id for r in simhash.one_of_each_similar(odd).collect()), key=str) == [1, 3, 5, 7, 8, None]
+    assert simhash.one_of_each_similar(empty).count() == 0
+
+
+def test_a_text_that_shares_its_doc_id_with_a_copy_stays(spark):
+    """Another text of a repeated doc_id goes only if it is a copy itself, and copies of it don't go with it."""
+    one, two, three = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    df = spark.createDataFrame([(1, one), (2, one), (2, two), (3, two), (4, three), (4, three), (5, "few words"), (5, "FEW words"), (6, None), (6, "")], "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text or "") for r in simhash.one_of_each_similar(df).collect())
+    assert [(d, t.lower()) for d, t in kept] == [(1, one), (2, two), (4, three), (5, "few words"), (6, "")]
+
+
+def test_one_large_group_of_near_copies(spark):
+    """2,500 near copies of one text, most linked to it, few to each other, some to nothing."""
+    rng = random.Random(12)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for d in range(2500):
+        words = list(base)
+        for _ in range(rng.randrange(1, 5) if d else 0):
+            words[rng.randrange(len(words))] = f"n{rng.getrandbits(40)}"
+        rows.append((d, " ".join(words)))
+    base_set = slow_shingles(rows[0][1])
+    sets = {d: slow_shingles(t) for d, t in rows}
+    linked = {d for d in sets if jaccard(sets[d], base_set) >= 0.8}
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[d] == 0 for d in linked) and 100 < len(linked) < 2500
+    for d in rng.sample(sorted(set(sets) - linked), 25):
+        partners = {got[e] for e in sets if e != d and jaccard(sets[d], sets[e]) >= 0.8}
+        assert partners <= {got[d]} and (partners or got[d] == d)
 
 
 # tokens
