@@ -72,8 +72,12 @@ def find_spans(docs: DataFrame, doc_id: str, text: str, owner: str) -> DataFrame
     """(uid, doc_id, owner, base, extra): spans of the base kinds, and mixed tokens that touch none of them."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), F.col(owner).cast("string").alias("owner"), _base(body).alias("base"), _spans(body, OWNED, 3, lambda m: m, _mixed).alias("extra"))
-    apart = F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    return rows.withColumn("extra", apart)
+    return rows.withColumn("extra", _apart())
+
+
+def _apart() -> Column:
+    """Those of extra that touch no span of base."""
+    return F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -128,13 +132,25 @@ def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
 def without_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", mask: str = "[secret]") -> DataFrame:
     """docs, all columns and rows, with every span of scan() replaced by mask; texts without one are unchanged.
 
-    doc_ids should be distinct; rows that share one get the spans of the row itself where it has a null doc_id, base
-    kinds only, and else those of any of them.
+    Every row is masked by its own spans, whatever its doc_id, which is not read. The rows are written once with their
+    spans; a row without a mixed token is masked as it is read. Only rows with one wait for the owners of its hash, so of
+    the texts only theirs are shuffled. Null texts stay null, a null owner is an owner by itself, and an empty table
+    gives an empty result.
     """
-    spans = scan(docs, doc_id, text, owner).where("doc_id is not null and size(all_spans) > 0").select(F.col("doc_id").alias(doc_id), "all_spans").dropDuplicates([doc_id])
-    joined = docs.join(cut(spans, "spans"), doc_id, "left")
-    own = F.when(F.col(doc_id).isNull(), _base(F.coalesce(F.col(text), F.lit("")))).otherwise(F.col("all_spans"))
-    return joined.withColumn(text, F.when(F.size(own) > 0, redact(F.col(text), own, mask)).otherwise(F.col(text))).select(docs.columns)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    body = F.coalesce(F.col(text), F.lit(""))
+    held = docs.select(F.monotonically_increasing_id().alias("uid"), row, F.col(owner).cast("string").alias("owner"), _base(body).alias("base"), _spans(body, OWNED, 3, lambda m: m, _mixed).alias("extra"))
+    held = cut(held.withColumn("extra", _apart()), "secrets")
+
+    def masked(rows: DataFrame, spans: Column) -> DataFrame:
+        return rows.select(*[redact(F.col("row")[c], spans, mask).alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+
+    some = held.where(F.size("extra") > 0)
+    spans = some.select("uid", F.explode("extra").alias("s")).withColumn("hash", F.col("s.hash"))
+    single = ownership(held.select("uid", "owner", "base", "extra")).where("owners = 1").select("hash")
+    live = spans.join(single, "hash", "left_semi").groupBy("uid").agg(F.collect_list("s").alias("live"))
+    waited = some.join(live, "uid", "left").withColumn("live", F.coalesce("live", F.array().cast(f"array<{SPAN}>")))
+    return masked(held.where(F.size("extra") == 0), F.col("base")).unionByName(masked(waited, F.concat("base", "live")))
 
 
 def _duck_spans(kind: int, pattern: str, value: str, keep: str) -> str:

@@ -57,7 +57,7 @@ class TokenCounter:
         self.letters = byte_letters()
         strings = sorted((regex.escape(t["content"]) for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(strings)) if strings else None
-        self.words = Words(self._count_chunk, 0, True, room)
+        self.words = Words(self._count_chunk, lambda word: self._count_chunk(" " + word), sum, True, room)
 
     def _count_chunk(self, chunk: str) -> int:
         total = 0

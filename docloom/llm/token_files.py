@@ -37,21 +37,30 @@ SHARDS = f"{PLACE}, control binary, data binary"
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit values."""
     v = np.ascontiguousarray(values, "<u4")
-    size = 1 + (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
+    extra = (v > 0xFF).view(np.uint8) + (v > 0xFFFF).view(np.uint8) + (v > 0xFFFFFF).view(np.uint8)
     codes = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    codes[: len(v)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), v.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]].tobytes()
+    codes[: len(v)] = extra
+    control = codes[::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    starts = np.cumsum(extra, dtype=np.int64) - extra + np.arange(len(v))
+    data = np.zeros(len(v) + int(extra.sum(dtype=np.int64)), np.uint8)
+    data[starts] = v & 0xFF
+    at = np.arange(len(v))
+    for k in (1, 2, 3):
+        at = at[extra[at] >= k]
+        data[starts[at] + k] = v[at] >> (8 * k) & 0xFF
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The n values that pack() was given."""
     size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    ends = np.cumsum(size, dtype=np.int64)
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        out |= np.where(size > k, raw[np.minimum(ends - size + k, len(raw) - 1)], 0).astype(np.uint32) << np.uint32(8 * k)
+    starts = np.cumsum(size, dtype=np.int64) - size
+    raw = np.frombuffer(data, np.uint8)
+    out = raw[starts].astype(np.uint32)
+    at = np.arange(n)
+    for k in (1, 2, 3):
+        at = at[size[at] > k]
+        out[at] |= raw[starts[at] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
@@ -68,7 +77,7 @@ def _encode_blocks(path: str, kind: str, end_id: int):
             return _row(STAGED, [shard, n_blocks, before, doc_ids, lengths, ids])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), map(pa.StringScalar.as_py, batch.column(1)), strict=True):  # one text at a time
                 code = encoder.encode(text) + end
                 doc_ids.append(doc_id)
                 lengths.append(len(code) // 4)

@@ -11,17 +11,17 @@ import re
 import sys
 from array import array
 from collections.abc import Callable
-from functools import lru_cache, reduce
-from operator import add
+from functools import lru_cache
 
 # White space as the tokenizers' \s has it, and ASCII marks but the apostrophe, which may begin a piece.
 SPACE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
+_LITTLE = sys.byteorder == "little"
 BYTE_CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORD_CHUNK = re.compile(rf"[^{SPACE}]+")
 _ENDS_IN_SPACE = re.compile(rf"[{SPACE}]\Z")
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES, LONGEST = 700_000, 64
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,11 +37,12 @@ class _Crossing(Exception):
 class Words(dict):
     """word -> the value of that word with a plain space before it (byte-level), or of the word alone.
 
-    encode gives the value of one chunk; values of neighbours are added.
+    encode gives the value of one chunk, letters that of a word of letters, which is one piece; total joins the values of
+    neighbours. Words over LONGEST characters aren't kept, so the cache is bounded in bytes too.
     """
 
-    def __init__(self, encode: Callable, empty, byte_level: bool, room: int = CACHE_ENTRIES):
-        self.encode, self.empty, self.byte_level, self.room = encode, empty, byte_level, room
+    def __init__(self, encode: Callable, letters: Callable, total: Callable, byte_level: bool, room: int = CACHE_ENTRIES):
+        self.encode, self.letters, self.total, self.byte_level, self.room = encode, letters, total, byte_level, room
         self.bare: dict = {}
 
     def _bare(self, chunk: str):
@@ -50,36 +51,41 @@ class Words(dict):
         out = self.bare.get(chunk)
         if out is None:
             out = self.encode(chunk)
-            if len(self.bare) < self.room // 4:
+            if len(self.bare) < self.room // 4 and len(chunk) <= LONGEST:
                 self.bare[chunk] = out
         return out
 
     def by_chunks(self, text: str):
         """The value of a text without a look at its split by plain spaces."""
         if not self.byte_level:
-            return reduce(add, (self[c] for c in WORD_CHUNK.findall(text)), self.empty)
-        values = (self[c[1:]] if len(c) > 1 and c[0] == " " and not _ENDS_IN_SPACE.search(c) else self._bare(c) for c in BYTE_CHUNK.findall(text))
-        return reduce(add, values, self.empty)
+            return self.total(self[c] for c in WORD_CHUNK.findall(text))
+        return self.total(self[c[1:]] if len(c) > 1 and c[0] == " " and not _ENDS_IN_SPACE.search(c) else self._bare(c) for c in BYTE_CHUNK.findall(text))
 
     def __missing__(self, word: str):
-        if not word:
+        keep = len(word) <= LONGEST and len(self) < self.room
+        if word.isalpha():
+            out = self.letters(word)
+        elif not word:
             if self.byte_level:
                 raise _Crossing
-            return self.empty
-        core = word.rstrip(MARKS)
-        if core and len(core) < len(word) and core[-1].isalpha():
-            # closing marks are pieces of their own after a letter, so a word shares its entry with and without them
-            keep = core in self
-            out = self[core] + self._bare(word[len(core) :])
-        elif WORD_CHUNK.fullmatch(word):
-            keep = True
-            out = self.encode(" " + word if self.byte_level else word)
+            return self.total(())
         else:
-            if self.byte_level and _ENDS_IN_SPACE.search(word):
-                raise _Crossing
-            keep = False
-            out = self.by_chunks(" " + word if self.byte_level else word)
-        if keep and len(self) < self.room:
+            core = word.rstrip(MARKS)
+            if core and len(core) < len(word) and core[-1].isalpha():
+                # closing marks are pieces of their own after a letter, so a word shares its entry with and without them
+                keep = keep and core in self
+                out = self[core] + self._bare(word[len(core) :])
+            elif WORD_CHUNK.fullmatch(word):
+                out = self.encode(" " + word if self.byte_level else word)
+            else:
+                if self.byte_level and _ENDS_IN_SPACE.search(word):
+                    raise _Crossing
+                keep = False
+                left, _, right = word.partition("\n")
+                if self.byte_level and left and WORD_CHUNK.fullmatch(left) and WORD_CHUNK.fullmatch(right):
+                    return self[left] + self._bare("\n") + self._bare(right)  # a line break inside, the commonest case
+                out = self.by_chunks(" " + word if self.byte_level else word)
+        if keep:
             self[word] = out
         return out
 
@@ -115,11 +121,17 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = dict(enumerate(byte_letters()))
-        self.words = Words(self._chunk, b"", self.tokenizer.normalizer is None, room)
+        byte_level = self.tokenizer.normalizer is None
+        self.words = Words(self._chunk, self._letters if byte_level else self._chunk, b"".join, byte_level, room)
 
     def _library(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _letters(self, word: str) -> bytes:
+        """The ids of a word of letters after a plain space."""
+        piece = self.letters[32] + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes() if _LITTLE else self._chunk(" " + word)
+
     def _chunk(self, chunk: str) -> bytes:
         """The ids of a chunk. A word of letters is one piece, which goes to the library's model as it stands."""
         word = chunk.lstrip(" ")
