@@ -40,7 +40,7 @@ class _Codes(dict):
 
     def __missing__(self, word: str) -> int:
         code = xxhash.xxh64_intdigest(word) or 1
-        if len(self) < self.room:
+        if len(self) < self.room and len(word) <= 64:
             self[word] = code
         return code
 

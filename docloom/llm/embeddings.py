@@ -37,14 +37,14 @@ def _prepared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for vec_id, label, v in frame.itertuples(index=False):
             a = None if v is None else np.array([np.nan if x is None else x for x in v], np.float64)
-            norm = 0.0 if a is None or not len(a) or not np.isfinite(a).all() else float(np.linalg.norm(a))
-            if label is None or not 0 < norm < math.inf:
+            top = 0.0 if a is None or not len(a) or not np.isfinite(a).all() else float(np.abs(a).max())
+            if label is None or not top:
                 rows.append((vec_id, label, None, None, None))
                 continue
-            a = a + 0.0  # no negative zero
+            a = np.ldexp(a, -math.frexp(top)[1]) + 0.0  # by a power of two, so no square overflows; no negative zero
             if len(a) not in turns:
                 turns[len(a)] = rotation(len(a))
-            unit = turns[len(a)] @ (a / norm)
+            unit = turns[len(a)] @ (a / np.linalg.norm(a))
             parts = np.zeros((-(-len(a) // BLOCK), BLOCK), np.float32)
             parts.reshape(-1)[: len(a)] = unit
             rows.append((vec_id, label, hashlib.blake2b(label.encode() + b"\0" + a.tobytes(), digest_size=16).digest(), a, list(parts)))
@@ -75,10 +75,11 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", label: str = "la
     """One row for each vector: vec_id, n_links, component_id, kept.
 
     Vectors link when their labels are equal and not null and their cosine, in double precision, is at least `cosine`.
+    Every vector is scaled by a power of two first, so its length never overflows.
     Equal vectors of a label form a class, which is joined once with its size as weight; n_links counts all other rows
     linked directly. Vectors that are null, empty, zero or hold a null or non-finite component, and those with a null
     label, link with nothing: their component is their own vec_id. Vectors of different sizes don't link. Rows that
-    share a vec_id stay, as one vertex of the graph; a null vec_id has a null component unless its links have another.
+    share a vec_id are vectors of their own; a null vec_id has a null component unless what it is linked to has an id.
     An empty table gives an empty result.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(embedding).cast("array<double>").alias("v"))
@@ -88,15 +89,16 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", label: str = "la
     classes = cut(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     gridded = min(BLOCK, 3 + max(0, math.ceil(math.log(max(classes.count(), 1) / 100_000, 4))))
     found = candidates(classes.select("id", "label", "blocks"), 2 - 2 * cosine, gridded)
-    left = classes.select(F.col("id").alias("a"), F.col("raw").alias("va"), F.col("n").alias("na"), F.col("rep").alias("rep_a"))
-    right = classes.select(F.col("id").alias("b"), F.col("raw").alias("vb"), F.col("n").alias("nb"), F.col("rep").alias("rep_b"))
+    left = classes.select(F.col("id").alias("a"), F.col("raw").alias("va"), F.col("n").alias("na"))
+    right = classes.select(F.col("id").alias("b"), F.col("raw").alias("vb"), F.col("n").alias("nb"))
     dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     near = dot("va", "vb") / F.sqrt(dot("va", "va") * dot("vb", "vb")) >= cosine
-    links = cut(found.join(left, "a").join(right, "b").where((F.size("va") == F.size("vb")) & near).select("a", "b", "na", "nb", "rep_a", "rep_b"), "links")
+    links = cut(found.join(left, "a").join(right, "b").where((F.size("va") == F.size("vb")) & near).select("a", "b", "na", "nb"), "links")
     others = links.select(F.col("a").alias("id"), F.col("nb").alias("n")).unionAll(links.select("b", "na")).groupBy("id").agg(F.sum("n").alias("linked"))
-    roots = components(links, "rep_a", "rep_b").select(F.col("node").alias("rep"), "root")
-    known = classes.select("key", "id", "rep", "n").join(others, "id", "left").join(roots, "rep", "left")
-    known = known.select("key", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+    roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")
+    named = cut(classes.select("key", "id", "rep", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
+    known = named.join(named.groupBy("root").agg(F.min("rep").alias("component_id")), "root").join(others, "id", "left")
+    known = known.select("key", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "component_id")
     out = usable.select("vec_id", "key").join(known, "key").select("vec_id", "n_links", "component_id")
     alone = rows.where("key is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -2,8 +2,8 @@
 
 A phrase is the longest match from its start that occurs anywhere in a language's sample, and at least one symbol. The
 suffix automaton of the sample accepts exactly its substrings, so the longest match is a walk from the root until no
-transition is left. With missing transitions led to the root's (and marked), a parse is one table walk, and many blocks
-of text walk in step.
+transition is left. Transitions lie in a hash table; a missing one leads on from the root and marks a phrase, so a parse
+is one walk, and many blocks of text walk in step.
 """
 
 from __future__ import annotations
@@ -16,59 +16,94 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 512
-#: Symbols: 0 any run of non-letters, 1 any letter that no sample has, then the sample's letters.
+#: Symbols: 0 any run of non-letters, 1 any letter that no sample has, then the samples' letters, all of them.
 GAP, STRANGE = 0, 1
 _SLAB = 1 << 21
+_CODE_POINTS = 0x110000
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Transitions (states x width, -1 where there is none) of the automaton that accepts all substrings; state 0 is the root."""
-    most = 2 * len(symbols) + 2
-    step = np.full((most, width), -1, np.int32)
-    link, length = [-1] * most, [0] * most
+def suffix_automaton(symbols: np.ndarray) -> tuple[int, np.ndarray]:
+    """(states, transitions as rows (state, symbol, next state)) of the automaton that accepts all substrings; state 0 is the root."""
+    link, length = [-1], [0]
     rows: list[dict[int, int]] = [{}]
-    last, size = 0, 1
+    last = 0
     for c in symbols.tolist():
-        cur, size = size, size + 1
+        cur = len(rows)
         rows.append({})
-        length[cur] = length[last] + 1
+        length.append(length[last] + 1)
+        link.append(0)
         p = last
         while p != -1 and c not in rows[p]:
             rows[p][c] = cur
             p = link[p]
-        if p == -1:
-            link[cur] = 0
-        else:
+        if p != -1:
             q = rows[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                twin, size = size, size + 1
+                twin = len(rows)
                 rows.append(dict(rows[q]))
-                length[twin], link[twin] = length[p] + 1, link[q]
+                length.append(length[p] + 1)
+                link.append(link[q])
                 while p != -1 and rows[p].get(c) == q:
                     rows[p][c] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    for state, row in enumerate(rows):
-        if row:
-            step[state, list(row)] = list(row.values())
-    return step[:size]
+    return len(rows), np.array([(state, c, to) for state, row in enumerate(rows) for c, to in row.items()], np.int64).reshape(-1, 3)
+
+
+class Transitions:
+    """An automaton's transitions in a hash table with linear probing; any number of symbols costs no room for those a state lacks."""
+
+    def __init__(self, states: int, edges: np.ndarray, width: int):
+        self.width, self.alone = width, states  # alone: the state after a symbol that the sample lacks
+        self.root = np.full(width, states, np.int32)
+        at_root = edges[edges[:, 0] == 0]
+        self.root[at_root[:, 1]] = at_root[:, 2]
+        bits = max(4, (2 * len(edges)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        keys, to = edges[:, 0] * width + edges[:, 1], edges[:, 2]
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] == -1)
+            _, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.keys[slot[placed]], self.to[slot[placed]] = keys[placed], to[placed]
+            rest = np.ones(len(keys), bool)
+            rest[placed] = False
+            keys, to, slot = keys[rest], to[rest], (slot[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _SPREAD) >> self.shift).view(np.int64)
+
+    def step(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, whether a phrase ends before the symbol): a missing transition starts a phrase at the root."""
+        keys = states.astype(np.int64) * self.width + symbols
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out, ended = self.to[slot], held == -1
+        open_ = np.flatnonzero((held != keys) & ~ended)
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            held = self.keys[slot[open_]]
+            out[open_] = self.to[slot[open_]]
+            ended[open_] = held == -1
+            open_ = open_[(held != keys[open_]) & (held != -1)]
+        return np.where(ended, self.root[symbols], out), ended
 
 
 @dataclass
 class Languages:
     names: list[str]
-    letters: np.ndarray  # code point -> symbol; code points beyond its end are looked up one by one
-    tables: list[np.ndarray]  # for each language: states x symbols -> 2 * next state + (a phrase ends before this symbol)
+    letters: np.ndarray  # code point -> symbol
+    tables: list[Transitions]
 
     def symbols(self, text: str) -> np.ndarray:
         """The text's letters in lower case, with one gap for each run of other characters, but none at either end."""
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")
-        s = self.letters[np.minimum(codes, len(self.letters) - 1)]
-        for k in np.flatnonzero(codes >= len(self.letters) - 1):
-            s[k] = STRANGE if chr(codes[k]).isalpha() else GAP
+        s = self.letters[np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")]
         keep = s != GAP
         keep[1:] |= s[:-1] != GAP
         s = s[keep]
@@ -76,21 +111,19 @@ class Languages:
         return s[a : len(s) - 1 if len(s) > a and s[-1] == GAP else len(s)]
 
     def phrases(self, blocks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Phrases of each block (row, padded) by language."""
+        """Phrases of each block (row, padded) by language, but for the one that its end closes."""
         out = np.zeros((len(self.tables), len(blocks)), np.int64)
         order = np.argsort(-sizes, kind="stable")
         columns, sizes = np.ascontiguousarray(blocks[order].T), sizes[order]
         live = np.searchsorted(-sizes, -np.arange(blocks.shape[1]), side="left")  # rows longer than each place
         for k, table in enumerate(self.tables):
-            flat, width = table.ravel(), table.shape[1]
-            state, found = np.zeros(len(blocks), np.int32), np.zeros(len(blocks), np.int64)
-            for t in range(blocks.shape[1]):
+            state, found = table.root[columns[0]], np.zeros(len(blocks), np.int64)
+            for t in range(1, blocks.shape[1]):
                 n = live[t]
                 if not n:
                     break
-                to = flat[state[:n] * width + columns[t, :n]]
-                found[:n] += to & 1
-                state[:n] = to >> 1
+                state[:n], ended = table.step(state[:n], columns[t, :n])
+                found[:n] += ended
             out[k, order] = found
         return out
 
@@ -99,7 +132,7 @@ class Languages:
         held: list[tuple[int, np.ndarray]] = []
         room = 0
         for k, text in enumerate(texts):
-            s = self.symbols(text) if text else np.empty(0, np.uint8)
+            s = self.symbols(text) if text else np.empty(0, np.int32)
             if len(s) and self.names:
                 held.append((k, s))
                 room += len(s)
@@ -114,11 +147,11 @@ class Languages:
         counts = np.array([-(-len(s) // BLOCK) for _, s in held])
         starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
         sizes = np.full(int(counts.sum()), BLOCK)
-        blocks = np.zeros((len(sizes), BLOCK), np.uint8)
+        blocks = np.zeros((len(sizes), BLOCK), np.int32)
         for (_, s), a, c in zip(held, starts, counts, strict=True):
             blocks[a : a + c].reshape(-1)[: len(s)] = s
             sizes[a + c - 1] = len(s) - (c - 1) * BLOCK
-        # a block's first phrase has no mark before it, so each block counts one more
+        # the phrase that a block's end closes counts too
         total = np.add.reduceat(self.phrases(blocks, sizes) + 1, starts, axis=1)
         for (k, s), own in zip(held, total.T, strict=True):
             rank = np.argsort(own, kind="stable")
@@ -131,31 +164,23 @@ class Languages:
                 scores[k] = float(1 - 0.5 ** (1 + min(gap, 60.0)))
 
 
-def learn(samples: dict[str, list[str]], symbols_in_all: int = 160_000) -> Languages:
-    """Build the automata from each language's sample texts, symbols_in_all / languages symbols of each at most."""
+def learn(samples: dict[str, list[str]], symbols_each: int = 40_000, symbols_in_all: int = 1_600_000) -> Languages:
+    """Build the automata from each language's sample texts: symbols_each symbols a language, or an equal part of
+    symbols_in_all where that is less, which bounds the model. Every letter of the samples is a symbol of its own."""
     names = sorted(samples)
-    seen = sorted({c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()})
-    seen = seen[:254] if len(seen) > 254 else seen
-    letters = np.zeros(0x3000, np.uint8)
-    letters[[k for k in range(len(letters)) if chr(k).isalpha()]] = STRANGE
-    for k, c in enumerate(seen):
-        if ord(c) < len(letters) - 1:
-            letters[ord(c)] = k + 2
-    model, width = Languages(names, letters, []), len(seen) + 2
+    seen = np.array(sorted({ord(c) for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()}), np.int64)
+    letters = np.array([STRANGE if chr(k).isalpha() else GAP for k in range(_CODE_POINTS)], np.int32)
+    letters[seen] = np.arange(len(seen)) + 2
+    model = Languages(names, letters, [])
     for name in names:
-        parts, room = [], max(1, symbols_in_all // len(names))
+        parts, room = [np.empty(0, np.int32)], max(1, min(symbols_each, symbols_in_all // len(names)))
         for text in samples[name]:
             s = model.symbols(text)[:room]
-            parts += [s, np.array([GAP], np.uint8)]
+            parts += [s, np.array([GAP], np.int32)]
             room -= len(s) + 1
             if room <= 0:
                 break
-        step = suffix_automaton(np.concatenate(parts) if parts else np.empty(0, np.uint8), width)
-        alone = len(step)  # the state after a symbol that the sample lacks: a phrase of its own
-        root = np.where(step[0] >= 0, step[0], alone)
-        table = np.where(step >= 0, 2 * step, 2 * root[None, :] + 1)
-        table[0] = 2 * root
-        model.tables.append(np.vstack([table, 2 * root + 1]).astype(np.int32))
+        model.tables.append(Transitions(*suffix_automaton(np.concatenate(parts)), len(seen) + 2))
     return model
 
 
@@ -194,7 +219,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     doc_ids are kept and not held out; an empty table gives an empty result.
     """
     model = model or learn(sample_texts(docs, doc_id, text, lang))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by symbols_in_all
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by symbols_in_all, and an array of all code points
 
     @F.pandas_udf("lang_pred string, score double")
     def predicted(texts: pd.Series) -> pd.DataFrame:

@@ -1,7 +1,8 @@
 """Best-fit packing by a grouping genetic algorithm on islands.
 
 Documents become pieces of at most `capacity` tokens. Full pieces are sequences by themselves. The others are dealt by
-hash over islands of a few thousand pieces. On an island an individual is a grouping of its pieces into bins; crossover
+hash over islands of a few thousand pieces. On an island an individual is a grouping of its pieces into bins, at first in
+random orders; crossover
 injects whole well-filled bins of one parent into the other, removes what is then twice there, and best-fits what was
 displaced. Between epochs each island's elite, its fullest bins as lists of lengths, migrates to the next island in the
 ring, which builds an individual around them from its own pieces of those lengths. At last the pieces of all poorly
@@ -34,7 +35,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_i
         encoder, end = text_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for d, t in zip(batch.column(0).to_pylist(), map(pa.StringScalar.as_py, batch.column(1)), strict=True):
                 code = encoder.encode(t) + end
                 for k, at in enumerate(range(0, len(code), 4 * capacity)):
                     part = code[at : at + 4 * capacity]
@@ -51,6 +52,7 @@ class Island:
     def __init__(self, sizes: np.ndarray, capacity: int, seed: int):
         self.sizes, self.capacity, self.random = sizes.tolist(), capacity, np.random.default_rng(seed)
         self.fewest = -(-int(sizes.sum()) // capacity)
+        self.crossed = self.depth = 0
 
     def fill(self, group: list[int]) -> int:
         return sum(map(self.sizes.__getitem__, group))
@@ -86,9 +88,9 @@ class Island:
         """Fewer bins are better; among as many, those with squares of fills that are larger."""
         return -len(bins), sum((self.fill(g) / self.capacity) ** 2 for g in bins)
 
-    def first(self, jitter: float) -> list[list[int]]:
-        keys = np.array(self.sizes) * (1 + jitter * self.random.standard_normal(len(self.sizes)))
-        return self.best_fit(np.argsort(-keys, kind="stable").tolist(), [])
+    def first(self) -> list[list[int]]:
+        """Best fit in a random order."""
+        return self.best_fit(self.random.permutation(len(self.sizes)).tolist(), [])
 
     def inject(self, whole: list[list[int]], host: list[list[int]]) -> list[list[int]]:
         """host with the bins of whole: bins that share an item with them go, and their other items are best-fitted."""
@@ -132,20 +134,29 @@ class Island:
                     by_size[self.sizes[i]].append(i)
         return out
 
-    def evolve(self, start: list[list[list[int]]], generations: int, population: int = 5) -> list[list[int]]:
-        """The best grouping after some generations; stops at the fewest bins that the total allows."""
-        group = [*start, *(self.first(j) for j in (0.0, 0.02, 0.1, 0.3, 0.6)[: max(0, population - len(start))])]
-        scored = sorted(((self.worth(g), k, g) for k, g in enumerate(group)), reverse=True)
+    def evolve(self, start: list[list[list[int]]], generations: int, population: int = 6) -> list[list[int]]:
+        """The best grouping after some generations of crossover, from `start` and groupings in random orders.
+
+        As many children as the population has are born before a grouping of the fewest bins that the total allows ends
+        it; of equally good groupings a child goes before its forebears. `crossed` counts the crossovers, `depth` tells
+        how many lie between the result and the first groupings.
+        """
+        if not self.sizes:
+            return []
+        group = [*start, *(self.first() for _ in range(max(2, population) - len(start)))]
+        scored = sorted(((self.worth(g), 0, k, g) for k, g in enumerate(group)), reverse=True)
         for step in range(generations):
-            if -scored[0][0][0] <= self.fewest:
+            if step >= len(group) and -scored[0][0][0] <= self.fewest:
                 break
-            a, b = sorted(self.random.integers(0, len(scored), 2).tolist())
-            child = self.cross(scored[a][2], scored[b][2]) if a != b else self.mutate(scored[a][2])
+            a, b = self.random.choice(len(scored), 2, replace=False).tolist()
+            child, depth = self.cross(scored[a][3], scored[b][3]), 1 + max(scored[a][1], scored[b][1])
+            self.crossed += 1
             if step % 3 == 2:
                 child = self.mutate(child)
-            scored[-1] = max(scored[-1], (self.worth(child), len(group) + step, child))
+            scored[-1] = max(scored[-1], (self.worth(child), depth, len(group) + step, child))
             scored.sort(reverse=True)
-        return scored[0][2]
+        self.depth = scored[0][1]
+        return scored[0][3]
 
     def elite(self, bins: list[list[int]]) -> list[list[int]]:
         """The fullest bins of more than one piece, as lengths."""
@@ -195,7 +206,7 @@ def _dealt(rows: DataFrame, islands: int, seed: int) -> DataFrame:
     return rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(islands)).cast("long").alias("island"))
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, doc_id: str = "doc_id", text: str = "text", generations: int = 12, well_filled: float = 0.99) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, doc_id: str = "doc_id", text: str = "text", generations: int = 18, well_filled: float = 0.99) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (gapless from 0).
 
     Null and empty texts hold end_id alone. Repeated rows and null doc_ids are packed like any other row; an empty table

@@ -16,8 +16,10 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; a folder of our own only where it is unset."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The folder in spark.checkpoint.dir, which driver and executors share. Where it is unset: a folder of our own in
+    local mode, as in tests; on a cluster the warehouse, never a folder of one machine."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return named or (_own_folder() if spark.sparkContext.master.startswith("local") else spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
@@ -28,7 +30,15 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: its lineage ends here, and lost executors lose nothing."""
     path = fresh_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._docloom_folder = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what cut() wrote for frames that nothing reads any more."""
+    for df in frames:
+        remove(df.sparkSession, df._docloom_folder)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -71,7 +81,8 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         large = cut(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p"))
-        e = cut(small.select("p.u", "p.v").where("u <> v").distinct(), "small")
+        before_small, e = e, cut(small.select("p.u", "p.v").where("u <> v").distinct(), "small")
+        discard(before_small, large)
         before, state = state, _edge_state(e)
         if state == before:
             break

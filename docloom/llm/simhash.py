@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut
+from .shared import components, cut, discard
 
 BITS = 64
 SEED = 42
@@ -200,7 +200,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_per_s
     side = lambda x: sets.select(F.col("id").alias(x), F.col("s").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
+    found = cut(both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b"), "links")
+    discard(pairs, sets)
+    return found
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -228,16 +230,17 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     several = places.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "least")
     shared = cut(places.join(several.hint("merge"), "h").distinct(), "shared")  # copies of a class make one row
     lead = shared.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    first = cut(likely(near.unionAll(same).unionAll(lead).distinct()), "first")
+    first = likely(near.unionAll(same).unionAll(lead).distinct())
     roots = components(first, "a", "b").select(F.col("node").alias("id"), "root")
     rooted = cut(shared.drop("least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
     still = cut(rooted.join(mixed, "h"), "open")
     end = lambda x: still.select("h", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "at", "root")])
     is_open = f"a < b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D"
-    second = likely(cut(end("a").join(end("b"), "h").where(is_open).select("a", "b").distinct(), "candidates"))
+    second = likely(end("a").join(end("b"), "h").where(is_open).select("a", "b").distinct())
     roots = components(first.unionByName(second), "a", "b").select(F.col("node").alias("id"), "root")
     named = cut(classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "roots")
+    discard(prints, shared, rooted, still, first, second, classes)
     groups = named.join(named.groupBy("root").agg(F.min("first").alias("of")), "root").select("id", F.col("of").alias("first"))
     return rows.select("doc_id", "key", "id").join(groups, "id").withColumn("component_id", F.col("first.doc_id"))
 

@@ -36,7 +36,7 @@ class _Codes(dict):
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh64_intdigest(word)
-        if len(self) < self.room:
+        if len(self) < self.room and len(word) <= 64:
             self[word] = code
         return code
 
@@ -90,6 +90,25 @@ class _Group:
         n = max(0, len(self.codes) - size + 1)
         return np.arange(n) + size <= self.ends[self.doc_of[:n]]
 
+    def repeated(self) -> np.ndarray:
+        """Whether the run of a block's length at each place is a block of this group, and stands in two places of it."""
+        runs, at = rolling(self.codes, self.block, "a"), np.flatnonzero(self.inside(self.block))
+        keys, first, counts = np.unique(runs[at], return_inverse=True, return_counts=True)
+        anchor = np.zeros(len(keys), bool)
+        anchor[first[(at - self.starts[self.doc_of[at]]) % self.block == 0]] = True
+        hit = np.zeros(len(runs), bool)
+        hit[at] = (anchor & (counts > 1))[first]
+        return hit
+
+    def around(self, hit: np.ndarray) -> np.ndarray:
+        """Starts of the windows that have a hit at one of the places 0 .. window - block after their start."""
+        n = len(self.codes) - self.window + 1
+        if n < 1:
+            return np.empty(0, np.int64)
+        many = np.concatenate(([0], np.cumsum(hit)))
+        last = np.arange(n) + (self.window - self.block) + 1
+        return np.flatnonzero((many[np.minimum(last, len(hit))] > many[:n]) & self.inside(self.window))
+
     def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """doc_id and start of the places."""
         docs = self.doc_of[at]
@@ -150,11 +169,7 @@ def _windows(bits: int, window: int):
         wanted = np.unique(np.concatenate([np.frombuffer(k, "<u4").astype(np.uint64) | np.uint64(int(b) << 32) for b, k in zip(replies["bucket"], replies["keys"], strict=True)]))
         runs = rolling(g.codes, g.block, "a") >> np.uint64(32 - bits)
         hit = np.isin(runs, wanted) & g.inside(g.block)
-        # a window has a hit at one of the places 0 .. window - block after its start
-        many = np.concatenate(([0], np.cumsum(hit)))
-        n = len(g.codes) - window + 1
-        last = np.arange(n) + (window - g.block) + 1
-        at = np.flatnonzero((many[np.minimum(last, len(hit))] > many[:n]) & g.inside(window))
+        at = g.around(hit)
         if not len(at):
             return pd.DataFrame(columns=names)
         a, b = rolling(g.codes, window, "a")[at], rolling(g.codes, window, "b")[at].astype("<u4")
@@ -189,27 +204,28 @@ def _kept(window: int):
     def kept(key, docs: pd.DataFrame, notes: pd.DataFrame) -> pd.DataFrame:
         g = _Group(docs, notes, window)
         gone = np.zeros(len(g.codes) + 1, np.int64)
-        at = np.flatnonzero(g.inside(window))
-        if len(at):
-            a, b = rolling(g.codes, window, "a")[at], rolling(g.codes, window, "b")[at].astype("<u4")
+        at = g.around(g.repeated())
+        if len(at):  # repeats within the group
+            a, b = rolling(g.codes, window, "a")[at], rolling(g.codes, window, "b")[at]
             doc, start = g.place(at)
             order = np.lexsort((start, doc, b, a))
             new = np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)))
             head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
             later = np.zeros(len(at), bool)
             later[order] = (doc[order] > doc[head]) | ((doc[order] == doc[head]) & (start[order] > start[head]))
-            replies = notes[notes["a"].notna()]
-            if len(replies):
-                ra, rb = np.frombuffer(b"".join(replies["a"]), "<u8"), np.frombuffer(b"".join(replies["b"]), "<u4")
-                sort = np.lexsort((rb, ra))
-                ra, rb = ra[sort], rb[sort]
-                spot = np.searchsorted(ra, a)
-                for _ in range(2):  # two hashes that agree in a and not in b are rare, three don't occur
-                    there = np.minimum(spot, len(ra) - 1)
-                    later |= (ra[there] == a) & (rb[there] == b)
-                    spot = spot + 1
             np.add.at(gone, at[later], 1)
             np.add.at(gone, at[later] + window, -1)
+        replies = notes[notes["a"].notna()]
+        if len(replies):  # windows that stand earlier in another group
+            at = np.flatnonzero(g.inside(window))
+            a, b = rolling(g.codes, window, "a")[at], rolling(g.codes, window, "b")[at].astype("<u4")
+            ra, rb = np.frombuffer(b"".join(replies["a"]), "<u8"), np.frombuffer(b"".join(replies["b"]), "<u4")
+            near = np.flatnonzero(np.isin(a, ra))
+            at, both = at[near], np.stack([a[near], b[near].astype(np.uint64)], axis=1)
+            sent = np.stack([ra, rb.astype(np.uint64)], axis=1)
+            known = np.isin(np.ascontiguousarray(both).view("u8,u8").ravel(), np.ascontiguousarray(sent).view("u8,u8").ravel()) if len(both) else np.empty(0, bool)
+            np.add.at(gone, at[known], 1)
+            np.add.at(gone, at[known] + window, -1)
         covered = np.cumsum(gone)[:-1] > 0
         rows = []
         for k, words in enumerate(g.words):
@@ -257,11 +273,13 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL)).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
-    groups = max(1, n // GROUP_DOCS)
-    buckets = max(8, size >> 25)  # of the table: some 32 MB of text each
+    groups = max(1, n // GROUP_DOCS, size >> 22)  # a few hundred documents, or some 4 MB of text where they are long
+    buckets = min(max(8, size >> 25), 1 << 16)  # of the table: some 32 MB of text each, and more where Spark allows no more buckets
     bits = max(6, (size >> 23).bit_length())  # of the hashes: some MB of keys a bucket
     name = f"docloom_substrings_{uuid.uuid4().hex}"
-    grouped = rows.select(F.pmod(F.xxhash64("d"), F.lit(groups)).alias("grp"), "d", "t", F.md5("t").alias("h"))
+    # by text too, and by row where doc_ids are null: neither many rows without an id nor many texts of one make a large group
+    spread = F.when(F.col("d") == _NULL, F.monotonically_increasing_id())
+    grouped = rows.select(F.pmod(F.xxhash64("d", F.crc32(F.col("t").cast("binary")), spread), F.lit(groups)).alias("grp"), "d", "t", F.md5("t").alias("h"))
     grouped.write.bucketBy(int(buckets), "grp").option("compression", "zstd").saveAsTable(name)
     try:
         held = spark.table(name)

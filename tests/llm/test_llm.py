@@ -383,6 +383,25 @@ def test_leaks_odd(spark, odd, empty):
 # language
 
 
+def written(symbols):
+    return "".join(chr(32 + k) for k in symbols)
+
+
+def test_all_alphabets_are_learned():
+    """Han, kana, hangul, Cyrillic and Greek, and twelve alphabets of sixty letters each."""
+    rng = random.Random(3)
+    ranges = {"zh": (0x4E00, 0x9FA5), "ja": (0x3041, 0x3096), "ko": (0xAC00, 0xD7A3), "ru": (0x430, 0x44F), "el": (0x3B1, 0x3C9)}
+    ranges |= {f"l{k:02}": (0x13000 + 60 * k, 0x13000 + 60 * k + 59) for k in range(12)}
+    made = {}
+    for name, (low, high) in ranges.items():
+        words = ["".join(chr(rng.randint(low, high)) for _ in range(rng.randint(1, 6))) for _ in range(300)]
+        made[name] = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(30)]
+    model = language.learn({name: texts[:20] for name, texts in made.items()})
+    for name, texts in made.items():
+        assert model.predict(texts[20:])[0] == [name] * 10 and min(model.predict(texts[20:])[1]) > 0.9
+    assert model.predict(["ქართული ენა"])[0][0] in made
+
+
 def test_parse_against_brute_force():
     samples = {"x": ["abracadabra", "cad"], "y": ["bananas and bread"]}
     model = language.learn(samples)
@@ -390,17 +409,17 @@ def test_parse_against_brute_force():
         s = model.symbols(text)
         want = []
         for name in model.names:
-            sample = b"".join(bytes(model.symbols(t)) + b"\0" for t in samples[name])
+            sample = "".join(written(model.symbols(t)) + chr(32) for t in samples[name])
             n = 0
             for a in range(0, len(s), language.BLOCK):
-                block, i = bytes(s[a : a + language.BLOCK]), 0
+                block, i = written(s[a : a + language.BLOCK]), 0
                 while i < len(block):
                     j = i + 1
                     while j < len(block) and block[i : j + 1] in sample:
                         j += 1
                     i, n = j, n + 1
             want.append(n)
-        blocks = np.zeros((-(-len(s) // language.BLOCK), language.BLOCK), np.uint8)
+        blocks = np.zeros((-(-len(s) // language.BLOCK), language.BLOCK), np.int32)
         blocks.reshape(-1)[: len(s)] = s
         sizes = np.full(len(blocks), language.BLOCK)
         sizes[-1] = len(s) - (len(blocks) - 1) * language.BLOCK
@@ -530,6 +549,8 @@ def test_embeddings(spark):
         assert (got[k].n_links, got[k].component_id, got[k].kept) == (int(near[k].sum()), want[k], want[k] == k)
     assert all((got[n + k].n_links, got[n + k].component_id, got[n + k].kept) == (0, n + k, True) for k in range(6))
     assert got[n + 7].component_id == n + 6 and got[n + 6].n_links == 1
+    huge = spark.createDataFrame([(1, 1, [1e200, 2e200]), (2, 1, [2e200, 4e200]), (3, 1, [1e-200, 2e-200]), (4, 1, [1e308, -1e308]), (4, 1, [3e307, -3e307]), (None, 1, [3.0, 6.0])], "vec_id long, label int, embedding array<double>")
+    assert sorted((tuple(r)[:3] for r in embeddings.near_duplicates(huge).collect()), key=str) == sorted([(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 1, 4), (4, 1, 4), (None, 3, 1)], key=str)
     assert embeddings.near_duplicates(df.where("false")).count() == 0
 
 
@@ -568,6 +589,30 @@ def test_packing(docs, odd, empty, monkeypatch):
     assert packing.pack(empty, WORD, end_id=1).count() == 0
 
 
+def test_crossover_beats_best_fit_decreasing():
+    """Bins of exactly three pieces, where best-fit decreasing needs more sequences."""
+    rng, better = np.random.default_rng(9), 0
+    for seed in range(5):
+        sizes = []
+        for _ in range(40):
+            a = int(rng.integers(1050, 1990))
+            b = int(rng.integers(1030, min(2000, 4096 - a - 1030)))
+            sizes += [a, b, 4096 - a - b]
+        island = packing.Island(np.array(sizes), 4096, seed)
+        plain = island.best_fit(island.falling(range(len(sizes))), [])
+        best = island.evolve([], 400)
+        assert sorted(i for g in best for i in g) == list(range(len(sizes))) and max(map(island.fill, best)) <= 4096
+        assert island.crossed > 0 and island.depth > 0 and len(best) <= len(plain)
+        better += len(best) < len(plain)
+    assert better >= 3
+
+
+def test_small_islands():
+    for sizes in ([], [5], [4000, 4000], [2048, 2048, 1]):
+        island = packing.Island(np.array(sizes, np.int64), 4096, 1)
+        assert sorted(i for g in island.evolve([], 12) for i in g) == list(range(len(sizes)))
+
+
 # pipeline
 
 
