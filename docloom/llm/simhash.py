@@ -127,17 +127,31 @@ def _majority(hashes: np.ndarray) -> np.int64:
 
 
 def _wide(shingles: np.ndarray) -> np.ndarray:
-    """The odd sketch, as WIDE longs: bit b says whether an odd number of hashes falls to b. Shingles that two sets share
-    cancel out, and each other flips one bit, so two sketches never differ in more bits than the sets differ in shingles."""
-    odd = np.bincount((shingles % np.uint64(BITS * WIDE)).astype(np.int64), minlength=BITS * WIDE) & 1
+    """The odd sketch, as WIDE longs or a power of two more, so that a set has a bit for each shingle: bit b says whether
+    an odd number of hashes falls to b. Shingles that two sets share cancel out, and each other flips one bit, so two
+    sketches never differ in more bits than the sets differ in shingles."""
+    bits = max(BITS * WIDE, 1 << (len(shingles) - 1).bit_length() if len(shingles) else 0)
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _may_be(similarity: float) -> str:
-    """A condition on n_a, n_b and w0_a to w7_b that every pair of sets of that similarity meets: such sets differ in at
-    most (1 - similarity) / (1 + similarity) * (n_a + n_b) shingles."""
-    apart = " + ".join(f"bit_count(w{k}_a ^ w{k}_b)" for k in range(WIDE))
-    return f"least(n_a, n_b) >= {similarity}D * greatest(n_a, n_b) - 1e-6D and ({apart}) * {1 + similarity}D <= {1 - similarity}D * (n_a + n_b) + 1e-6D"
+def _narrow(wide: np.ndarray) -> np.ndarray:
+    """The sketch of WIDE longs that a longer one folds to."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, WIDE), axis=0)
+
+
+def _apart(w_a: str, w_b: str) -> str:
+    """In how many bits two sketches differ; the longer is folded to the shorter's length. Similar sizes need one fold."""
+    fold = lambda w: f"zip_with(slice({w}, 1, size({w}) div 2), slice({w}, size({w}) div 2 + 1, size({w}) div 2), (x, y) -> x ^ y)"
+    a, b = f"if(size({w_a}) > size({w_b}), {fold(w_a)}, {w_a})", f"if(size({w_b}) > size({w_a}), {fold(w_b)}, {w_b})"
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+
+
+def _may_be(similarity: float, sketch: str = "w") -> str:
+    """A condition on n_a, n_b and the sketches w_a and w_b that every pair of sets of that similarity meets: such sets
+    differ in at most (1 - similarity) / (1 + similarity) * (n_a + n_b) shingles."""
+    apart = _apart(f"{sketch}_a", f"{sketch}_b")
+    return f"least(n_a, n_b) >= {similarity}D * greatest(n_a, n_b) - 1e-6D and {apart} * {1 + similarity}D <= {1 - similarity}D * (n_a + n_b) + 1e-6D"
 
 
 def _common(docs: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +180,8 @@ def _prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], similar
     return shingles[np.lexsort((shingles, often))[: n - int(np.ceil(similarity * n - 1e-6)) + 1 if n else 0]].view(np.int64)
 
 
-ROW = "id bigint, n int, fp bigint, wide array<bigint>, prefix array<bigint>"
+ROW = "id bigint, n int, fp bigint, odd array<bigint>, wide array<bigint>, prefix array<bigint>"
+_SLICE = 500  # rows that a sketching or hashing step gives back at once
 
 
 def _sketches(docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
@@ -175,12 +190,13 @@ def _sketches(docs: DataFrame, words_per_shingle: int, similarity: float) -> Dat
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for doc_id, text, key in frame.itertuples(index=False):
-                s, _ = shingle_set(text, words_per_shingle)
-                digest = xxhash.xxh3_64_intdigest(s.astype("<u8").tobytes())
-                rows.append((doc_id, key, digest - (1 << 63), len(s), _majority(s), _wide(s), _prefix(s, common, similarity)))
-            yield pd.DataFrame(rows, columns=["doc_id", "key", "id", "n", "fp", "wide", "prefix"]).astype({"doc_id": "Int64"})
+            for at in range(0, max(1, len(frame)), _SLICE):
+                rows = []
+                for doc_id, text, key in frame.iloc[at : at + _SLICE].itertuples(index=False):
+                    s, _ = shingle_set(text, words_per_shingle)
+                    digest, wide = xxhash.xxh3_64_intdigest(s.astype("<u8").tobytes()), _wide(s)
+                    rows.append((doc_id, key, digest - (1 << 63), len(s), _majority(s), _narrow(wide), wide, _prefix(s, common, similarity)))
+                yield pd.DataFrame(rows, columns=["doc_id", "key", "id", "n", "fp", "odd", "wide", "prefix"]).astype({"doc_id": "Int64"})
 
     return docs.mapInPandas(sketched, f"doc_id bigint, key bigint, {ROW}")
 
@@ -193,15 +209,18 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_per_s
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "s": [shingle_set(t, words_per_shingle)[0].view(np.int64) for t in frame["text"]]})
+            for at in range(0, len(frame), _SLICE):
+                part = frame.iloc[at : at + _SLICE]
+                yield pd.DataFrame({"id": part["id"], "s": [shingle_set(t, words_per_shingle)[0].view(np.int64) for t in part["text"]]})
 
+    chosen = cut(chosen, "chosen")  # written first: its size tells Spark whether to broadcast it, and texts stay where they are
     texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("id", "text")
     sets = cut(texts.mapInPandas(hashed, "id bigint, s array<bigint>").dropDuplicates(["id"]), "sets")  # repeated rows have one set
     side = lambda x: sets.select(F.col("id").alias(x), F.col("s").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("s_a", "s_b"))
     found = cut(both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b"), "links")
-    discard(pairs, sets)
+    discard(pairs, sets, chosen)
     return found
 
 
@@ -218,8 +237,8 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     """(doc_id, key, id, component_id, first): the row's class, the smallest doc_id of its component, and that row's (doc_id, key)."""
     rows = cut(_sketches(docs, words_per_shingle, similarity), "sketches")
     own = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "doc_id", "key")
-    classes = cut(rows.groupBy("id").agg(F.min(own).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")), "classes")
-    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *[F.col("wide")[k].alias(f"w{k}_{x}") for k in range(WIDE)])
+    classes = cut(rows.groupBy("id").agg(F.min(own).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("odd").alias("odd"), F.first("wide").alias("wide")), "classes")
+    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"w_{x}"))
     likely = lambda pairs: _verified(pairs.join(side("a"), "a").join(side("b"), "b").where(_may_be(similarity)), classes, docs, words_per_shingle, similarity)
     # fingerprints first: classes of one, and those of near ones
     prints = cut(classes.groupBy("fp").agg(F.min("id").alias("rep")), "prints")
@@ -234,9 +253,9 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     roots = components(first, "a", "b").select(F.col("node").alias("id"), "root")
     rooted = cut(shared.drop("least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
-    still = cut(rooted.join(mixed, "h"), "open")
-    end = lambda x: still.select("h", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "at", "root")])
-    is_open = f"a < b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D"
+    still = cut(rooted.join(mixed, "h").join(classes.select("id", "odd"), "id"), "open")
+    end = lambda x: still.select("h", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "at", "root", "odd")])
+    is_open = f"a < b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D and {_may_be(similarity, 'odd')}"
     second = likely(end("a").join(end("b"), "h").where(is_open).select("a", "b").distinct())
     roots = components(first.unionByName(second), "a", "b").select(F.col("node").alias("id"), "root")
     named = cut(classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "roots")

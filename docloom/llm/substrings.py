@@ -32,7 +32,7 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 class _Codes(dict):
     """word -> 64-bit code; bounded, and the same on every worker."""
 
-    room = 500_000
+    room = 300_000
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh64_intdigest(word)

@@ -21,7 +21,7 @@ _LITTLE = sys.byteorder == "little"
 BYTE_CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORD_CHUNK = re.compile(rf"[^{SPACE}]+")
 _ENDS_IN_SPACE = re.compile(rf"[{SPACE}]\Z")
-CACHE_ENTRIES, LONGEST = 700_000, 64
+CACHE_ENTRIES, LONGEST = 400_000, 64
 
 
 def tokenizer_path(name: str) -> str:

@@ -205,15 +205,16 @@ def test_similar_documents_finds_every_link(spark):
 
 def test_no_similar_pair_is_ruled_out(spark):
     rng, rows = random.Random(6), []
-    for n in [*range(4, 40)] * 30 + [100, 400, 3000] * 10:
+    both = lambda a, b: (len(a), len(b), *[w.tolist() for s in (a, b) for w in (simhash._wide(s), simhash._narrow(simhash._wide(s)))])
+    for n in [*range(4, 40)] * 30 + [100, 400, 460, 500, 900, 3000] * 10:
         words = [f"w{rng.getrandbits(40)}" for _ in range(n + 4 + n // 4)]
         a, b = (simhash.shingle_set(" ".join(words[:k]))[0] for k in (n + 4, len(words)))
         assert len(a) >= 0.8 * len(b)
-        rows.append((len(a), len(b), *simhash._wide(a).tolist(), *simhash._wide(b).tolist()))
-    names = ["n_a", "n_b", *[f"w{k}_{x}" for x in "ab" for k in range(simhash.WIDE)]]
-    assert spark.createDataFrame(rows, names).where(simhash._may_be(0.8)).count() == len(rows)
-    strangers = [simhash._wide(simhash.shingle_set(" ".join(f"{x}{k}" for k in range(104)))[0]).tolist() for x in "ab"]
-    assert spark.createDataFrame([(100, 100, *strangers[0], *strangers[1])], names).where(simhash._may_be(0.8)).count() == 0
+        rows += [both(a, b), both(b, a)]
+    names = ["n_a", "n_b", "w_a", "odd_a", "w_b", "odd_b"]
+    assert spark.createDataFrame(rows, names).where(f"{simhash._may_be(0.8)} and {simhash._may_be(0.8, 'odd')}").count() == len(rows)
+    strangers = [both(*(simhash.shingle_set(" ".join(f"{x}{k}" for k in range(n)))[0] for x in "ab")) for n in (104, 2000, 9000)]
+    assert spark.createDataFrame(strangers, names).where(simhash._may_be(0.8)).count() == 0
 
 
 def test_similar_documents_odd(odd, empty):
