@@ -22,14 +22,15 @@ def length_without(text: Column, pattern: str) -> Column:
 
 
 def space_ratio(text: Column) -> Column:
-    """Runs of white space against those and all other characters."""
+    """Runs of white space against those and all other characters; 0 for an empty text."""
     runs = count_of(text, r"[\s\u00a0]+")
-    return runs / (length_without(text, r"[\s\u00a0]+") + runs)
+    return F.coalesce(F.try_divide(runs, length_without(text, r"[\s\u00a0]+") + runs), F.when(text.isNotNull(), F.lit(0.0)))
 
 
 def newline_ratio(text: Column) -> Column:
+    """Runs of newlines against those and all other characters; 0 for an empty text."""
     runs = count_of(text, r"\n+")
-    return runs / (length_without(text, r"\n+") + runs)
+    return F.coalesce(F.try_divide(runs, length_without(text, r"\n+") + runs), F.when(text.isNotNull(), F.lit(0.0)))
 
 
 def alphanumeric_ratio(text: Column) -> Column:

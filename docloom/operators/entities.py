@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 # What the entity types look like; word borders are those of Unicode letters.
 PATTERNS = {
     "person": r"(?U)\b[A-Z][a-z]+ [A-Z][a-z]+\b",
-    "organization": r"(?U)\b[A-Z][a-zA-Z]+ (?:Inc|Corp|LLC|Ltd|Company|Organization)\b",
+    "organization": r"(?U)\b(?:Inc\.|LLC|Corp\.|Company|University|Institute)\b",
     "location": r"(?U)\b(?:New York|London|Paris|Tokyo|[A-Z][a-z]+ City)\b",
-    "email": r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
+    "email": r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
     "url": r"https?://[^\s]+",
-    "date": r"(?U)\b\d{1,2}/\d{1,2}/\d{2,4}\b",
+    "date": r"(?U)\b\d{1,2}[/-]\d{1,2}[/-]\d{2,4}\b",
 }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEVELS = range(1, 7)
+OWNING = range(7)  # a document's title is a header of level 0
 
 
 def short_hash(*parts: Column, length: int = 16) -> Column:
@@ -15,22 +16,22 @@ def short_hash(*parts: Column, length: int = 16) -> Column:
 def section_of(blocks: DataFrame, doc: list[str], order: str = "block_ord") -> DataFrame:
     """blocks with parent_ord, the order of the innermost open header before each block, and path, the titles down to it.
 
-    blocks: document columns, order, level (1 to 6 for headers, else null), text. A header closes those of its level and
-    deeper. One sort per document serves all six levels: for each, the last header of it that no higher one has closed.
+    blocks: document columns, order, level (0 to 6 for headers, else null), text. A header closes those of its level and
+    deeper. One sort per document serves all levels: for each, the last header of it that no higher one has closed.
     """
     before = Window.partitionBy(*doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    last: dict[int, Column] = {k: F.last(F.when(F.col("level") == k, F.struct(F.col(order).alias("ord"), F.col("text").alias("title"))), ignorenulls=True).over(before) for k in LEVELS}
+    last: dict[int, Column] = {k: F.last(F.when(F.col("level") == k, F.struct(F.col(order).alias("ord"), F.col("text").alias("title"))), ignorenulls=True).over(before) for k in OWNING}
     out = blocks.withColumns({f"_h{k}": c for k, c in last.items()})
 
     def open_at(k: int) -> Column:
         inside = F.col("level").isNull() | (F.col("level") > k)
-        higher = [F.col(f"_h{j}.ord") for j in LEVELS if j < k]
+        higher = [F.col(f"_h{j}.ord") for j in OWNING if j < k]
         closed = F.coalesce(F.greatest(F.lit(None).cast("bigint"), *[h.cast("bigint") for h in higher]) > F.col(f"_h{k}.ord"), F.lit(False)) if higher else F.lit(False)
         return F.when(inside & ~closed, F.col(f"_h{k}"))
 
-    opened = F.array_compact(F.array(*[open_at(k) for k in LEVELS]))
+    opened = F.array_compact(F.array(*[open_at(k) for k in OWNING]))
     out = out.withColumn("_open", opened)
-    return out.withColumns({"parent_ord": F.try_element_at("_open", F.lit(-1))["ord"], "path": F.transform("_open", lambda h: h["title"])}).drop("_open", *[f"_h{k}" for k in LEVELS])
+    return out.withColumns({"parent_ord": F.try_element_at("_open", F.lit(-1))["ord"], "path": F.transform("_open", lambda h: h["title"])}).drop("_open", *[f"_h{k}" for k in OWNING])
 
 
 def number_sections(sections: DataFrame, doc: list[str], order: str = "block_ord") -> DataFrame:
@@ -82,22 +83,24 @@ def header_levels(headers: DataFrame, doc: list[str], height: str = "height", ki
 def keep_whole_edges(edges: DataFrame, vertices: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:
     """(edges with both ends among the vertices, the others)."""
     keys = vertices.select(key).distinct()
-    good = edges.join(keys.withColumnRenamed(key, "src"), "src", "left_semi").join(keys.withColumnRenamed(key, "dst"), "dst", "left_semi")
-    return good.select(edges.columns), edges.join(good.select("src", "dst").distinct(), ["src", "dst"], "left_anti").select(edges.columns)
+    mark = lambda end: keys.select(F.col(key).alias(end), F.lit(True).alias(f"_{end}"))
+    marked = edges.join(mark("src"), "src", "left").join(mark("dst"), "dst", "left").withColumn("_whole", F.coalesce(F.col("_src") & F.col("_dst"), F.lit(False)))
+    return marked.where("_whole").select(edges.columns), marked.where("not _whole").select(edges.columns)
 
 
 def traverse(edges: DataFrame, roots: DataFrame, depth: int = 10) -> DataFrame:
     """(root, key, depth) of everything within `depth` edges below each root, each key at its least depth.
 
-    A bounded number of equi-joins; a level adds only keys that the ones above haven't reached, so cycles end.
+    One equi-join a level, from the distinct keys of the level before, and one grouped minimum at the end; the number of
+    levels is bounded, so cycles end.
     """
-    seen = roots.select(F.col("key").alias("root"), "key", F.lit(0).alias("depth")).distinct()
-    front, step = seen, edges.select(F.col("src").alias("key"), "dst").distinct()
+    step = edges.select(F.col("src").alias("key"), "dst").distinct()
+    front = roots.select(F.col("key").alias("root"), "key").distinct()
+    seen = front.withColumn("depth", F.lit(0))
     for k in range(1, depth + 1):
-        found = front.join(step, "key").select("root", F.col("dst").alias("key"), F.lit(k).alias("depth")).distinct()
-        front = found.join(seen.select("root", "key"), ["root", "key"], "left_anti")
-        seen = seen.unionByName(front)
-    return seen
+        front = front.join(step, "key").select("root", F.col("dst").alias("key")).distinct()
+        seen = seen.unionByName(front.withColumn("depth", F.lit(k)))
+    return seen.groupBy("root", "key").agg(F.min("depth").alias("depth"))
 
 
 def latest(rows: DataFrame, key: list[str], order: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,10 +42,11 @@ def sample(candidates: DataFrame, shares: dict[str, float], most: int, seed: int
     wanted = {k: int(most * s) for k, s in shares.items()}
     first = next(iter(shares))
     wanted[first] += most - sum(wanted.values())
-    quota = F.create_map(*[F.lit(x) for kv in wanted.items() for x in kv])
     once = candidates.withColumn("_h", F.xxhash64(F.lit(seed), key, "kind"))
     once = once.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("_h"))).where("_k = 1")
-    return once.withColumn("_k", F.row_number().over(Window.partitionBy("kind").orderBy("_h", key))).where(F.col("_k") <= quota[F.col("kind")]).drop("_h", "_k")
+    # a top-n of each kind with its own literal limit, which each task applies before anything is gathered
+    kinds = [once.where(F.col("kind") == k).orderBy("_h", key).limit(n) for k, n in wanted.items()]
+    return reduce(DataFrame.unionByName, kinds).drop("_h", "_k")
 
 
 def diversity(questions: DataFrame, group: list[str], key: str, threshold: float = 0.8) -> DataFrame:

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import intersection_area
+
 NUMERIC = r"^\d+$"
 DATE = r"^(\d{1,2}[/-]\d{1,2}[/-]\d{2,4}|\d{4}[/-]\d{1,2}[/-]\d{1,2})$"
 CURRENCY = r"^[$€£¥]\s?[\d,]+(\.\d+)?$"
@@ -213,6 +215,19 @@ def spread_spans(cells: DataFrame, table: list[str]) -> DataFrame:
     return cells.groupBy(*table).applyInPandas(placed, cells.schema)
 
 
+def text_to_cells(lines: DataFrame, cells: DataFrame, page: list[str]) -> DataFrame:
+    """(page columns, cell_id, text): each line goes to the cell it shares most area with, the smaller cell_id on ties.
+
+    lines: page columns, line_id, text, box; cells: page columns, cell_id, box. A cell's lines stand from top to bottom,
+    joined by a space; a cell without one has null text, and lines that touch no cell are left out.
+    """
+    other = cells.select(*page, "cell_id", F.col("box").alias("cell_box"))
+    shared = intersection_area(F.col("box"), F.col("cell_box"))
+    best = lines.join(other, page).where(shared > 0).groupBy(*page, "line_id", "text", "box").agg(F.min(F.struct((-shared).alias("k"), "cell_id"))["cell_id"].alias("cell_id"))
+    held = best.groupBy(*page, "cell_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("box.y0", "box.x0", "line_id", "text"))), lambda x: x["text"]), " ").alias("text"))
+    return cells.select(*page, "cell_id").join(held, [*page, "cell_id"], "left")
+
+
 def parameter_grid(spark, values: dict[str, list]) -> DataFrame:
     """Every combination of the given values, one row each; as small as the product of the lists."""
     out = None

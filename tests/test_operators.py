@@ -145,3 +145,22 @@ def test_hub(spark, tmp_path):
     back = hub.hub_blocks(hub.read_hub(spark, str(tmp_path / "h"))).collect()
     assert [(r.doc_id, r.page_num, r.text) for r in back] == [("d", 1, "x"), ("d", 2, "y")]
     assert hub.page_range("0,5-7,6") == [0, 5, 6, 7]
+
+
+def test_a_title_owns_what_follows(spark):
+    rows = [("d", 0, 0, "Title"), ("d", 1, None, "under the title"), ("d", 2, 1, "Part"), ("d", 3, None, "under the part")]
+    got = {r.block_ord: (r.parent_ord, r.path) for r in hierarchy.section_of(spark.createDataFrame(rows, "doc string, block_ord int, level int, text string"), ["doc"]).collect()}
+    assert got == {0: (None, []), 1: (0, ["Title"]), 2: (0, ["Title"]), 3: (2, ["Title", "Part"])}
+
+
+def test_text_to_cells(spark):
+    box = "struct<x0:double,y0:double,x1:double,y1:double>"
+    cells = spark.createDataFrame([(0, 1, (0.0, 0.0, 10.0, 10.0)), (0, 2, (10.0, 0.0, 20.0, 10.0)), (0, 3, (50.0, 50.0, 60.0, 60.0))], f"page_id int, cell_id int, box {box}")
+    lines = spark.createDataFrame([(0, 1, "low", (1.0, 6.0, 9.0, 9.0)), (0, 2, "high", (1.0, 1.0, 12.0, 4.0)), (0, 3, "away", (90.0, 90.0, 95.0, 95.0))], f"page_id int, line_id int, text string, box {box}")
+    assert {r.cell_id: r.text for r in tables.text_to_cells(lines, cells, ["page_id"]).collect()} == {1: "high low", 2: None, 3: None}
+
+
+def test_sample_by_kind(spark):
+    c = spark.createDataFrame([(f"k{n}", kind) for n in range(60) for kind in ("factual", "conceptual")], "section_hash string, kind string")
+    got = qa.sample(c, {"factual": 0.5, "conceptual": 0.25}, 21).collect()
+    assert len({r.section_hash for r in got}) == len(got) == 21 and sum(r.kind == "conceptual" for r in got) == 5
