@@ -7,7 +7,9 @@ for several independent walks) is the LSH key. Item-sized windows of the documen
 and every candidate is verified by exact edit distance.
 
 A window starts where a short run of words is one that some item has near its start: a passage within the allowed edits
-keeps at least one such run whole, so no passage is lost by it, and other places need no walk.
+keeps at least one such run whole, so no passage is lost by it, and other places need no walk. A walk takes 64 steps at
+most: of a longer item each of its runs near the start has a walk of its own, and edits beyond 64 words from there don't
+matter to it. The tests measure the recall of items of up to 150 words.
 """
 
 from __future__ import annotations

@@ -355,6 +355,23 @@ def test_recall_of_edited_passages(docs, spark, sf_dir):
         assert sum((k, i) in found for k, (i, _) in enumerate(items)) / len(items) >= 0.95
 
 
+def test_recall_of_long_items():
+    """Items longer than a walk, with a fifth of their words edited."""
+    rng = random.Random(1)
+    for n in (100, 150):
+        items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(n))) for i in range(20)]
+        made = []
+        for _, text in items:
+            words = text.split()
+            for at in rng.sample(range(n), n // 5):
+                words[at] = rng.choice([f"z{rng.randrange(3000)}", "", f"{words[at]} y{rng.randrange(99)}"])
+            around = [f"p{rng.randrange(999)}" for _ in range(200)]
+            made.append(decontamination.codes(" ".join([*around[:100], *words, *around[100:]])))
+        tables = decontamination.Items(items)
+        found = {(d, tables.ids[m]) for d, m, *_ in tables.matches(made)}
+        assert sum((k, i) in found for k, (i, _) in enumerate(items)) / len(items) >= 0.95
+
+
 def test_leaks_of_trimmed_items(spark):
     """A document that is an item without words of both ends, between longer ones in one slab."""
     items, docs, want = [], [], set()
