@@ -38,7 +38,7 @@ MATCHES = "doc_id bigint, item_id bigint, distance int, item_words int, start_wo
 class _Codes(dict):
     """word -> 64-bit code; bounded, and the same on every worker."""
 
-    room = 250_000
+    room = 600_000
 
     def __missing__(self, word: str) -> int:
         code = xxhash.xxh64_intdigest(word) or 1
