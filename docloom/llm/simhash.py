@@ -17,6 +17,8 @@ SEED = 42
 _SLAB = 1 << 16
 #: Documents whose shingles are counted, and how many of the commonest shingles go last in a prefix. Any order gives the same links.
 _COUNTED, _COMMON = 8_000, 200_000
+#: Rounds in which each class meets some others of each of its shingles, and how many, before all pairs that are still open.
+_ROUNDS, _SOME = 2, 8
 #: Longs of the odd sketch of a shingle set [Mitzenmacher, Pagh, Pham 2014].
 WIDE = 8
 
@@ -249,28 +251,49 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     several = places.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "least")
     shared = cut(places.join(several.hint("merge"), "h").distinct(), "shared")  # copies of a class make one row
     lead = shared.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    first = likely(near.unionAll(same).unionAll(lead).distinct())
-    roots = components(first, "a", "b").select(F.col("node").alias("id"), "root")
-    rooted = cut(shared.drop("least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
-    mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
-    still = cut(rooted.join(mixed, "h").join(classes.select("id", "odd"), "id"), "open")
-    end = lambda x: still.select("h", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "at", "root", "odd")])
-    is_open = f"a < b and root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D and {_may_be(similarity, 'odd')}"
-    second = likely(end("a").join(end("b"), "h").where(is_open).select("a", "b").distinct())
-    roots = components(first.unionByName(second), "a", "b").select(F.col("node").alias("id"), "root")
+    links = likely(near.unionAll(same).unionAll(lead).distinct())
+    # then, where the classes of a shingle are in several groups, with some others of them in each round, and at last all that is open
+    for turn in range(_ROUNDS + 1):
+        roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")
+        rooted = cut(shared.drop("least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+        mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
+        still = cut(rooted.join(mixed, "h").join(classes.select("id", "odd"), "id"), "open")
+        more = likely(_open_pairs(still, similarity, turn if turn < _ROUNDS else None))
+        discard(rooted, still)
+        links = links.unionByName(more)
+    roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")
     named = cut(classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "roots")
-    discard(prints, shared, rooted, still, first, second, classes)
+    discard(prints, shared, classes)
     groups = named.join(named.groupBy("root").agg(F.min("first").alias("of")), "root").select("id", F.col("of").alias("first"))
     return rows.select("doc_id", "key", "id").join(groups, "id").withColumn("component_id", F.col("first.doc_id"))
 
 
+def _open_pairs(still: DataFrame, similarity: float, turn: int | None) -> DataFrame:
+    """Pairs (a, b) of classes in different groups that share a shingle h and that no bound rules out: each class with
+    the _SOME that `turn` picks by hash for each of its shingles, so rows grow in proportion, or all of them if turn is None.
+
+    still: (h, id, n, at: the place of h in its prefix, root, odd).
+    """
+    fields = ["id", "n", "at", "root", "odd"]
+    end = lambda x: [F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in fields[1:]]]
+    other = still
+    if turn is not None:
+        picked = [F.min_by(F.struct(*fields), F.xxhash64(F.lit(turn * _SOME + k), "h", "id")) for k in range(_SOME)]
+        other = still.groupBy("h").agg(F.array_distinct(F.array(*picked)).alias("some")).select("h", F.inline("some"))
+    both = still.select("h", *end("a")).join(other.select("h", *end("b")), "h")
+    is_open = f"root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D and {_may_be(similarity, 'odd')}"
+    found = both.where(is_open if turn is not None else f"a < b and {is_open}")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, similarity: float = 0.8, max_bits: int = 3) -> DataFrame:
     """One row for each document: doc_id, component_id, linked where sets of shingles have a Jaccard similarity of `similarity`.
 
     SimHash fingerprints of the sets give the first candidates, by pigeonring within max_bits bits. Sets at 0.8 differ in
     some ten of 64 bits, so an exact way finds the rest: candidates share a shingle of their prefixes, as all pairs of that
     similarity do, and no link is lost. Documents of one set are a class and never paired. Each class is held against
-    those its fingerprint finds and the least one of each shingle of its prefix; of all other candidate pairs only those
+    those its fingerprint finds and the least one of each shingle of its prefix, then in rounds against some others of each
+    shingle that are in another group by then, which joins large groups by few pairs; of all other candidate pairs only those
     that this leaves in different groups, and whose sizes, places of the shared shingle and odd sketches (bounds that
     every similar pair meets) don't rule them out, follow. Every link is verified by the exact sets, told apart by 64-bit
     hashes. Null and blank texts have the empty set and are one class; shorter texts than a shingle are one shingle. Rows
