@@ -85,6 +85,14 @@ def route(block_type: Column, complexity: Column, math: float = 0.7, table: floa
     )
 
 
+def table_image_complexity(width: Column, height: Column, n_cells: Column, has_spans: Column, has_nested: Column) -> Column:
+    """Struct (score, factors, needs_model) of a table's picture: a model takes over beyond 0.3. What is null adds nothing."""
+    tests = [("large_size", (height > 500) | (width > 800), 0.2), ("high_cell_count", n_cells > 30, 0.2), ("merged_cells", has_spans, 0.3), ("nested_structure", has_nested, 0.3)]
+    score = F.round(reduce(add, (F.when(test, F.lit(points)).otherwise(F.lit(0.0)) for _, test, points in tests)), 6)
+    factors = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test, _ in tests]))
+    return F.struct(F.least(score, F.lit(1.0)).alias("score"), factors.alias("factors"), (score > 0.3).alias("needs_model"))
+
+
 def recommended_config(available: Column, responsive: Column, memory_gb: Column, cores: Column, cpu_usage: Column, load: Column, disk_gb: Column) -> Column:
     """Which set of model features a machine should run."""
     return (

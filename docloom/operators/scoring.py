@@ -35,3 +35,17 @@ def win_rates(votes: DataFrame) -> DataFrame:
 def score_rollup(scores: DataFrame) -> DataFrame:
     """Mean scores by method, by method and document type, and by method and block type, in one pass."""
     return scores.groupingSets([["method"], ["method", "doc_type"], ["method", "block_type"]], "method", "doc_type", "block_type").agg(F.count("*").alias("n"), F.avg("score").alias("mean_score"))
+
+
+def feature_times(steps: DataFrame, run: list[str]) -> DataFrame:
+    """(run columns, feature, seconds): what each feature took in a run, from steps with feature and seconds. A null time counts nothing."""
+    return steps.groupBy(*run, "feature").agg(F.round(F.coalesce(F.sum("seconds"), F.lit(0.0)), 1).alias("seconds"))
+
+
+def run_performance(steps: DataFrame, run: list[str]) -> DataFrame:
+    """One row for each run: total_seconds, n_analyses, n_successful, n_fallbacks and average_seconds, the total over its
+    analyses (0 without any). steps: run columns, seconds and the flags is_analysis, is_successful and is_fallback."""
+    total, n = F.coalesce(F.sum("seconds"), F.lit(0.0)), F.count_if(F.col("is_analysis"))
+    good = F.count_if(F.col("is_analysis") & F.col("is_successful"))
+    average = F.when(n > 0, total / n).otherwise(F.lit(0.0))
+    return steps.groupBy(*run).agg(F.round(total, 1).alias("total_seconds"), n.alias("n_analyses"), good.alias("n_successful"), F.count_if(F.col("is_fallback")).alias("n_fallbacks"), F.round(average, 1).alias("average_seconds"))

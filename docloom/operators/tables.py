@@ -128,6 +128,16 @@ def to_csv(cells: DataFrame, table: list[str]) -> DataFrame:
     return rows.groupBy(*table).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "line"))), lambda r: r["line"]), "\n").alias("csv"))
 
 
+def append_html_body(first: Column, second: Column) -> Column:
+    """HTML of one table from two: the rows of the second one's first body go before the last end of a body in the first.
+    Without both bodies, or where text begins with the tag, the second follows on a line of its own. Null if either is."""
+    start, end = F.instr(second, "<tbody>"), F.instr(second, "</tbody>")
+    rows = F.substring(second, start + F.lit(len("<tbody>")), end - start - F.lit(len("<tbody>")))
+    at = F.when(F.instr(first, "</tbody>") > 0, F.length(first) - F.length(F.substring_index(first, "</tbody>", -1)) - F.lit(len("</tbody>"))).otherwise(F.lit(0))
+    joined = F.concat(F.substring(first, F.lit(1), at), rows, F.substring(first, at + 1, F.length(first)))
+    return F.when((start > 1) & (end > start) & (at > 0), joined).otherwise(F.concat(first, F.lit("\n"), second))
+
+
 def runs(tables: DataFrame, doc: list[str], order: str = "table_ord") -> DataFrame:
     """tables with run: consecutive tables of one document that go on over a page break, beside or below each other share a number.
 

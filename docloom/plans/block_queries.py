@@ -445,3 +445,41 @@ def letter_cooccurrence(spark, sf_dir):
     place = F.when(k % 3 == 0, "London").when(k % 3 == 1, "Miller City").otherwise("Stanford University")
     text = F.concat(F.lit("Mary Smith of "), place, F.lit(" wrote to a"), (k % 7).cast("string"), F.lit("@x.org on 12-31-"), (2000 + k % 4).cast("string"))
     return entities.cooccurrences(entities.mentions(read(spark, sf_dir, "supplier").select(k.alias("doc_id"), text.alias("text"))))
+
+
+@query("""with m as (select p_partkey, p_size * 20 as width, p_partkey * 7 % 900 as height, p_size as n_cells, p_partkey % 4 = 0 as spans, p_partkey % 6 = 0 as nested from part),
+s as (select p_partkey, round((case when height > 500 or width > 800 then 0.2 else 0 end + case when n_cells > 30 then 0.2 else 0 end + case when spans then 0.3 else 0 end + case when nested then 0.3 else 0 end)::double, 6) as score,
+  concat_ws(',', case when height > 500 or width > 800 then 'large_size' end, case when n_cells > 30 then 'high_cell_count' end, case when spans then 'merged_cells' end, case when nested then 'nested_structure' end) as factors from m)
+select p_partkey, least(score, 1.0) as score, factors, score > 0.3 as needs_model from s""")
+def table_image_scores(spark, sf_dir):
+    """How complex a table's picture is, and whether a model should read it."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    found = rules.table_image_complexity(size * 20, k * 7 % 900, size, k % 4 == 0, k % 6 == 0)
+    return read(spark, sf_dir, "part").select("p_partkey", found.alias("f")).select("p_partkey", "f.score", F.array_join("f.factors", ",").alias("factors"), "f.needs_model")
+
+
+_BODY = "case when p_partkey % {k} = 0 then '<table><tr><td>' || p_name || '</td></tr></table>' else '<table><tbody><tr><td>' || p_{f} || '</td></tr></tbody></table>' end"
+
+
+@query(f"""with t as (select p_partkey, {_BODY.format(k=5, f="name")} as a, {_BODY.format(k=7, f="brand")} as b from part)
+select p_partkey, case when a like '%</tbody>%' and b like '%<tbody>%' then regexp_replace(a, '</tbody></table>$', '') || regexp_extract(b, '<tbody>(.*)</tbody>', 1) || '</tbody></table>' else a || chr(10) || b end as html from t""")
+def html_bodies_joined(spark, sf_dir):
+    """HTML tables that go on in another one."""
+    html = lambda k, f: F.expr(_BODY.format(k=k, f=f))
+    return read(spark, sf_dir, "part").select("p_partkey", tables.append_html_body(html(5, "name"), html(7, "brand")).alias("html"))
+
+
+@query("select user_id, event_type as feature, round(sum((event_id % 120) / 8.0), 1) as seconds from events group by all")
+def feature_timings(spark, sf_dir):
+    """Seconds of each feature in each run."""
+    return scoring.feature_times(read(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("feature"), (F.col("event_id") % 120 / 8.0).alias("seconds")), ["user_id"])
+
+
+@query("""with s as (select user_id, (event_id % 120) / 8.0 as seconds, event_id % 3 > 0 as a, event_id % 5 > 0 as g, event_id % 11 = 0 as f from events)
+select user_id, round(sum(seconds), 1) as total_seconds, count(*) filter (a) as n_analyses, count(*) filter (a and g) as n_successful, count(*) filter (f) as n_fallbacks,
+  round(case when count(*) filter (a) > 0 then sum(seconds) / count(*) filter (a) else 0.0 end, 1) as average_seconds from s group by user_id""")
+def run_performances(spark, sf_dir):
+    """Analyses, fallbacks and mean time of each run."""
+    e = F.col("event_id")
+    steps = read(spark, sf_dir, "events").select("user_id", (e % 120 / 8.0).alias("seconds"), (e % 3 > 0).alias("is_analysis"), (e % 5 > 0).alias("is_successful"), (e % 11 == 0).alias("is_fallback"))
+    return scoring.run_performance(steps, ["user_id"])
