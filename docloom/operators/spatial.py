@@ -35,6 +35,24 @@ def orphan_islands(lines: DataFrame, page: list[str], order: str, within: float
     return lines.withColumn("island", F.sum(new).over(w))
 
 
+def new_blocks(orphans: DataFrame, blocks: DataFrame, page: list[str], order: str = "line_ord", within: float = 20.0, x_weight: float = 5.0) -> DataFrame:
+    """Text blocks for lines that no block took: page columns, first_line, n_lines, box around them, after: the block_id to stand behind.
+
+    orphans: page columns, order (a line's number on its page), box. blocks: page columns, block_id, box, without types that
+    nothing may follow. Lines with consecutive numbers whose centres lie closer than `within` are one block. It follows the
+    block whose centre is nearest its first line's, sidewise distances counting x_weight times; ties go to the smaller
+    block_id, and after is null on pages without blocks. A line without a box is a block of its own.
+    """
+    w = Window.partitionBy(*page).orderBy(order)
+    goes_on = (F.lag(order).over(w) + 1 == F.col(order)) & (g.center_distance(F.lag("box").over(w), F.col("box")) < within)
+    numbered = orphans.withColumn("_new", F.sum((~F.coalesce(goes_on, F.lit(False))).cast("int")).over(w))
+    made = numbered.groupBy(*page, "_new").agg(F.min(order).alias("first_line"), F.count("*").alias("n_lines"), g.merged(F.col("box")).alias("box"), F.min_by("box", order).alias("_first"))
+    b = blocks.select(*page, "block_id", F.col("box").alias("_box"))
+    apart = g.center_distance(F.col("_first"), F.col("_box"), x_weight=x_weight, absolute=True)
+    near = made.join(b, page, "left").groupBy(*page, "first_line", "n_lines", "box").agg(F.min(F.when(apart.isNotNull(), F.struct(apart.alias("d"), "block_id"))).alias("m"))
+    return near.select(*page, "first_line", "n_lines", "box", F.col("m.block_id").alias("after"))
+
+
 def covered(inner: DataFrame, outer: DataFrame, page: list[str], share: float = 0.95, keep: bool = False) -> DataFrame:
     """Rows of inner that no box of outer on the page covers by more than `share` (keep: those that one does)."""
     o = outer.select(*[F.col(c).alias(f"o_{c}") for c in page], F.col("box").alias("o_box"))

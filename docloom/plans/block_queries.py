@@ -483,3 +483,16 @@ def run_performances(spark, sf_dir):
     e = F.col("event_id")
     steps = read(spark, sf_dir, "events").select("user_id", (e % 120 / 8.0).alias("seconds"), (e % 3 > 0).alias("is_analysis"), (e % 5 > 0).alias("is_successful"), (e % 11 == 0).alias("is_fallback"))
     return scoring.run_performance(steps, ["user_id"])
+
+
+@query(f"""with b as ({_BLOCKS}), o as (select *, lag(id) over w as pid, lag((x0 + x1) / 2) over w as px, lag((y0 + y1) / 2) over w as py from b where block_type in ('Text', 'ListItem') window w as (partition by page_id order by id)),
+n as (select *, sum(case when pid + 1 = id and sqrt(pow(px - (x0 + x1) / 2, 2) + pow(py - (y0 + y1) / 2, 2)) < 60 then 0 else 1 end) over (partition by page_id order by id) as k from o),
+m as (select page_id, k, min(id) as first_line, count(*) as n_lines, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, arg_min((x0 + x1) / 2, id) as cx, arg_min((y0 + y1) / 2, id) as cy from n group by all)
+select m.page_id, first_line, n_lines, m.x0, m.y0, m.x1, m.y1, arg_min(b.id, (5 * abs(cx - (b.x0 + b.x1) / 2) + abs(cy - (b.y0 + b.y1) / 2), b.id)) as after
+from m left join b on b.page_id = m.page_id and b.block_type in ('Table', 'Caption', 'Footnote') group by all""")
+def blocks_of_orphan_lines(spark, sf_dir):
+    """Blocks made of lines that no block took, and where they go."""
+    b = blocks(spark, sf_dir)
+    lines = b.where("block_type in ('Text', 'ListItem')").select("page_id", F.col("id").alias("line_ord"), "box")
+    others = b.where("block_type in ('Table', 'Caption', 'Footnote')").select("page_id", F.col("id").alias("block_id"), "box")
+    return spatial.new_blocks(lines, others, ["page_id"], within=60.0).select("page_id", "first_line", "n_lines", "box.*", "after")
