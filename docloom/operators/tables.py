@@ -128,6 +128,25 @@ def to_csv(cells: DataFrame, table: list[str]) -> DataFrame:
     return rows.groupBy(*table).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "line"))), lambda r: r["line"]), "\n").alias("csv"))
 
 
+def to_json(cells: DataFrame, table: list[str]) -> DataFrame:
+    """(table columns, json): headers and rows. The first row with a header cell names the fields of all rows without one, of
+    fields with one name the last counts; tables without such a row give arrays. Null texts and names are empty."""
+    flag = F.coalesce("is_header", F.lit(False)) if "is_header" in cells.columns else F.lit(False)
+    one = cells.select(*table, "row_id", flag.alias("_head"), F.struct("col_id", F.coalesce("text", F.lit("")).alias("text")).alias("_c"))
+    rows = one.groupBy(*table, "row_id").agg(F.max("_head").alias("head"), F.transform(F.array_sort(F.collect_list("_c")), lambda c: c["text"]).alias("cells"))
+    whole = rows.groupBy(*table).agg(F.array_sort(F.collect_list(F.struct("row_id", "head", "cells"))).alias("rows"))
+    names = F.get(F.filter("rows", lambda r: r["head"]), F.lit(0))["cells"]
+
+    def fields(row: Column) -> Column:
+        keys = F.slice("names", F.lit(1), F.least(F.size("names"), F.size(row)))
+        last = lambda k: F.size(keys) - F.array_position(F.reverse(keys), k)
+        return F.map_from_entries(F.transform(F.array_distinct(keys), lambda k: F.struct(k, F.get(row, last(k).cast("int")))))
+
+    named = F.to_json(F.struct(F.col("names").alias("headers"), F.transform(F.filter("rows", lambda r: ~r["head"]), lambda r: fields(r["cells"])).alias("rows")))
+    plain = F.to_json(F.struct(F.array().cast("array<string>").alias("headers"), F.transform("rows", lambda r: r["cells"]).alias("rows")))
+    return whole.withColumn("names", names).select(*table, F.when(F.col("names").isNotNull(), named).otherwise(plain).alias("json"))
+
+
 def append_html_body(first: Column, second: Column) -> Column:
     """HTML of one table from two: the rows of the second one's first body go before the last end of a body in the first.
     Without both bodies, or where text begins with the tag, the second follows on a line of its own. Null if either is."""

@@ -496,3 +496,17 @@ def blocks_of_orphan_lines(spark, sf_dir):
     lines = b.where("block_type in ('Text', 'ListItem')").select("page_id", F.col("id").alias("line_ord"), "box")
     others = b.where("block_type in ('Table', 'Caption', 'Footnote')").select("page_id", F.col("id").alias("block_id"), "box")
     return spatial.new_blocks(lines, others, ["page_id"], within=60.0).select("page_id", "first_line", "n_lines", "box.*", "after")
+
+
+@query("""with r as (select p_partkey // 10 as t, p_partkey % 10 as r, p_partkey::varchar as a, p_name as b, p_size::varchar as c from part),
+h as (select t, case when t % 4 = 0 then 'key' else 'size' end as last from r where r = 0 and t % 2 = 0),
+o as (select t, r, last, case when last is null then '["' || a || '","' || b || '","' || c || '"]' when last = 'key' then '{"key":"' || c || '","name":"' || b || '"}' else '{"key":"' || a || '","name":"' || b || '","size":"' || c || '"}' end as j from r left join h using (t))
+select t, md5('{"headers":[' || coalesce('"key","name","' || max(last) || '"', '') || '],"rows":[' || coalesce(string_agg(j, ',' order by r) filter (last is null or r > 0), '') || ']}') as json from o group by t""")
+def table_json(spark, sf_dir):
+    """Tables as JSON, with and without a row of names, also of one name twice."""
+    k, t = F.col("p_partkey"), F.floor(F.col("p_partkey") / 10)
+    head = (k % 10 == 0) & (t % 2 == 0)
+    names = F.array(F.lit("key"), F.lit("name"), F.when(t % 4 == 0, "key").otherwise("size"))
+    texts = F.when(head, names).otherwise(F.array(k.cast("string"), "p_name", F.col("p_size").cast("string")))
+    cells = read(spark, sf_dir, "part").select(t.alias("t"), (k % 10).alias("row_id"), head.alias("is_header"), F.posexplode(texts).alias("col_id", "text"))
+    return tables.to_json(cells, ["t"]).select("t", F.md5("json").alias("json"))
