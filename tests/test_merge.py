@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import geometry as g
 from docloom.functions.trees import tree_similarity
-from docloom.operators import markdown, search, table_merge
+from docloom.operators import markdown, scoring, search, spatial, table_merge, tables
 
 
 def one(spark, column):
@@ -47,3 +47,35 @@ def test_tree_similarity():
     assert tree_similarity(t, t) == 1.0 and tree_similarity(None, "") == 1.0
     assert abs(tree_similarity(t, "<table><tr><td>a</td></tr></table>") - (1 - 1 / 5)) < 1e-9
     assert tree_similarity(t, t.replace(">b<", ">c<")) == 1 - 1 / 5
+
+
+def test_append_html_body(spark):
+    body = "<table><tbody><tr>{}</tr></tbody></table>"
+    rows = [(body.format(1), body.format(2)), (body.format(1), "<tbody>2</tbody>"), ("1</tbody>2</tbody>3", body.format(2)), ("plain", body.format(2)), (body.format(1), "</tbody><tbody>"), (None, "x")]
+    found = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string").select("i", tables.append_html_body(F.col("a"), F.col("b")).alias("h")).orderBy("i").collect()
+    assert [r["h"] for r in found] == [
+        "<table><tbody><tr>1</tr><tr>2</tr></tbody></table>", body.format(1) + "\n<tbody>2</tbody>", "1</tbody>2<tr>2</tr></tbody>3",
+        "plain\n" + body.format(2), body.format(1) + "\n</tbody><tbody>", None,
+    ]
+
+
+def test_to_json(spark):
+    cells = spark.createDataFrame([(1, 0, 0, "a", True), (1, 0, 1, "a", True), (1, 1, 0, 'x"', False), (1, 1, 1, None, False), (1, 2, 0, "only", None), (2, 0, 0, "y", None)], "t int, row_id int, col_id int, text string, is_header boolean")
+    found = {r["t"]: r["json"] for r in tables.to_json(cells, ["t"]).collect()}
+    assert found == {1: '{"headers":["a","a"],"rows":[{"a":""},{"a":"only"}]}', 2: '{"headers":[],"rows":[["y"]]}'}
+    assert tables.to_json(cells.limit(0), ["t"]).count() == 0
+
+
+def test_new_blocks(spark):
+    lines = spark.createDataFrame([(1, 0, (0.0, 0.0, 10.0, 10.0)), (1, 1, (0.0, 10.0, 10.0, 20.0)), (1, 3, (0.0, 20.0, 10.0, 30.0)), (1, 4, None), (2, 0, (0.0, 0.0, 1.0, 1.0))], "page int, line_ord int, box struct<x0:double,y0:double,x1:double,y1:double>")
+    others = spark.createDataFrame([(1, 7, (0.0, 90.0, 10.0, 100.0)), (1, 8, (12.0, 20.0, 22.0, 30.0))], "page int, block_id int, box struct<x0:double,y0:double,x1:double,y1:double>")
+    found = spatial.new_blocks(lines, others, ["page"]).orderBy("page", "first_line").collect()
+    assert [(r["page"], r["first_line"], r["n_lines"], r["after"]) for r in found] == [(1, 0, 2, 8), (1, 3, 1, 8), (1, 4, 1, None), (2, 0, 1, None)]
+    assert tuple(found[0]["box"]) == (0.0, 0.0, 10.0, 20.0)
+    assert spatial.new_blocks(lines.limit(0), others, ["page"]).count() == 0
+
+
+def test_run_performance(spark):
+    steps = spark.createDataFrame([(1, "t", 1.25, True, True, False), (1, "t", None, True, False, False), (1, "m", 0.5, False, True, True), (2, "m", None, None, None, None)], "run int, feature string, seconds double, is_analysis boolean, is_successful boolean, is_fallback boolean")
+    assert sorted(map(tuple, scoring.feature_times(steps, ["run"]).collect())) == [(1, "m", 0.5), (1, "t", 1.3), (2, "m", 0.0)]
+    assert sorted(map(tuple, scoring.run_performance(steps, ["run"]).collect())) == [(1, 1.8, 2, 1, 1, 0.9), (2, 0.0, 0, 0, 0, 0.0)]
