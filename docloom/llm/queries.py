@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, secrets, substrings
+from . import divergence, embeddings, secrets, substrings
 from .decontamination import find_leaks
 from .language import identify
 from .packing import pack
@@ -59,5 +59,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op4_benchmark_decontamination, op5_token_files, op6_language_id, op7_substring_dedup, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing)}
-ORACLE_SQL: dict[str, str] = {"op8_secret_scans": secrets.oracle_sql()}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op4_benchmark_decontamination, op5_token_files, op6_language_id, op7_substring_dedup, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing, op11_source_divergence)}
+ORACLE_SQL: dict[str, str] = {"op8_secret_scans": secrets.oracle_sql(), "op11_source_divergence": divergence.oracle_sql()}
