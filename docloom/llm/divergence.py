@@ -254,8 +254,8 @@ def _distances(frame: pd.DataFrame) -> pd.DataFrame:
         others = mine[mine > i] if (frame["bi"].iloc[0] == frame["bj"].iloc[0]) else mine
         if len(others):
             sums = np.abs(p[others] - p[i]).sum(axis=1) + rest * np.abs(base[others] - base[i])
-            out.append(pd.DataFrame({"lang": frame["lang"].iloc[0], "a": names[i], "b": names[others], "value": sums}))
-    return pd.concat(out) if out else pd.DataFrame({"lang": [], "a": [], "b": [], "value": []})
+            out += [(frame["lang"].iloc[0], names[i], names[k], value) for k, value in zip(others, sums.tolist(), strict=True)]
+    return pd.DataFrame(out, columns=["lang", "a", "b", "value"])
 
 
 def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 30, top: int = 50) -> DataFrame:

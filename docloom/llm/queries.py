@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, divergence, embeddings, secrets, substrings
+from . import collocations, divergence, embeddings, lm, secrets, substrings
 from .decontamination import find_leaks
 from .language import identify
 from .packing import pack
@@ -67,5 +67,9 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op4_benchmark_decontamination, op5_token_files, op6_language_id, op7_substring_dedup, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing, op11_source_divergence, op12_phrase_collocations)}
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_simhash_near_dedup, op3_token_counts, op4_benchmark_decontamination, op5_token_files, op6_language_id, op7_substring_dedup, op8_secret_scans, op9_embedding_near_dedup, op10_best_fit_packing, op11_source_divergence, op12_phrase_collocations, op13_lm_scoring)}
 ORACLE_SQL: dict[str, str] = {"op8_secret_scans": secrets.oracle_sql(), "op11_source_divergence": divergence.oracle_sql(), "op12_phrase_collocations": collocations.oracle_sql()}
