@@ -26,9 +26,9 @@ _APART = bytes(b if b > 0x7F or chr(b).islower() else b + 32 if chr(b).isupper()
 PAGES = "lang binary, terms array<binary>, df array<bigint>, leaf array<int>, source array<int>, n array<bigint>, names array<string>"
 
 
-def terms_of(text: str | None) -> list[bytes]:
-    """The terms of a text as UTF-8: runs of letters A-Z and a-z and of characters beyond ASCII, only A-Z lower-cased."""
-    return (text or "").encode("utf-8", "replace").translate(_APART).split()
+def terms_of(text: bytes | None) -> list[bytes]:
+    """The terms of a text in UTF-8: runs of letters A-Z and a-z and of characters beyond ASCII, only A-Z lower-cased."""
+    return (text or b"").translate(_APART).split()
 
 
 class Trie:
@@ -123,7 +123,7 @@ class Tries:
                 part = kept[at : at + size]
                 leaves = np.array([k for _, k in part])
                 counts = starts[leaves + 1] - starts[leaves]
-                picked = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in leaves])
+                picked = np.repeat(starts[leaves] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
                 used, source = np.unique(keys[picked] & ((1 << 31) - 1), return_inverse=True)
                 yield lang, [t for t, _ in part], self.df[leaves], np.repeat(np.arange(len(part), dtype=np.int32), counts), source.astype(np.int32), n[picked], [names[k] for k in used]
 
@@ -144,15 +144,14 @@ def _page_frame(pages: list[tuple]) -> pd.DataFrame:
 
 
 def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages of the tries of a task's documents (lang, source, text)."""
+    """Pages of the tries of a task's documents (lang, source, text; lang and text in UTF-8)."""
     tries, known = Tries(), {}
     for frame in frames:
         for lang, source, text in frame.itertuples(index=False):
             words = terms_of(text)
             if not words:
                 continue
-            code = lang.encode("utf-8", "replace")
-            look = known.get(code) or known.setdefault(code, _Leaves(tries, code))
+            look = known.get(lang) or known.setdefault(lang, _Leaves(tries, lang))
             leaves, n = np.unique(np.fromiter(map(look.__getitem__, words), np.int64, len(words)), return_counts=True)
             tries.df[leaves] += 1
             tries.add(leaves, tries.source(source), n)
@@ -215,7 +214,7 @@ def kept_terms(rows: DataFrame, min_docs: int) -> DataFrame:
     rows: lang, source, text without nulls in the first two. chunk numbers runs of CHUNK terms in UTF-8 order; total is
     the term's count in the language; first marks one counter of each term.
     """
-    pages = cut(rows.select("lang", "source", "text").mapInPandas(_counted, PAGES), "tries")
+    pages = cut(rows.select(F.col("lang").cast("binary"), "source", F.col("text").cast("binary")).mapInPandas(_counted, PAGES), "tries")
     size = pages.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)), F.count("*")).first()
     ranges = min(RANGES, -(-size[0] // RANGE_LEAVES))
     bounds: list[tuple[bytes, bytes]] = []

@@ -69,7 +69,7 @@ def test_audit_in_small_pieces(spark, monkeypatch):
 def test_full_tries_are_written_down(monkeypatch):
     import pandas as pd
 
-    rows = pd.DataFrame([(lang or "", source or "", text) for _, text, lang, source, _ in texts(4)], columns=["lang", "source", "text"])
+    rows = pd.DataFrame([((lang or "").encode(), source or "", text.encode()) for _, text, lang, source, _ in texts(4)], columns=["lang", "source", "text"])
 
     def counters(pages):
         out = Counter()
