@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .shared import cut, discard
 
 #: Tokens of a chunk, and keys of all chunks together for each table partition.
-CHUNK_TOKENS, PARTITION_KEYS = 4_000_000, 4_000_000
+CHUNK_TOKENS, PARTITION_KEYS = 2_000_000, 4_000_000
 #: Good-Turing gives what counts up to LARGE lose; larger ones lose what LARGE does.
 LARGE = 5
 _END, _SEED = b"", 42  # no word is empty
