@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import chunking, entities, graph, hierarchy, layout, processors, qa, render, rollout, rules, scoring, spatial, tables, validators
+from ..operators import chunking, entities, graph, hierarchy, layout, processors, qa, render, rollout, rules, scoring, spatial, tables, validators, vector_index
 from ..sources import html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,15 +183,10 @@ def cosine_topk(spark, sf_dir):
 
 
 def _nearest(spark, sf_dir, k):
-    v = read(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
-    v = v.withColumn("norm", F.sqrt(sim.dot(F.col("e"), F.col("e"))))
-    q = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q_id"), F.col("e").alias("qe"), F.col("norm").alias("q_norm"))
-    s = q.join(v, F.col("vec_id") != F.col("q_id")).select("q_id", "vec_id", "label", (sim.dot(F.col("qe"), F.col("e")) / (F.col("q_norm") * F.col("norm"))).alias("c"))
-    # a bounded array for each query and task, then the best of those: no sort of all pairs
-    key = F.struct((-F.round("c", 9)).alias("k"), "vec_id", "label", "c")
-    top = s.groupBy("q_id", F.spark_partition_id().alias("p")).agg(F.slice(F.array_sort(F.collect_list(key)), 1, k).alias("t"))
-    best = top.groupBy("q_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("t"))), 1, k).alias("t"))
-    return best.select("q_id", F.posexplode("t").alias("i", "x")).select("q_id", "x.vec_id", "x.label", (F.col("i") + 1).alias("rank"), "x.c")
+    v = vector_index.usable(read(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("v"))
+    n = v.count()
+    found = vector_index.nearest(v.where("id % 50 = 0").select(F.col("id").alias("q_id"), "v"), v, k, n, -(-n // 50))
+    return found.join(v.select("id", "label"), "id").select("q_id", F.col("id").alias("vec_id"), "label", "rank", "c")
 
 
 @query("""with q as (select vec_id as q_id, label as own, embedding::double[] as e from embeddings where vec_id % 50 = 0), s as (select q_id, own, vec_id, label, list_cosine_similarity(q.e, v.embedding::double[]) as c from q, embeddings v where vec_id <> q_id),

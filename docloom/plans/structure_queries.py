@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..operators import lines, table_checks
+from ..functions.stems import stems_sql, with_stems
+from ..operators import lines, table_checks, text_index, vector_index
 from .queries import query, read
 
+
+def _folder(spark, tag):
+    """A new folder where driver and executors both see it: below spark.checkpoint.dir, or in local mode a temporary one."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
+        shared = tempfile.mkdtemp(prefix="docloom-")
+    return f"{shared.rstrip('/')}/docloom-plans/{tag}-{uuid.uuid4().hex}"
+
 _SHARE = "greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0))"
 
 # Lines: twelve to a block, three side by side to a row of text, some of them far too high.
@@ -135,3 +149,38 @@ def html_table_checks(spark, sf_dir):
     t = html_tables(spark, sf_dir)
     checked = table_checks.check_tables(t, table_checks.html_cells(t, ["t"]), ["t"], min_rows=4, max_cols=3, need_header=True)
     return checked.select("t", "n_rows", "n_cols", "has_header", "width", "n_overlaps", F.col("n_holes").cast("bigint").alias("n_holes"), F.array_join("problems", "; ").alias("problems"), "valid")
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z]+')"
+_WORD_LIST = f"select distinct unnest({_WORDS}) as word from documents"
+
+
+@query(f"with s as ({stems_sql(_WORD_LIST)}) select stem, count(*) as n_words, min(word) as first, max(word) as last from s group by 1")
+def english_stems(spark, sf_dir):
+    """The words of each stem."""
+    words = text_index.tokens(read(spark, sf_dir, "documents"), "doc_id").select("word").distinct()
+    return with_stems(words).groupBy("stem").agg(F.count("*").alias("n_words"), F.min("word").alias("first"), F.max("word").alias("last"))
+
+
+@query(f"""with d as (select doc_id, unnest(range(len(w))) as pos, unnest(w) as word from (select doc_id, {_WORDS} as w from documents)), i as (select item_id, unnest(range(len(w))) as pos, unnest(w) as word from (select item_id, ({_WORDS})[1:3] as w from benchmark)),
+s as ({stems_sql("select distinct word from (select word from d union all select word from i)")}), dp as (select doc_id, pos, stem from d join s using (word)), ip as (select item_id, pos, stem from i join s using (word)),
+n as (select item_id, count(distinct stem) as n_stems, count(*) as length from ip group by 1), j as (select item_id, doc_id, ip.pos as ipos, dp.pos as dpos, stem from ip join dp using (stem)),
+a as (select item_id, doc_id, count(distinct stem) as found, count(distinct (stem, dpos)) as n_hits from j group by all), p as (select item_id, doc_id, max(k) as most from (select item_id, doc_id, dpos - ipos as start, count(*) as k from j group by all) group by all)
+select item_id, doc_id, n_hits, most = length as phrase from a join n using (item_id) join p using (item_id, doc_id) where found = n_stems""")
+def stemmed_search(spark, sf_dir):
+    """Documents that have all of the first three words of a benchmark item, as stems, from a written index."""
+    docs, path = read(spark, sf_dir, "documents"), _folder(spark, "stems")
+    text_index.write_index(docs, path)
+    items = read(spark, sf_dir, "benchmark")
+    first = F.array_join(F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z]+"), 0), 1, 3), " ")
+    return text_index.search(text_index.read_index(spark, path), items.select("item_id", first.alias("text")), query="item_id")
+
+
+@query("""with s as (select q.vec_id as q_id, v.vec_id, list_cosine_similarity(q.embedding::double[], v.embedding::double[]) as c from embeddings q, embeddings v where q.vec_id % 50 = 0 and v.vec_id <> q.vec_id)
+select q_id, vec_id, (row_number() over (partition by q_id order by round(c, 9) desc, vec_id))::int as rank, round(c, 6) as cosine from s qualify rank <= 8""")
+def vector_index_topk(spark, sf_dir):
+    """The nearest vectors of every fiftieth, from a written index of lists."""
+    v, path = vector_index.usable(read(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), _folder(spark, "vectors")
+    vector_index.write_index(v, path, lists=16)
+    found, _ = vector_index.search(spark, path, v.where("id % 50 = 0").select(F.col("id").alias("q_id"), "v"), 8)
+    return found.select("q_id", F.col("id").alias("vec_id"), "rank", F.round("c", 6).alias("cosine"))
