@@ -41,16 +41,50 @@ def indel_ratio(a: str | None, b: str | None) -> float:
     return 100.0 if not a and not b else 200.0 * common_length(a, b) / (len(a) + len(b))
 
 
-def best_window(a: str | None, b: str | None) -> float:
-    """The best indel_ratio of the shorter text with a stretch of the longer one, of its length or cut off at the ends."""
+def best_window(a: str | None, b: str | None, gram: int = 4) -> float:
+    """The best indel_ratio of the shorter text with a stretch of the longer one, of its length or cut off at the ends.
+
+    Stretches where the shorter text's grams stand come first. Then the stretch slides along with a count of the
+    characters that both have, which no common subsequence can pass, nor can it be longer by more than one than a place before;
+    only where both leave room for a better one is it found, by bits of one integer. Nothing is kept of a stretch, so memory is that of the two texts.
+    """
     short, long = sorted((a or "", b or ""), key=len)
     if not short:
         return 100.0 if not long else 0.0
     if short in long:
         return 100.0
-    n = len(short)
-    stretches = {long[max(0, k) : k + n] for k in range(1 - n, len(long))}
-    return max(indel_ratio(short, s) for s in stretches)
+    n, best, tried = len(short), 0.0, set()
+    for i in range(0, n - gram + 1, gram):
+        at = long.find(short[i : i + gram])
+        for _ in range(8):
+            if at < 0:
+                break
+            start = at - i
+            if start not in tried and 1 - n <= start < len(long):
+                tried.add(start)
+                best = max(best, indel_ratio(short, long[max(0, start) : start + n]))
+            at = long.find(short[i : i + gram], at + 1)
+    left: dict[str, int] = {}  # of each character, how many of the shorter text's no place of the stretch has; below 0, how many more the stretch has
+    for c in short:
+        left[c] = left.get(c, 0) + 1
+    common = reach = 0  # reach: what a subsequence of the stretch can have at most, by the last one found; a step adds one
+    for end in range(1, len(long) + n):
+        if end <= len(long):
+            c = long[end - 1]
+            rest = left.get(c, 0)
+            common += rest > 0
+            left[c] = rest - 1
+        start = end - n
+        if start > 0:
+            c = long[start - 1]
+            rest = left[c]
+            common -= rest >= 0
+            left[c] = rest + 1
+        size, reach = min(end, len(long)) - max(0, start), reach + 1
+        if 200.0 * min(common, reach) > best * (n + size):
+            reach = common_length(short, long[max(0, start) : end])
+            best = max(best, 200.0 * reach / (n + size))
+    return best
 
 
 def token_sort_ratio(a: str | None, b: str | None) -> float:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.storage import fresh_folder, written
+
 LEVELS = range(1, 7)
 OWNING = range(7)  # a document's title is a header of level 0
 
@@ -91,16 +95,23 @@ def keep_whole_edges(edges: DataFrame, vertices: DataFrame, key: str = "key") ->
 def traverse(edges: DataFrame, roots: DataFrame, depth: int = 10) -> DataFrame:
     """(root, key, depth) of everything within `depth` edges below each root, each key at its least depth.
 
-    One equi-join a level, from the distinct keys of the level before, and one grouped minimum at the end; the number of
-    levels is bounded, so cycles end.
+    Semi-naive rounds: the keys that the round before found first are joined with the edges, and what is seen already
+    goes by an anti-join. Each round is written to the shared folder and read back, so no round is derived again, and the
+    work is a scan of the edges and of what is seen for each level. Cycles end, as nothing new is found; so do the rounds.
     """
+    spark, path = edges.sparkSession, fresh_folder(edges.sparkSession, "traversal")
     step = edges.select(F.col("src").alias("key"), "dst").distinct()
-    front = roots.select(F.col("key").alias("root"), "key").distinct()
-    seen = front.withColumn("depth", F.lit(0))
+    shape = roots.select(F.col("key").alias("root"), "key").distinct()
+    front, rounds = written(shape, f"{path}/0"), [f"{path}/0"]
     for k in range(1, depth + 1):
-        front = front.join(step, "key").select("root", F.col("dst").alias("key")).distinct()
-        seen = seen.unionByName(front.withColumn("depth", F.lit(k)))
-    return seen.groupBy("root", "key").agg(F.min("depth").alias("depth"))
+        seen = spark.read.schema(front.schema).parquet(*rounds)
+        front = front.join(step, "key").select("root", F.col("dst").alias("key")).distinct().join(seen, ["root", "key"], "left_anti")
+        front = written(front, f"{path}/{k}")
+        if front.isEmpty():
+            break
+        rounds.append(f"{path}/{k}")
+    levels = [spark.read.schema(front.schema).parquet(r).withColumn("depth", F.lit(k)) for k, r in enumerate(rounds)]
+    return reduce(DataFrame.unionByName, levels)
 
 
 def latest(rows: DataFrame, key: list[str], order: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geometry as g
 from ..functions.similarity import fuzzy
 
 
@@ -56,16 +56,72 @@ def merge_candidates(tables: DataFrame, doc: list[str]) -> DataFrame:
 
 
 def merged_into(pairs: DataFrame, doc: list[str]) -> DataFrame:
-    """(doc, table_ord, into): each table that another absorbs. In order, a table that none has absorbed takes its later matches."""
-
-    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        into: dict[int, int] = {}
-        for a, b in rows.loc[rows["merge"], ["a", "b"]].sort_values(["a", "b"]).itertuples(index=False):
-            if a not in into and b not in into:
-                into[b] = a
-        first = rows.iloc[0]
-        return pd.DataFrame([(*(first[c] for c in doc), b, a) for b, a in into.items()], columns=[*doc, "table_ord", "into"])
-
-    kinds = dict(pairs.dtypes)
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in doc), f"table_ord {kinds['a']}", f"into {kinds['a']}"])
-    return pairs.groupBy(*doc).applyInPandas(greedy, schema)
+    """(doc, table_ord, into): each table that another absorbs. In order, a table that none has absorbed takes its later matches.
+
+    The matches of a document, which neighbour_pairs() and merge_candidates() keep to its neighbouring pages, are folded in order in the JVM.
+    """
+    kind = dict(pairs.dtypes)["a"]
+    matches = pairs.where("merge").groupBy(*doc).agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_m"))
+    fold = f"aggregate(_m, cast(array() as array<struct<table_ord:{kind},into:{kind}>>), (s, p) -> if(exists(s, x -> x.table_ord = p.a or x.table_ord = p.b), s, concat(s, array(struct(p.b as table_ord, p.a as into)))))"
+    return matches.select(*doc, F.inline(F.expr(fold)))
+
+
+def neighbour_pairs(tables: DataFrame, doc: list[str], order: str = "table_ord", near: float = 0.05) -> DataFrame:
+    """(doc, a, b, same_page, columns_match, adjacent, continues, confidence, candidate, merge): each table with the one after it.
+
+    tables: document columns, order, page_id, page_height, box, n_columns, first_cell, last_cell (of the first column). Pairs are
+    neighbours on one page, or the last of a page and the first of the next. Confidence is 0.5, 0.3 more for as many
+    columns, 0.1 for tables that lie close (within `near` of the page's height, or over the page break) and 0.1 where row
+    numbers go on. Candidates have more than 0.7, over a page break more than 0.8; those with as many columns merge.
+    """
+    w = Window.partitionBy(*doc).orderBy(order)
+    nxt = lambda c: F.lead(c).over(w)
+    number = lambda c: F.trim(c).try_cast("bigint")
+    p = tables.select(
+        *doc, F.col(order).alias("a"), nxt(order).alias("b"), (nxt("page_id") == F.col("page_id")).alias("same_page"), (nxt("page_id") == F.col("page_id") + 1).alias("_over"),
+        (nxt("n_columns") == F.col("n_columns")).alias("columns_match"), g.gap(F.col("box"), nxt("box")).alias("_gap"), "page_height", (number(nxt("first_cell")) == number(F.col("last_cell")) + 1).alias("continues"),
+    )
+    p = p.where("b is not null and (same_page or _over)").withColumn("adjacent", ~F.col("same_page") | F.coalesce(F.col("_gap") < near * F.col("page_height"), F.lit(False)))
+    p = p.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("columns_match", "continues")})
+    tenths = 5 + 3 * F.col("columns_match").cast("int") + F.col("adjacent").cast("int") + F.col("continues").cast("int")
+    candidate = F.when(F.col("same_page"), tenths > 7).otherwise(tenths > 8)
+    return p.select(*doc, "a", "b", "same_page", "columns_match", "adjacent", "continues", (tenths / 10).alias("confidence"), candidate.alias("candidate"), (candidate & F.col("columns_match")).alias("merge"))
+
+
+def merge_chains(tables: DataFrame, pairs: DataFrame, doc: list[str], order: str = "table_ord") -> DataFrame:
+    """tables with chain: the order of the first of the tables that merge one into the next. pairs: as neighbour_pairs() gives them."""
+    goes_on = pairs.where("merge").select(*doc, F.col("b").alias(order), F.lit(True).alias("_on"))
+    marked = tables.join(goes_on, [*doc, order], "left")
+    first = F.when(F.col("_on").isNull(), F.col(order))
+    return marked.withColumn("chain", F.last(first, ignorenulls=True).over(Window.partitionBy(*doc).orderBy(order))).drop("_on")
+
+
+_MARKERS = "table|exhibit|figure"
+_KEYWORDS = "data|results|statistics|analysis|comparison|summary|breakdown|distribution|metrics|performance"
+
+
+def table_titles(blocks: DataFrame, doc: list[str], order: str = "block_ord") -> DataFrame:
+    """(doc, order, title, source, inferred) of the Table blocks of a document.
+
+    A title is the text right before the table, right after it, or the section header above it, in this order, if it is
+    shorter than 200 characters and names a table, exhibit or figure. Otherwise it is inferred: the first sentence of the
+    last Text above that tells of data (by keywords), or else a section header of under 100 characters; cut at 80
+    characters. Tables aren't neighbours of each other: what stands right before or after is the nearest other block.
+    All of it is the last or next value of one window of the document.
+    """
+    w = Window.partitionBy(*doc).orderBy(order)
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    kind, text = F.col("block_type"), F.coalesce("text", F.lit(""))
+    last = lambda c: F.coalesce(F.last(F.when(c, text), ignorenulls=True).over(before), F.lit(""))
+    near = blocks.withColumns({"_above": last(kind != "Table"), "_below": F.coalesce(F.first(F.when(kind != "Table", text), ignorenulls=True).over(after), F.lit("")), "_head": last(kind == "SectionHeader"), "_text": last(kind == "Text")})
+    says = lambda c: F.lower(c).rlike(_MARKERS) & (F.length(F.trim(c)) < 200)
+    sentence = F.trim(F.coalesce(F.get(F.filter(F.split("_text", r"\."), lambda s: F.lower(s).rlike(_KEYWORDS)), F.lit(0)), F.lit("")))
+    head = F.trim("_head")
+    short = lambda c: F.when(F.length(c) > 80, F.concat(F.substring(c, 1, 77), F.lit("..."))).otherwise(c)
+    found = lambda c, source: F.struct(c.alias("title"), F.lit(source).alias("source"), F.lit(source.startswith("inferred")).alias("inferred"))
+    title = (
+        F.when(says(F.col("_above")), found(F.trim("_above"), "caption_above")).when(says(F.col("_below")), found(F.trim("_below"), "caption_below")).when(says(F.col("_head")), found(head, "section_header"))
+        .when(sentence != "", found(F.concat(F.lit("Inferred: "), short(sentence)), "inferred_from_preceding_paragraph")).when((head != "") & (F.length(head) < 100), found(F.concat(F.lit("Inferred: "), short(head)), "inferred_from_section_header"))
+        .otherwise(found(F.lit(None).cast("string"), "none"))
+    )
+    return near.where(kind == "Table").select(*doc, order, title.alias("t")).select(*doc, order, "t.*")

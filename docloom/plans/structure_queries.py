@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions.stems import stems_sql, with_stems
-from ..operators import lines, table_checks, text_index, vector_index
+from ..functions.storage import fresh_folder
+from ..operators import graph, lines, table_checks, table_merge, text_index, vector_index
 from .queries import query, read
 
-
-def _folder(spark, tag):
-    """A new folder where driver and executors both see it: below spark.checkpoint.dir, or in local mode a temporary one."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
-        shared = tempfile.mkdtemp(prefix="docloom-")
-    return f"{shared.rstrip('/')}/docloom-plans/{tag}-{uuid.uuid4().hex}"
-
 _SHARE = "greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0))"
 
 # Lines: twelve to a block, three side by side to a row of text, some of them far too high.
@@ -169,7 +157,7 @@ a as (select item_id, doc_id, count(distinct stem) as found, count(distinct (ste
 select item_id, doc_id, n_hits, most = length as phrase from a join n using (item_id) join p using (item_id, doc_id) where found = n_stems""")
 def stemmed_search(spark, sf_dir):
     """Documents that have all of the first three words of a benchmark item, as stems, from a written index."""
-    docs, path = read(spark, sf_dir, "documents"), _folder(spark, "stems")
+    docs, path = read(spark, sf_dir, "documents"), fresh_folder(spark, "stems")
     text_index.write_index(docs, path)
     items = read(spark, sf_dir, "benchmark")
     first = F.array_join(F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z]+"), 0), 1, 3), " ")
@@ -180,7 +168,121 @@ def stemmed_search(spark, sf_dir):
 select q_id, vec_id, (row_number() over (partition by q_id order by round(c, 9) desc, vec_id))::int as rank, round(c, 6) as cosine from s qualify rank <= 8""")
 def vector_index_topk(spark, sf_dir):
     """The nearest vectors of every fiftieth, from a written index of lists."""
-    v, path = vector_index.usable(read(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), _folder(spark, "vectors")
+    v, path = vector_index.usable(read(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), fresh_folder(spark, "vectors")
     vector_index.write_index(v, path, lists=16)
     found, _ = vector_index.search(spark, path, v.where("id % 50 = 0").select(F.col("id").alias("q_id"), "v"), 8)
     return found.select("q_id", F.col("id").alias("vec_id"), "rank", F.round("c", 6).alias("cosine"))
+
+
+# Blocks with something to point at: captions and headers with labels, texts that name labels, people, places, addresses and dates.
+_POINTING = """select p_partkey // 100 as doc, p_partkey // 20 as page_id, p_partkey as block_ord, case p_partkey % 5 when 0 then 'Caption' when 1 then 'Table' when 2 then 'SectionHeader' else 'Text' end as block_type,
+ case p_partkey % 5 when 0 then case when p_partkey % 2 = 0 then 'Table ' else 'Figure ' end || (p_partkey // 10 % 4) || ': ' || p_name when 1 then p_name when 2 then (p_partkey // 10 % 3) || '.' || (p_partkey % 4) || ' ' || p_name
+ when 3 then 'See Table ' || (p_size % 5) || ', Section ' || (p_size % 3) || '.' || (p_partkey % 4) || ' and Figure ' || (p_partkey * 7 % 4) || ' by Ann Lee of Paris'
+ else 'Write to x' || (p_size % 7) || '@example.com or Bob Ray, Salt City, before 1/' || (p_size % 9 + 1) || '/2020' end as text from part"""
+
+
+def pointing_blocks(spark, sf_dir):
+    return read(spark, sf_dir, "part").selectExpr(
+        "p_partkey div 100 as doc", "p_partkey div 20 as page_id", "p_partkey as block_ord", "case p_partkey % 5 when 0 then 'Caption' when 1 then 'Table' when 2 then 'SectionHeader' else 'Text' end as block_type",
+        "case p_partkey % 5 when 0 then concat(if(p_partkey % 2 = 0, 'Table ', 'Figure '), p_partkey div 10 % 4, ': ', p_name) when 1 then p_name when 2 then concat(p_partkey div 10 % 3, '.', p_partkey % 4, ' ', p_name) "
+        "when 3 then concat('See Table ', p_size % 5, ', Section ', p_size % 3, '.', p_partkey % 4, ' and Figure ', p_partkey * 7 % 4, ' by Ann Lee of Paris') "
+        "else concat('Write to x', p_size % 7, '@example.com or Bob Ray, Salt City, before 1/', p_size % 9 + 1, '/2020') end as text",
+    )
+
+
+def _found(pattern, rows, group=0):
+    """SQL for the matches of a pattern in t, with the characters before each."""
+    return f"""select * exclude (m, s), unnest(m) as value, unnest(list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)))::int as position
+ from (select *, regexp_extract_all(text, '{pattern}') as m, regexp_split_to_array(text, '{pattern}') as s from ({rows}))"""
+
+
+_KEYED = f"select *, case block_type when 'SectionHeader' then 'section_header' else lower(block_type) end || '_' || doc || '_' || page_id || '_' || block_ord as block from ({_POINTING})"
+_MENTIONS = " union all ".join(f"select '{kind}' as entity_type, * from ({_found(pattern.removeprefix('(?U)'), _KEYED)})" for kind, pattern in graph.PATTERNS.items())
+
+
+@query(f"select 'REFERENCES' as type, block as src, 'entity_' || substr(sha256(entity_type || '_' || value), 1, 16) as dst, position from ({_MENTIONS})")
+def reference_edges(spark, sf_dir):
+    """From blocks to the entities that they mention, with the place of each mention."""
+    return graph.reference_edges(graph.entity_mentions(pointing_blocks(spark, sf_dir), "doc"))
+
+
+@query(f"""with m as (select distinct block, entity_type, 'entity_' || substr(sha256(entity_type || '_' || value), 1, 16) as entity from ({_MENTIONS}))
+select 'RELATES_TO' as type, a.entity as src, b.entity as dst, count(*) as weight from m a join m b on a.block = b.block and a.entity < b.entity and a.entity_type <> b.entity_type group by all""")
+def related_entity_edges(spark, sf_dir):
+    """Between entities of different types that stand in one block."""
+    return graph.related_entities(graph.entity_mentions(pointing_blocks(spark, sf_dir), "doc"))
+
+
+@query(f"""with k as ({_KEYED}), t as (select block, block_ord, doc from k where block_type = 'Table'), c as (select p_partkey // 5 * 5 + 1 as o, p_partkey % 5 as r, p_name, p_brand from part where p_partkey % 5 <> 1)
+select 'CONTAINS' as type, block as src, 'table_' || substr(sha256(block), 1, 16) as dst, count(distinct r) as n_rows, case when count(r) > 0 then 2 else 0 end::bigint as n_columns, coalesce(string_agg(p_name || '|' || p_brand) filter (r = 0), '') as headers from t left join c on o = block_ord group by block""")
+def table_edges(spark, sf_dir):
+    """From blocks to the tables in them."""
+    k = F.col("p_partkey")
+    cells = read(spark, sf_dir, "part").where(k % 5 != 1).select(F.floor(k / 100).alias("doc"), (F.floor(k / 5) * 5 + 1).alias("block_ord"), (k % 5).alias("row_id"), (k % 5 == 0).alias("is_header"), F.posexplode(F.array("p_name", "p_brand")).alias("col_id", "text"))
+    t = graph.table_records(cells, pointing_blocks(spark, sf_dir), "doc")
+    return t.select(F.lit("CONTAINS").alias("type"), F.col("block").alias("src"), F.col("key").alias("dst"), "n_rows", "n_columns", F.array_join("headers", "|").alias("headers"))
+
+
+_LABEL_SQL = r"\b(Table|Figure|Section|Equation) ([0-9]+(?:\.[0-9]+)*)"
+
+
+@query(f"""with b as (select *, case when block_type = 'Caption' then nullif(regexp_extract(text, '^{_LABEL_SQL}', 0), '') when block_type = 'SectionHeader' then 'Section ' || nullif(regexp_extract(text, '^([0-9]+([.][0-9]+)*)', 1), '') end as own from ({_KEYED})),
+n as (select doc, block_ord, block, own, value as label, position from ({_found(_LABEL_SQL, "select * from b")}) where not (position = 0 and value is not distinct from own))
+select 'REFERS_TO' as type, n.block as src, arg_max(b.block, b.block_ord) as dst, label, position from n join b on b.doc = n.doc and b.own = n.label and b.block_ord < n.block_ord group by n.block, label, position""")
+def label_edges(spark, sf_dir):
+    """From blocks to the nearest earlier table, figure or section that they name."""
+    return graph.label_edges(pointing_blocks(spark, sf_dir), "doc")
+
+
+# Tables: every third part, forty parts to a document, ten to a page; two or three columns; first columns count on or not.
+_TABLES = """select p_partkey // 40 as doc, p_partkey as table_ord, p_partkey // 10 as page_id, 2 + (p_size % 2) as n_columns, (p_partkey * 3)::varchar as first_cell, case when p_size % 3 = 0 then 'total' else (p_partkey * 3 + 8)::varchar end as last_cell,
+ 40.0 as x0, (p_partkey % 10 * 70)::double as y0, 560.0 as x1, (p_partkey % 10 * 70 + 60 + p_size * 3)::double as y1 from part where p_partkey % 3 = 0"""
+
+
+def document_tables(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    last = F.when(s % 3 == 0, "total").otherwise((k * 3 + 8).cast("string"))
+    return read(spark, sf_dir, "part").where(k % 3 == 0).select(F.floor(k / 40).alias("doc"), k.alias("table_ord"), F.floor(k / 10).alias("page_id"), F.lit(700.0).alias("page_height"), (2 + s % 2).alias("n_columns"), (k * 3).cast("string").alias("first_cell"), last.alias("last_cell"), g.box(F.lit(40), k % 10 * 70, F.lit(560), k % 10 * 70 + 60 + s * 3).alias("box"))
+
+
+_NEIGHBOURS = f"""with t as ({_TABLES}), n as (select doc, table_ord as a, lead(table_ord) over w as b, lead(page_id) over w = page_id as same_page, lead(page_id) over w = page_id + 1 as over, lead(n_columns) over w = n_columns as columns_match,
+ greatest(0, lead(y0) over w - y1, y0 - lead(y1) over w) < 35 as near, coalesce(try_cast(lead(first_cell) over w as bigint) = try_cast(last_cell as bigint) + 1, false) as continues from t window w as (partition by doc order by table_ord)),
+p as (select *, not same_page or near as adjacent from n where b is not null and (same_page or over)), s as (select *, 5 + 3 * columns_match::int + adjacent::int + continues::int as k from p),
+c as (select doc, a, b, same_page, columns_match, adjacent, continues, k / 10 as confidence, case when same_page then k > 7 else k > 8 end as candidate from s)"""
+
+
+@query(f"{_NEIGHBOURS} select *, candidate and columns_match as merge from c")
+def table_neighbours(spark, sf_dir):
+    """Neighbouring tables, how sure it is that they are one, and whether they merge."""
+    return table_merge.neighbour_pairs(document_tables(spark, sf_dir), ["doc"])
+
+
+@query(f"{_NEIGHBOURS}, x as (select t.doc, t.table_ord, c.b is null as first from t left join (select * from c where candidate and columns_match) c on c.doc = t.doc and c.b = t.table_ord) select doc, table_ord, last_value(case when first then table_ord end ignore nulls) over (partition by doc order by table_ord) as chain from x")
+def table_merge_chains(spark, sf_dir):
+    """Tables that merge one into the next, by the first of them."""
+    t = document_tables(spark, sf_dir)
+    return table_merge.merge_chains(t, table_merge.neighbour_pairs(t, ["doc"]), ["doc"]).select("doc", "table_ord", "chain")
+
+
+# Blocks around tables: headers, texts that tell of data or don't, captions before or after, and tables side by side.
+_AROUND = """select p_partkey // 60 as doc, p_partkey as block_ord, case when p_partkey % 6 in (2, 3) then 'Table' when p_partkey % 12 = 0 then 'SectionHeader' when p_partkey % 6 = 4 and p_size % 2 = 0 then 'Caption' else 'Text' end as block_type,
+ case when p_partkey % 6 in (2, 3) then '' when p_partkey % 12 = 0 then case when p_size % 5 = 0 then 'Exhibit of ' || p_name else p_name end when p_partkey % 6 = 4 and p_size % 2 = 0 then case when p_size % 4 = 0 then 'Table of ' else 'On ' end || p_name
+ when p_size % 3 = 0 then 'First words. The Results of ' || p_name || ' and of some others that go on for quite a while, to fill the line. More' else ' ' || p_name || ' stands alone. ' end as text from part"""
+
+
+@query(f"""with b as ({_AROUND}), n as (select *, coalesce(last_value(case when block_type <> 'Table' then text end ignore nulls) over before, '') as above, coalesce(first_value(case when block_type <> 'Table' then text end ignore nulls) over after, '') as below,
+ trim(coalesce(last_value(case when block_type = 'SectionHeader' then text end ignore nulls) over before, '')) as head, coalesce(last_value(case when block_type = 'Text' then text end ignore nulls) over before, '') as para
+ from b window before as (partition by doc order by block_ord rows between unbounded preceding and 1 preceding), after as (partition by doc order by block_ord rows between 1 following and unbounded following)),
+m as (select *, regexp_matches(lower(above), 'table|exhibit|figure') and length(trim(above)) < 200 as a, regexp_matches(lower(below), 'table|exhibit|figure') and length(trim(below)) < 200 as z, regexp_matches(lower(head), 'table|exhibit|figure') and length(head) < 200 as h,
+ trim(coalesce(list_filter(string_split(para, '.'), lambda s: regexp_matches(lower(s), 'data|results|statistics|analysis|comparison|summary|breakdown|distribution|metrics|performance'))[1], '')) as s from n where block_type = 'Table')
+select doc, block_ord, case when a then trim(above) when z then trim(below) when h then head when s <> '' then 'Inferred: ' || case when length(s) > 80 then s[1:77] || '...' else s end when head <> '' and length(head) < 100 then 'Inferred: ' || case when length(head) > 80 then head[1:77] || '...' else head end end as title,
+ case when a then 'caption_above' when z then 'caption_below' when h then 'section_header' when s <> '' then 'inferred_from_preceding_paragraph' when head <> '' and length(head) < 100 then 'inferred_from_section_header' else 'none' end as source,
+ not coalesce(a or z or h, false) and (s <> '' or (head <> '' and length(head) < 100)) as inferred from m""")
+def table_titles(spark, sf_dir):
+    """The title of every table, from what stands around it."""
+    b = read(spark, sf_dir, "part").selectExpr(
+        "p_partkey div 60 as doc", "p_partkey as block_ord", "case when p_partkey % 6 in (2, 3) then 'Table' when p_partkey % 12 = 0 then 'SectionHeader' when p_partkey % 6 = 4 and p_size % 2 = 0 then 'Caption' else 'Text' end as block_type",
+        "case when p_partkey % 6 in (2, 3) then '' when p_partkey % 12 = 0 then if(p_size % 5 = 0, concat('Exhibit of ', p_name), p_name) when p_partkey % 6 = 4 and p_size % 2 = 0 then concat(if(p_size % 4 = 0, 'Table of ', 'On '), p_name) "
+        "when p_size % 3 = 0 then concat('First words. The Results of ', p_name, ' and of some others that go on for quite a while, to fill the line. More') else concat(' ', p_name, ' stands alone. ') end as text",
+    )
+    return table_merge.table_titles(b, ["doc"])
