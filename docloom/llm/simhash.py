@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,6 +184,90 @@ def _prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], similar
     return shingles[np.lexsort((shingles, often))[: n - int(np.ceil(similarity * n - 1e-6)) + 1 if n else 0]].view(np.int64)
 
 
+def _index_size(n: str, similarity: float) -> str:
+    """How much of its prefix the smaller of two sets needs: with ceil(2 s / (1 + s) n) shingles in common at least, one of its first ones is
+    in the other's prefix [Bayardo, Ma, Srikant 2007]."""
+    return f"{n} - cast(ceil({2 * similarity / (1 + similarity)}D * {n} - 1e-6D) as int) + 1"
+
+
+#: Bits of the map of shingles that several documents have in their prefixes: 16 MB at any size; keys that a packing step holds.
+_MAP_BITS, _HELD = 27, 2_000_000
+
+
+def _repeated(rows: DataFrame) -> Broadcast:
+    """A bitmap of the prefix shingles that more than one row has. Each task sends its distinct ones once, sorted and packed, to
+    the part that their leading bits name; other shingles' false hits only cost time."""
+    bits = max(4, (rows.count() // 50_000).bit_length())
+
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def emit() -> Iterator[pd.DataFrame]:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            parts = (keys >> np.uint64(64 - bits)).astype(np.int64)
+            edges = [*np.flatnonzero(np.diff(parts, prepend=-1)).tolist(), len(keys)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                deltas = np.diff(keys[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+                yield pd.DataFrame({"part": [int(parts[a])], "keys": [zstandard.ZstdCompressor(level=1).compress(deltas)], "twice": [np.packbits(n[a:b] > 1).tobytes()]})
+
+        for frame in frames:
+            for prefix in frame["prefix"]:
+                held.append(np.asarray(prefix, np.int64).view(np.uint64))
+                size += len(held[-1])
+                if size > _HELD:
+                    yield from emit()
+                    held, size = [], 0
+        if size:
+            yield from emit()
+
+    def shared(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, twice = [], []
+        for row in frame.itertuples(index=False):
+            raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.keys), np.uint8).reshape(8, -1)
+            keys.append(np.cumsum(np.ascontiguousarray(raw.T).view(np.uint64).reshape(-1), dtype=np.uint64))
+            twice.append(np.unpackbits(np.frombuffer(row.twice, np.uint8), count=len(keys[-1])).astype(bool))
+        keys, twice = np.concatenate(keys), np.concatenate(twice)
+        order = np.argsort(keys, kind="stable")
+        keys, twice = keys[order], twice[order]
+        again = keys[1:][keys[1:] == keys[:-1]]
+        places = np.unique(_places(np.concatenate((keys[twice], again))))
+        blocks = places >> 16
+        edges = [*np.flatnonzero(np.diff(blocks, prepend=-1)).tolist(), len(places)]
+        return pd.DataFrame([(int(blocks[a]), (places[a:b] & 0xFFFF).astype("<u2").tobytes()) for a, b in zip(edges, edges[1:], strict=False)], columns=["block", "at"])
+
+    def joined(frame: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << 16, np.uint8)
+        for at in frame["at"]:
+            bits[np.frombuffer(at, "<u2")] = 1
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    found = rows.select("prefix").mapInPandas(packed, "part bigint, keys binary, twice binary").groupBy("part").applyInPandas(shared, "block bigint, at binary")
+    out = bytearray(1 << _MAP_BITS - 3)
+    for block, data in found.groupBy("block").applyInPandas(joined, "block bigint, bits binary").collect():
+        out[block << 13 : (block + 1) << 13] = data
+    return rows.sparkSession.sparkContext.broadcast(bytes(out))
+
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _MAP_BITS)).astype(np.int64)
+
+
+def _kept_places(frequent: Broadcast):
+    """(id, n, at, h) of the prefix shingles that the bitmap has."""
+
+    def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.frombuffer(frequent.value, np.uint8)
+        for frame in frames:
+            sizes = frame["prefix"].map(len).to_numpy(np.int64)
+            keys = np.concatenate([np.asarray(p, np.int64) for p in frame["prefix"]]) if sizes.sum() else np.zeros(0, np.int64)
+            at = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            place = _places(keys.view(np.uint64))
+            good = (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+            yield pd.DataFrame({"id": np.repeat(frame["id"].to_numpy(np.int64), sizes)[good], "n": np.repeat(frame["n"].to_numpy(np.int32), sizes)[good], "at": at[good].astype(np.int32), "h": keys[good]})
+
+    return kept
+
+
 ROW = "id bigint, n int, fp bigint, odd array<bigint>, wide array<bigint>, prefix array<bigint>"
 _SLICE = 500  # rows that a sketching or hashing step gives back at once
 
@@ -247,8 +333,10 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     near = near_pairs(prints, max_bits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     same = classes.join(prints, "fp").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     # then every class with the least one of each shingle of its prefix. Merge joins, so that the plan is one at any size
-    places = rows.select("id", "n", F.posexplode("prefix").alias("at", "h"))
-    several = places.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "least")
+    # Shingles that one row alone has don't leave their task, nor do those that no set needs as the smaller one
+    frequent = _repeated(rows)
+    places = rows.select("id", "n", "prefix").mapInPandas(_kept_places(frequent), "id bigint, n int, at int, h bigint").withColumn("index", F.expr(f"at < {_index_size('n', similarity)}"))
+    several = places.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("index").alias("index")).where("least < most and index").select("h", "least")
     shared = cut(places.join(several.hint("merge"), "h").distinct(), "shared")  # copies of a class make one row
     lead = shared.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
     links = likely(near.unionAll(same).unionAll(lead).distinct())
@@ -272,17 +360,18 @@ def _open_pairs(still: DataFrame, similarity: float, turn: int | None) -> DataFr
     """Pairs (a, b) of classes in different groups that share a shingle h and that no bound rules out: each class with
     the _SOME that `turn` picks by hash for each of its shingles, so rows grow in proportion, or all of them if turn is None.
 
-    still: (h, id, n, at: the place of h in its prefix, root, odd).
+    still: (h, id, n, at: the place of h in its prefix, index: whether that is in its index part, root, odd).
     """
-    fields = ["id", "n", "at", "root", "odd"]
+    fields = ["id", "n", "at", "root", "odd", "index"]
     end = lambda x: [F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in fields[1:]]]
     other = still
     if turn is not None:
         picked = [F.min_by(F.struct(*fields), F.xxhash64(F.lit(turn * _SOME + k), "h", "id")) for k in range(_SOME)]
         other = still.groupBy("h").agg(F.array_distinct(F.array(*picked)).alias("some")).select("h", F.inline("some"))
-    both = still.select("h", *end("a")).join(other.select("h", *end("b")), "h")
+    both = (still if turn is not None else still.where("index")).select("h", *end("a")).join(other.select("h", *end("b")), "h")
     is_open = f"root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D and {_may_be(similarity, 'odd')}"
-    found = both.where(is_open if turn is not None else f"a < b and {is_open}")
+    # all pairs: the smaller set has the shingle in its index part, so what most sets share far back brings no pairs together
+    found = both.where(is_open if turn is not None else f"index_a and (n_a < n_b or n_a = n_b and a < b) and {is_open}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
