@@ -13,6 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from .shared import cut, discard
 LEAVES, CELLS, PAGE, CHUNK = 400_000, 2_000_000, 4_096, 4_096
 #: Leaves of all pages together for each prefix range, the most ranges, and sources compared at once.
 RANGE_LEAVES, RANGES, BLOCK = 1_000_000, 1 << 16, 256
+#: Bytes by which the root of a trie branches.
+ROOT = 3
 _APART = bytes(b if b > 0x7F or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
 PAGES = "lang binary, terms array<binary>, df array<bigint>, leaf array<int>, source array<int>, n array<bigint>, names array<string>"
 
@@ -32,43 +36,54 @@ def terms_of(text: bytes | None) -> list[bytes]:
 
 
 class Trie:
-    """A radix trie over bytes: an edge is [label, edges by first byte or None, leaf or -1]."""
+    """A radix trie over bytes, whose root branches by the first ROOT bytes: an edge below is [label, edges by first byte or
+    None, leaf or -1]. The leaf of a term that ends at the root's edge stands at -1."""
 
     def __init__(self):
-        self.edges: dict[int, list] = {}
+        self.roots: dict[bytes, dict] = {}
 
     def leaf(self, term: bytes, fresh: int) -> int:
         """The leaf of a term; fresh if the term is new."""
-        edges, at = self.edges, 0
+        head = term[:ROOT]
+        edges = self.roots.get(head)
+        if edges is None:
+            edges = self.roots[head] = {}
+        at, n = ROOT, len(term)
+        if n <= ROOT:
+            return edges.setdefault(-1, fresh)
         while True:
             edge = edges.get(term[at])
             if edge is None:
                 edges[term[at]] = [term[at:], None, fresh]
                 return fresh
             label = edge[0]
-            if not term.startswith(label, at):
-                k = next((k for k, (x, y) in enumerate(zip(label, term[at:], strict=False)) if x != y), len(term) - at)
+            end = at + len(label)
+            if term[at:end] != label:
+                k = next((k for k, (x, y) in enumerate(zip(label, term[at:], strict=False)) if x != y), n - at)
                 edge[:] = [label[:k], {label[k]: [label[k:], edge[1], edge[2]]}, -1]
-                label = edge[0]
-            at += len(label)
-            if at == len(term):
+                end = at + k
+            if end == n:
                 if edge[2] < 0:
                     edge[2] = fresh
                 return edge[2]
-            if edge[1] is None:
-                edge[1] = {}
-            edges = edge[1]
+            at, edges = end, edge[1]
+            if edges is None:
+                edges = edge[1] = {}
 
     def walk(self) -> Iterator[tuple[bytes, int]]:
         """(term, leaf) in byte order."""
-        stack = [(b"", self.edges[c]) for c in sorted(self.edges, reverse=True)]
-        while stack:
-            before, (label, below, leaf) = stack.pop()
-            term = before + label
-            if leaf >= 0:
-                yield term, leaf
-            if below:
-                stack.extend((term, below[c]) for c in sorted(below, reverse=True))
+        for head in sorted(self.roots):
+            edges = self.roots[head]
+            if -1 in edges:
+                yield head, edges[-1]
+            stack = [(head, edges[c]) for c in sorted(edges, reverse=True) if c >= 0]
+            while stack:
+                before, (label, below, leaf) = stack.pop()
+                term = before + label
+                if leaf >= 0:
+                    yield term, leaf
+                if below:
+                    stack += [(term, below[c]) for c in sorted(below, reverse=True)] if len(below) > 1 else [(term, *below.values())]
 
 
 class Tries:
@@ -81,8 +96,10 @@ class Tries:
         self.size = self.waiting = 0
         self.cells = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
 
-    def leaf(self, lang: bytes, term: bytes) -> int:
-        trie = self.tries.get(lang) or self.tries.setdefault(lang, Trie())
+    def trie(self, lang: bytes) -> Trie:
+        return self.tries.get(lang) or self.tries.setdefault(lang, Trie())
+
+    def leaf(self, trie: Trie, term: bytes) -> int:
         out = trie.leaf(term, self.size)
         if out == self.size:
             self.size += 1
@@ -132,10 +149,10 @@ class _Leaves(dict):
     """term -> leaf, so that a term goes down its trie once."""
 
     def __init__(self, tries: Tries, lang: bytes):
-        self.tries, self.lang = tries, lang
+        self.tries, self.trie = tries, tries.trie(lang)
 
     def __missing__(self, term: bytes) -> int:
-        out = self[term] = self.tries.leaf(self.lang, term)
+        out = self[term] = self.tries.leaf(self.trie, term)
         return out
 
 
@@ -164,18 +181,26 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _split(bounds: list[tuple[bytes, bytes]]):
-    """Cuts pages at the bounds of the prefix ranges."""
-
-    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for page in frame.itertuples(index=False):
-                terms, leaf, source, n = list(page.terms), np.asarray(page.leaf), np.asarray(page.source), np.asarray(page.n)
+    """Cuts pages at the bounds of the prefix ranges. What a page holds is sliced, not read, but for the terms that the search for a bound meets."""
+    names = [c.split()[0] for c in PAGES.split(", ")]
+
+    def one(batch: pa.RecordBatch, i: int, at: int, end: int, part: int) -> pa.RecordBatch:
+        cells = lambda c: (lambda x: x.values.slice(x.offsets[i].as_py(), x.offsets[i + 1].as_py() - x.offsets[i].as_py()))(batch.column(c))
+        leaf = cells("leaf")
+        a, b = np.searchsorted(leaf.to_numpy(), (at, end))
+        listed = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        own = {"terms": cells("terms").slice(at, end - at), "df": cells("df").slice(at, end - at), "leaf": pc.subtract(leaf.slice(a, b - a), pa.scalar(at, pa.int32())), "source": cells("source").slice(a, b - a), "n": cells("n").slice(a, b - a), "names": cells("names")}
+        return pa.RecordBatch.from_arrays([batch.column("lang").slice(i, 1), *[listed(own[c]) for c in names[1:]], pa.array([part], pa.int64())], [*names, "part"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, lang in enumerate(batch.column("lang").to_pylist()):
+                terms = batch.column("terms")[i].values
                 at = 0
                 while at < len(terms):
-                    k = bisect_right(bounds, (page.lang, terms[at]))
-                    end = len(terms) if k == len(bounds) or bounds[k][0] != page.lang else bisect_left(terms, bounds[k][1], at)
-                    a, b = np.searchsorted(leaf, (at, end))
-                    yield _page_frame([(page.lang, terms[at:end], np.asarray(page.df)[at:end], leaf[a:b] - at, source[a:b], n[a:b], list(page.names))]).assign(part=k)
+                    k = bisect_right(bounds, (lang, terms[at].as_py()))
+                    end = len(terms) if k == len(bounds) or bounds[k][0] != lang else bisect_left(range(len(terms)), bounds[k][1], at, key=lambda j: terms[j].as_py())
+                    yield one(batch, i, at, end, k)
                     at = end
 
     return split
@@ -198,7 +223,8 @@ def _merged(least: int):
                     if part is not None:
                         yield from emit(part, tries)
                     part, tries = page.part, Tries()
-                leaves = np.array([tries.leaf(page.lang, t) for t in page.terms], np.int64)
+                trie, leaf = tries.trie(page.lang), tries.leaf
+                leaves = np.array([leaf(trie, t) for t in page.terms], np.int64)
                 tries.df[leaves] += np.asarray(page.df)  # a page has a term once
                 names = np.array([tries.source(s) for s in page.names], np.int64)
                 tries.add(leaves[np.asarray(page.leaf)], names[np.asarray(page.source)], np.asarray(page.n))
@@ -222,7 +248,7 @@ def kept_terms(rows: DataFrame, min_docs: int) -> DataFrame:
         middle = pages.select("lang", F.expr("terms[size(terms) div 2]").alias("t"))
         some = sorted((bytes(r[0]), bytes(r[1])) for r in middle.sample(min(1.0, 20 * ranges / size[1]), 7).collect())
         bounds = sorted({some[len(some) * k // ranges] for k in range(1, ranges)}) if some else []
-    parts = pages.mapInPandas(_split(bounds), f"{PAGES}, part bigint").repartition("part").sortWithinPartitions("part")
+    parts = pages.mapInArrow(_split(bounds), f"{PAGES}, part bigint").repartition("part").sortWithinPartitions("part")
     out = cut(parts.mapInPandas(_merged(min_docs), "lang string, chunk bigint, term string, first boolean, total bigint, source string, n bigint"), "terms")
     discard(pages)
     return out
