@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,13 +23,16 @@ def pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFr
 def contexts(blocks: DataFrame, doc: list[str], order: str = "block_ord", least: int = 100) -> DataFrame:
     """One row for each section whose text reaches `least` characters: the text up to the block with which it does.
 
-    blocks: document columns, order, block_type, text, parent_ord. Blocks of under ten characters are passed over.
+    blocks: document columns, order, block_type, text, parent_ord. Blocks of under ten characters are passed over. Only
+    the blocks that go in are gathered: their place is told by a running length.
     """
     t = blocks.where((F.col("block_type") == "Text") & (F.length(F.trim("text")) >= 10) & F.col("parent_ord").isNotNull())
-    w = Window.partitionBy(*doc, "parent_ord").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumns({"_n": F.sum(F.length("text")).over(w) + 2 * (F.count("*").over(w) - 1), "_all": F.collect_list("text").over(w)})
-    first = t.where(F.col("_n") >= least).groupBy(*doc, "parent_ord").agg(F.min_by("_all", order).alias("_all"))
-    return first.select(*doc, "parent_ord", F.array_join("_all", "\n\n").alias("context"))
+    w = Window.partitionBy(*doc, "parent_ord").orderBy(order)
+    t = t.withColumn("_n", F.sum(F.length("text")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + 2 * (F.row_number().over(w) - 1))
+    t = t.withColumn("_before", F.coalesce(F.lag("_n").over(w), F.lit(0))).where(F.col("_before") < least)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t")))), lambda x: x["t"]), "\n\n")
+    whole = t.groupBy(*doc, "parent_ord").agg(text.alias("context"), F.max("_n").alias("_n"))
+    return whole.where(F.col("_n") >= least).select(*doc, "parent_ord", "context")
 
 
 def question(kind: Column, title: Column, context: Column) -> Column:
@@ -49,20 +53,43 @@ def sample(candidates: DataFrame, shares: dict[str, float], most: int, seed: int
     return reduce(DataFrame.unionByName, kinds).drop("_h", "_k")
 
 
-def diversity(questions: DataFrame, group: list[str], key: str, threshold: float = 0.8) -> DataFrame:
+def diversity(questions: DataFrame, group: list[str], key: str, threshold: float = 0.8, block: int = 400) -> DataFrame:
     """(group, key, most_similar, diverse): the greatest sequence ratio of a question to another of its group.
 
-    Each group is compared inside itself only; a group is one document's set of questions, which its generator bounds.
+    A group's distinct questions are dealt to blocks of `block` by length, and every two blocks of a group meet in one
+    task, so no task holds a group. There each question is held against the others from the likeliest on: what two texts
+    share of each character bounds their ratio, and those that can't pass the best so far aren't compared. Repeated
+    questions have a ratio of 1 and are compared with others once. Null questions count as empty.
     """
+    whole = questions.withColumn("_q", F.coalesce("question", F.lit("")))
+    texts = whole.groupBy(*group, "_q").agg(F.count("*").alias("_n"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(F.length("_q"), "_q")) - 1
+    dealt = texts.select(*group, "_q", F.floor(place / block).cast("int").alias("_b"))
+    last = dealt.groupBy(*group).agg(F.max("_b").alias("_last"))
+    dealt = dealt.join(last, group).withColumn("_e", F.explode(F.transform(F.sequence(F.lit(0), "_last"), lambda k: F.struct(F.least("_b", k).alias("i"), F.greatest("_b", k).alias("j")))))
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        q = rows["question"].tolist()
-        best = [max((sequence_ratio(a, b) for j, b in enumerate(q) if j != i), default=0.0) for i, a in enumerate(q)]
-        return rows[[*group, key]].assign(most_similar=best, diverse=[1.0 - b >= 1.0 - threshold for b in best])
+        texts, blocks = rows["_q"].tolist(), rows["_b"].to_numpy()
+        counts = np.zeros((len(texts), 128), np.int16)
+        for i, t in enumerate(texts):
+            counts[i] = np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") % 128, minlength=128)
+        sizes, best, one_block = np.array([len(t) for t in texts]), np.zeros(len(texts)), len(set(blocks)) == 1
+        for i, text in enumerate(texts):
+            bound = 2.0 * np.minimum(counts, counts[i]).sum(axis=1, dtype=np.int64) / np.maximum(1, sizes + sizes[i])
+            bound[i] = -1
+            if not one_block:
+                bound[blocks == blocks[i]] = -1
+            for j in np.argsort(-bound, kind="stable"):
+                if bound[j] <= best[i]:
+                    break
+                best[i] = max(best[i], sequence_ratio(text, texts[j]))
+        return rows[[*group, "_q"]].assign(_best=best)
 
     kinds = dict(questions.dtypes)
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in [*group, key]), "most_similar double", "diverse boolean"])
-    return questions.groupBy(*group).applyInPandas(compared, schema)
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in group), "_q string", "_best double"])
+    found = dealt.groupBy(*group, "_e.i", "_e.j").applyInPandas(compared, schema).groupBy(*group, "_q").agg(F.max("_best").alias("_best"))
+    top = texts.join(found, [*group, "_q"]).select(*group, "_q", F.when(F.col("_n") > 1, 1.0).otherwise(F.col("_best")).alias("most_similar"))
+    return whole.join(top, [*group, "_q"]).select(*group, key, "most_similar", (1.0 - F.col("most_similar") >= 1.0 - threshold).alias("diverse"))
 
 
 def relevance(context_similarity: Column, question_overlap: Column, answer_overlap: Column, threshold: float = 0.7) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions.stems import stems_sql, with_stems
 from ..functions.storage import fresh_folder
-from ..operators import graph, lines, table_checks, table_merge, text_index, vector_index
+from ..operators import batches, graph, json_forms, lines, table_checks, table_merge, text_index, vector_index
 from .queries import query, read
 
 _SHARE = "greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0))"
@@ -286,3 +286,45 @@ def table_titles(spark, sf_dir):
         "when p_size % 3 = 0 then concat('First words. The Results of ', p_name, ' and of some others that go on for quite a while, to fill the line. More') else concat(' ', p_name, ' stands alone. ') end as text",
     )
     return table_merge.table_titles(b, ["doc"])
+
+
+@query(f"""with l as ({_LINES}), p as (select *, (row_number() over (partition by block order by line_ord) - 1) // 4 as batch from l where line_ord % 6 <> 2), b as (select block, batch, bool_or(text like '%green%') as bad, min(line_ord) as first from p group by all)
+select l.block, l.line_ord, case when b.bad = false then upper(l.text) else l.text end as text, coalesce(b.bad and b.first = l.line_ord, false) as failed from l left join p on p.block = l.block and p.line_ord = l.line_ord left join b on b.block = p.block and b.batch = p.batch""")
+def line_batches_rewritten(spark, sf_dir):
+    """Lines that a model rewrites four at a time, all or none of a batch; here it loses a line of some batches."""
+    model = lambda t: F.when(F.exists(t, lambda x: x.contains("green")), F.slice(t, 2, 9)).otherwise(F.transform(t, F.upper))
+    out = batches.rewrite_line_batches(text_lines(spark, sf_dir).select("block", "line_ord", "text"), ["block"], F.col("line_ord") % 6 != 2, model, size=4)
+    return out.select("block", "line_ord", "text", "failed")
+
+
+@query("""with recursive c as (select p_partkey // 40 as t, p_partkey % 40 as r, p_name as text, case when p_size % 9 = 0 then 1 + p_size % 4 else 1 end as d from part), m as (select *, coalesce(max(r + d) over (partition by t order by r rows between unbounded preceding and 1 preceding) <= r, true) as clean from c),
+g as (select t, r, sum(clean::int) over (partition by t order by r) as part from m), n as (select t, part, count(*) as n from g group by all),
+b as (select t, part, n as held, 0 as batch from n where part = 1 union all select n.t, n.part, case when b.held + n.n > 10 then n.n else b.held + n.n end, b.batch + (b.held + n.n > 10)::int from b join n on n.t = b.t and n.part = b.part + 1),
+x as (select c.t, c.r, c.text, b.batch from c join g using (t, r) join b using (t, part)), j as (select t, bool_and(texts not like '%tiny%tiny%tiny%' and texts not like '%blue%') as ok from (select t, batch, string_agg(text, '' order by r) as texts from x group by all) group by t)
+select t, r as row_id, 0::bigint as col_id, case when ok then upper(text) else text end as text, ok as rewritten from x join j using (t)""")
+def table_batches_rewritten(spark, sf_dir):
+    """Tables that a model rewrites ten rows at a time, without cutting a span; here it cuts some answers short."""
+    k = F.col("p_partkey")
+    cells = read(spark, sf_dir, "part").select(F.floor(k / 40).alias("t"), (k % 40).alias("row_id"), F.lit(0).alias("col_id"), F.col("p_name").alias("text"), F.when(F.col("p_size") % 9 == 0, 1 + F.col("p_size") % 4).otherwise(1).alias("rowspan"), F.lit(1).alias("colspan"), F.lit(False).alias("is_header"))
+    upper = lambda h: F.replace(F.replace(F.replace(F.replace(F.upper(h), F.lit("TABLE"), F.lit("table")), F.lit("TR>"), F.lit("tr>")), F.lit("TD"), F.lit("td")), F.lit("ROWSPAN"), F.lit("rowspan"))
+    model = lambda h: F.when(h.rlike("tiny.*tiny.*tiny|blue"), F.concat(F.lit("```html"), F.replace(upper(h), F.lit("</table>"), F.lit("")))).otherwise(F.concat(F.lit("```html"), upper(h), F.lit("```")))
+    return batches.rewrite_table_batches(cells, ["t"], model, most=10)
+
+
+def _sectioned(spark, sf_dir):
+    level = F.expr("case when p_partkey % 7 = 0 then 1 + p_size % 5 end")
+    return text_lines(spark, sf_dir).join(read(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 12).alias("block"), (F.col("p_partkey") % 12).cast("int").alias("line_ord"), level.alias("level")), ["block", "line_ord"]).select(
+        F.floor(F.col("block") / 5).alias("doc"), (F.col("block") * 12 + F.col("line_ord")).alias("block_ord"), F.col("block").alias("page_id"), F.when(F.col("level").isNotNull(), "SectionHeader").when(F.col("line_ord") % 5 == 4, "Table").otherwise("Text").alias("block_type"), "text", "level", "box",
+    )
+
+
+@query()
+def hierarchical_json(spark, sf_dir):
+    """Documents as sections inside sections."""
+    return json_forms.hierarchical_json(_sectioned(spark, sf_dir), ["doc"])
+
+
+@query()
+def merged_json(spark, sf_dir):
+    """Documents as pages of merged blocks."""
+    return json_forms.merged_json(_sectioned(spark, sf_dir), ["doc"])
