@@ -158,6 +158,12 @@ def _may_be(similarity: float, sketch: str = "w") -> str:
     return f"least(n_a, n_b) >= {similarity}D * greatest(n_a, n_b) - 1e-6D and {apart} * {1 + similarity}D <= {1 - similarity}D * (n_a + n_b) + 1e-6D"
 
 
+def _reaches(similarity: float) -> str:
+    """A condition on sizes n_a and n_b and the places at_a and at_b of a shared shingle that every pair of sets of that similarity meets at
+    the first one they share: neither set is too small, and enough of both is left from there."""
+    return f"least(n_a, n_b) >= {similarity}D * greatest(n_a, n_b) - 1e-6D and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D"
+
+
 def _common(docs: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, counts) of the shingles that are commonest in some documents; _COMMON at most."""
 
@@ -191,13 +197,13 @@ def _index_size(n: str, similarity: float) -> str:
 
 
 #: Bits of the map of shingles that several documents have in their prefixes: 16 MB at any size; keys that a packing step holds.
-_MAP_BITS, _HELD = 27, 2_000_000
+_MAP_BITS, _HELD = 27, 500_000
 
 
 def _repeated(rows: DataFrame) -> Broadcast:
     """A bitmap of the prefix shingles that more than one row has. Each task sends its distinct ones once, sorted and packed, to
     the part that their leading bits name; other shingles' false hits only cost time."""
-    bits = max(4, (rows.count() // 50_000).bit_length())
+    bits = max(4, (rows.count() // 10_000).bit_length())
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -336,14 +342,20 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     # Shingles that one row alone has don't leave their task, nor do those that no set needs as the smaller one
     frequent = _repeated(rows)
     places = rows.select("id", "n", "prefix").mapInPandas(_kept_places(frequent), "id bigint, n int, at int, h bigint").withColumn("index", F.expr(f"at < {_index_size('n', similarity)}"))
-    several = places.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("index").alias("index")).where("least < most and index").select("h", "least")
+    ends = [F.min("id").alias("low"), F.max("id").alias("high"), F.min(F.when(F.col("index"), F.struct("id", "n", "at"))).alias("lead")]
+    several = places.groupBy("h").agg(*ends).where("low < high and lead is not null")
     shared = cut(places.join(several.hint("merge"), "h").distinct(), "shared")  # copies of a class make one row
-    lead = shared.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    lead = shared.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("lead.id").alias("b"), F.col("lead.n").alias("n_b"), F.col("lead.at").alias("at_b"))
+    lead = lead.where(f"a <> b and {_reaches(similarity)}").select("a", "b")
     links = likely(near.unionAll(same).unionAll(lead).distinct())
+    # of a shingle of two classes that was the only pair; the others go on
+    crowded = shared.where("id > low and id < high").select("h").distinct()
+    crowd = cut(shared.drop("low", "high", "lead").join(crowded, "h", "left_semi"), "crowd")
+    discard(shared)
     # then, where the classes of a shingle are in several groups, with some others of them in each round, and at last all that is open
     for turn in range(_ROUNDS + 1):
         roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")
-        rooted = cut(shared.drop("least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+        rooted = cut(crowd.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
         mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
         still = cut(rooted.join(mixed, "h").join(classes.select("id", "odd"), "id"), "open")
         more = likely(_open_pairs(still, similarity, turn if turn < _ROUNDS else None))
@@ -351,7 +363,7 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
         links = links.unionByName(more)
     roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")
     named = cut(classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "roots")
-    discard(prints, shared, classes)
+    discard(prints, crowd, classes)
     groups = named.join(named.groupBy("root").agg(F.min("first").alias("of")), "root").select("id", F.col("of").alias("first"))
     return rows.select("doc_id", "key", "id").join(groups, "id").withColumn("component_id", F.col("first.doc_id"))
 
@@ -369,7 +381,7 @@ def _open_pairs(still: DataFrame, similarity: float, turn: int | None) -> DataFr
         picked = [F.min_by(F.struct(*fields), F.xxhash64(F.lit(turn * _SOME + k), "h", "id")) for k in range(_SOME)]
         other = still.groupBy("h").agg(F.array_distinct(F.array(*picked)).alias("some")).select("h", F.inline("some"))
     both = (still if turn is not None else still.where("index")).select("h", *end("a")).join(other.select("h", *end("b")), "h")
-    is_open = f"root_a <> root_b and least(n_a - at_a, n_b - at_b) * {1 + similarity}D >= {similarity}D * (n_a + n_b) - 1e-6D and {_may_be(similarity, 'odd')}"
+    is_open = f"root_a <> root_b and {_reaches(similarity)} and {_may_be(similarity, 'odd')}"
     # all pairs: the smaller set has the shingle in its index part, so what most sets share far back brings no pairs together
     found = both.where(is_open if turn is not None else f"index_a and (n_a < n_b or n_a = n_b and a < b) and {is_open}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -215,3 +215,33 @@ def test_scores_of_odd_tables(spark, odd, empty, sf_dir):  # noqa: F811
     assert {(r.n_known, r.train_tokens, r.score) for r in lm.score_texts(held).collect()} == {(0, 0, 0.0)}
     docs = lm.score_texts(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in docs) > sum(r.base_score for r in docs)
+
+
+# a template family: most shingles are common to all, no pair is similar
+
+
+def test_template_family_brings_no_pairs(spark):
+    from docloom.llm import simhash
+
+    words = [f"w{k}" for k in range(104)]
+
+    def text(i):
+        own = list(words)
+        for slot in (10, 35, 60, 85):
+            own[slot] = f"own{i}x{slot}"
+        return " ".join(own)
+
+    df = spark.createDataFrame([(i, text(i)) for i in range(300)], "doc_id long, text string")
+    sketches = simhash._sketches(simhash._rows(df, "doc_id", "text"), 5, 0.8)
+    places = sketches.select("id", "n", "prefix").mapInPandas(simhash._kept_places(simhash._repeated(sketches)), "id bigint, n int, at int, h bigint")
+    assert places.where(f"at < {simhash._index_size('n', 0.8)}").count() == 0
+    assert simhash.similar_documents(df).where("doc_id <> component_id").count() == 0
+
+
+def test_clean_text_stays_beside_another_of_its_id(spark):
+    from docloom.llm import decontamination
+
+    item = " ".join(f"bench{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, f"before {item} after"), (1, "quite another text"), (2, "clean"), (None, item)], "doc_id long, text string")
+    kept = decontamination.clean(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("1", "quite another text"), ("2", "clean"), ("None", item)]
