@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import terms
+
 
 def find(blocks: DataFrame, text: str | None = None, block_type: str | None = None, pattern: str | None = None, page_id: int | None = None, most: int = 100, order: tuple[str, ...] = ("block_ord",)) -> DataFrame:
     """Blocks that meet any of the given criteria, with the reasons, in order, at most `most`."""
@@ -41,3 +43,22 @@ def sample_graph(vertices: DataFrame, edges: DataFrame, most: int = 100) -> tupl
     keys = v.select("key")
     e = edges.join(keys.withColumnRenamed("key", "src"), "src", "left_semi").join(keys.withColumnRenamed("key", "dst"), "dst", "left_semi")
     return v, e.orderBy("src", "dst").limit(most).select(edges.columns)
+
+
+def word_overlaps(docs: DataFrame, items: DataFrame, least: float, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(doc_id, item_id, shared, overlap): documents that have at least the share `least` of an item's distinct words.
+
+    An item's words stand by how many documents have them. A document that lacks no more than the rest has one of the first
+    n - ceil(least n) + 1, so those alone are join keys and common words bring nothing together; what the pairs share
+    is then counted. Items without words match nothing.
+    """
+    own = items.select(item_id, terms(F.col(text)).alias("_w")).withColumn("_n", F.size("_w"))
+    every = docs.select(doc_id, terms(F.col(text)).alias("_t"))
+    words = every.select(doc_id, F.explode("_t").alias("w"))
+    asked = own.select(item_id, "_n", F.explode("_w").alias("w"))
+    often = words.join(asked.select("w").distinct(), "w", "left_semi").groupBy("w").agg(F.count("*").alias("_df"))
+    place = F.row_number().over(Window.partitionBy(item_id).orderBy(F.coalesce("_df", F.lit(0)), "w"))
+    keys = asked.join(often, "w", "left").withColumn("_k", place).where(F.col("_k") <= F.col("_n") - F.ceil(least * F.col("_n") - 1e-9) + 1)
+    met = words.join(keys.select("w", item_id), "w").select(doc_id, item_id).distinct()
+    pairs = met.join(every, doc_id).join(own, item_id).select(doc_id, item_id, "_n", F.size(F.array_intersect("_t", "_w")).cast("bigint").alias("shared"))
+    return pairs.select(doc_id, item_id, "shared", (F.col("shared") / F.col("_n")).alias("overlap")).where(F.col("overlap") >= least)

@@ -187,11 +187,6 @@ def appended_tables(spark, sf_dir):
     return tables.append([read(spark, sf_dir, "region").select(F.col("r_name").alias("name")), read(spark, sf_dir, "nation").select(F.col("n_name").alias("nation"))])
 
 
-@query("select a as lines, b as scale, c as flavor from (select unnest([10, 20, 40]) as a) cross join (select unnest([1, 2]) as b) cross join (select unnest(['lattice', 'stream']) as c)")
-def parameter_combinations(spark, sf_dir):
-    return tables.parameter_grid(spark, {"lines": [10, 20, 40], "scale": [1, 2], "flavor": ["lattice", "stream"]})
-
-
 @query(f"""with b as ({_BLOCKS}), f as (select *, concat_ws('; ', case when contains(lower(text), 'widget') then 'text contains widget' end, case when block_type = 'Table' then 'type is Table' end, case when regexp_matches(text, '^cold') then 'text matches ^cold' end, case when page_id = 2 then 'on page 2' end) as reasons from b)
 select id, reasons from f where reasons <> '' order by id limit 100""")
 def block_search(spark, sf_dir):

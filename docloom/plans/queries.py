@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import chunking, entities, graph, hierarchy, layout, processors, qa, render, rollout, rules, scoring, spatial, tables, validators, vector_index
+from ..operators import chunking, entities, graph, hierarchy, layout, processors, qa, render, rollout, rules, scoring, search, spatial, tables, validators, vector_index
 from ..sources import html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,11 +123,8 @@ d as (select doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\p{L
 o as (select doc_id, item_id, count(*) as shared from d join i using (w) group by all)
 select doc_id, item_id, shared, round(shared / n, 6) as overlap from o join n using (item_id) where shared / n >= 0.8""")
 def benchmark_overlap(spark, sf_dir):
-    """Documents that have most of an item's distinct words: a join on shared words, counted up by pair."""
-    items = read(spark, sf_dir, "benchmark").select("item_id", tx.terms(F.col("text")).alias("w")).select("item_id", F.size("w").alias("n"), F.explode("w").alias("w"))
-    words = read(spark, sf_dir, "documents").select("doc_id", F.explode(tx.terms(F.col("text"))).alias("w"))
-    pairs = words.join(items, "w").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"), F.first("n").alias("n"))
-    return pairs.select("doc_id", "item_id", "shared", F.round(F.col("shared") / F.col("n"), 6).alias("overlap")).where(F.col("shared") / F.col("n") >= 0.8)
+    """Documents that have most of an item's distinct words: only an item's rarest words, of which such a document has one, bring the two together."""
+    return search.word_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 0.8).withColumn("overlap", F.round("overlap", 6))
 
 
 @query("""select lang, source, count(*) as n, round(avg(quality), 6) as mean_quality, count(*) filter (toxic = 1) as n_toxic from documents join labels using (doc_id) group by grouping sets ((lang), (source), (lang, source))""")
@@ -276,13 +273,14 @@ def json_field_validate(spark, sf_dir):
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count("v").alias("parsed"), F.count("k").alias("has_k"), F.sum(F.col("k").cast("bigint")).alias("sum_k"))
 
 
-_BOXES = "select p_partkey % 40 as page_id, p_partkey as id, ((p_partkey * 37) % 500)::double as x0, ((p_partkey * 91) % 700)::double as y0, ((p_partkey * 37) % 500 + 20 + p_size * 3)::double as x1, ((p_partkey * 91) % 700 + 10 + p_size)::double as y1 from part"
+# Pages of forty boxes at most, forty pages to every 1600 parts.
+_BOXES = "select p_partkey // 1600 * 40 + p_partkey % 40 as page_id, p_partkey as id, ((p_partkey * 37) % 500)::double as x0, ((p_partkey * 91) % 700)::double as y0, ((p_partkey * 37) % 500 + 20 + p_size * 3)::double as x1, ((p_partkey * 91) % 700 + 10 + p_size)::double as y1 from part"
 _SHARED = "greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0))"
 
 
 def _boxes(spark, sf_dir):
     k, s = F.col("p_partkey"), F.col("p_size")
-    return read(spark, sf_dir, "part").select((k % 40).alias("page_id"), k.alias("id"), g.box(k * 37 % 500, k * 91 % 700, k * 37 % 500 + 20 + s * 3, k * 91 % 700 + 10 + s).alias("box"))
+    return read(spark, sf_dir, "part").select((F.floor(k / 1600) * 40 + k % 40).alias("page_id"), k.alias("id"), g.box(k * 37 % 500, k * 91 % 700, k * 37 % 500 + 20 + s * 3, k * 91 % 700 + 10 + s).alias("box"))
 
 
 @query(f"""with bx as ({_BOXES}), l as (select * from bx where id % 3 <> 0), k as (select * from bx where id % 3 = 0),
