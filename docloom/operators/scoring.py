@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def inversions(values: np.ndarray) -> int:
+    """Pairs whose first value is the greater, counted while merging sorted halves."""
+
+    def counted(v: np.ndarray) -> tuple[np.ndarray, int]:
+        if len(v) < 2:
+            return v, 0
+        (left, a), (right, b) = counted(v[: len(v) // 2]), counted(v[len(v) // 2 :])
+        across = len(left) * len(right) - int(np.searchsorted(left, right, side="right").sum())
+        return np.sort(v, kind="stable"), a + b + across
+
+    return counted(values)[1]
+
+
+def _balance(values) -> int:
+    """Pairs in order less pairs out of order; equal values are neither."""
+    v = np.asarray(values, np.int64)
+    same = np.unique(v, return_counts=True)[1]
+    return len(v) * (len(v) - 1) // 2 - int((same * (same - 1) // 2).sum()) - 2 * inversions(v)
+
+
 def order_score(ranks: DataFrame, doc: list[str], truth: str = "truth", found: str = "found") -> DataFrame:
     """(doc, order_score): (Kendall's tau + 1) / 2 * 100 of two orders of a document's parts; 100 for one part or none.
 
-    Pairs are made within the sorted array of a document's parts, which are its blocks, not across documents.
+    A document's parts, which are its blocks, are gathered in order and their inversions counted by merging.
     """
     each = ranks.groupBy(*doc).agg(F.transform(F.array_sort(F.collect_list(F.struct(truth, found))), lambda r: r[found].cast("long")).alias("f"))
     n = F.size("f")
-    after = F.transform("f", lambda x, i: F.aggregate(F.slice("f", i + 2, F.greatest(n - i - 1, F.lit(0))), F.lit(0).cast("long"), lambda s, y: s + F.signum((y - x).cast("double")).cast("long")))
-    total = F.aggregate(after, F.lit(0).cast("long"), lambda s, x: s + x)
-    return each.select(*doc, F.when(n <= 1, 100.0).otherwise((total / (n * (n - 1) / 2) + 1) / 2 * 100).alias("order_score"))
+
+    @F.pandas_udf("bigint")
+    def balance(orders: pd.Series) -> pd.Series:
+        return orders.map(_balance).astype("int64")
+
+    return each.select(*doc, F.when(n <= 1, 100.0).otherwise((balance("f") / (n * (n - 1) / 2) + 1) / 2 * 100).alias("order_score"))
 
 
 def document_score(parts: DataFrame, doc: list[str]) -> DataFrame:

@@ -3,13 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QA_LINE = "instruction string, input string, output string, metadata map<string,string>"
 
 
+def _qa_lines(spark: SparkSession, path: str) -> DataFrame:
+    parsed = F.from_json("value", f"{QA_LINE}, broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    return spark.read.text(path).where(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
+
+
 def read_qa_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One question and answer a JSON line; lines that don't parse are dropped."""
-    return spark.read.schema(QA_LINE).json(path, mode="DROPMALFORMED")
+    """One question and answer a JSON line. Lines that don't parse are left to broken_qa_lines(); blank ones are no lines."""
+    return _qa_lines(spark, path).where("broken is null").drop("broken")
+
+
+def broken_qa_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(broken): the lines that read_qa_lines() can't read, as they are."""
+    return _qa_lines(spark, path).where("broken is not null").select("broken")
 
 
 def write_lines(rows: DataFrame, path: str) -> None:

@@ -106,3 +106,22 @@ def test_diversity_in_blocks(spark):
 def test_one_large_group_of_questions(spark):
     df = spark.range(500).select(F.lit(1).alias("conv"), F.col("id").alias("turn"), F.concat(F.lit("question about "), F.sha2(F.col("id").cast("string"), 256)).alias("question"))
     assert qa.diversity(df, ["conv"], "turn", block=100).where("most_similar > 0.3").count() == 500
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    from docloom.sources import files
+
+    (tmp_path / "qa.jsonl").write_text('{"instruction": "q", "input": "", "output": "a", "metadata": {"k": "v"}}\n{"instruction": \n\n[1]\n')
+    assert [r.instruction for r in files.read_qa_lines(spark, str(tmp_path / "qa.jsonl")).collect()] == ["q"]
+    assert sorted(r.broken for r in files.broken_qa_lines(spark, str(tmp_path / "qa.jsonl")).collect()) == ["[1]", '{"instruction": ']
+
+
+def test_inversions():
+    import numpy as np
+
+    from docloom.operators.scoring import inversions
+
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 7, 60):
+        v = rng.integers(0, 9, n)
+        assert inversions(v) == sum(v[i] > v[j] for i in range(n) for j in range(i + 1, n))
