@@ -17,9 +17,16 @@ def _own_folder() -> str:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share. Where it is unset: a folder of our own in
-    local mode, as in tests; on a cluster the warehouse, never a folder of one machine."""
+    local mode, as in tests; on a cluster the warehouse, unless that is a folder of one machine."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return named or (_own_folder() if spark.sparkContext.master.startswith("local") else spark.conf.get("spark.sql.warehouse.dir"))
+    if named:
+        return named
+    if spark.sparkContext.master.startswith("local"):
+        return _own_folder()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")):
+        raise ValueError("spark.checkpoint.dir is unset and the warehouse is a folder of one machine")
+    return warehouse
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:

@@ -245,3 +245,17 @@ def test_clean_text_stays_beside_another_of_its_id(spark):
     docs = spark.createDataFrame([(1, f"before {item} after"), (1, "quite another text"), (2, "clean"), (None, item)], "doc_id long, text string")
     kept = decontamination.clean(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == [("1", "quite another text"), ("2", "clean"), ("None", item)]
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    from types import SimpleNamespace
+
+    from docloom.llm.shared import shared_folder
+
+    def session(master, warehouse, checkpoint=None):
+        conf = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": checkpoint}
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: {}), conf=SimpleNamespace(get=lambda key, default=None: conf.get(key) or default))
+
+    assert shared_folder(session("yarn", "hdfs://x/w")) == "hdfs://x/w" and shared_folder(session("yarn", "file:/w", "file:///mnt/all")) == "file:///mnt/all"
+    with pytest.raises(ValueError, match="one machine"):
+        shared_folder(session("spark://a:7077", "file:/home/spark-warehouse"))
