@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions.stems import stems_sql, with_stems
 from ..functions.storage import fresh_folder
-from ..operators import batches, graph, json_forms, lines, table_checks, table_merge, text_index, vector_index
+from ..operators import batches, graph, json_forms, lines, markdown, table_checks, table_merge, text_index, vector_index
+from ..sources import hub
 from .queries import query, read
 
 _SHARE = "greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0))"
@@ -328,3 +329,29 @@ def hierarchical_json(spark, sf_dir):
 def merged_json(spark, sf_dir):
     """Documents as pages of merged blocks."""
     return json_forms.merged_json(_sectioned(spark, sf_dir), ["doc"])
+
+
+@query("""select (p_partkey // 100)::varchar as doc_id, (p_partkey % 100 // 10)::int as page_num, (p_partkey % 100 // 10) * 1000000 + p_partkey % 10 as block_ord, case when p_partkey % 9 = 0 then 'SectionHeader' else 'Text' end as block_type,
+ case when p_partkey % 13 = 0 then null else p_name || chr(10) || '"' || p_brand || '"' end as text, case when p_partkey % 9 = 0 then 1 + p_size % 3 end::int as level, null::varchar as language from part""")
+def interchange_round_trip(spark, sf_dir):
+    """Blocks written as interchange JSON and read back."""
+    k, path = F.col("p_partkey"), fresh_folder(spark, "interchange")
+    b = read(spark, sf_dir, "part").select(
+        F.floor(k / 100).cast("string").alias("doc_id"), F.floor(k % 100 / 10).cast("int").alias("page_num"), k.alias("block_ord"), F.when(k % 9 == 0, "SectionHeader").otherwise("Text").alias("block_type"),
+        F.when(k % 13 != 0, F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('"'))).alias("text"), F.when(k % 9 == 0, 1 + F.col("p_size") % 3).cast("int").alias("level"), F.lit(None).cast("string").alias("language"),
+    )
+    hub.to_hub(b).write.json(path)
+    return hub.hub_blocks(hub.read_hub(spark, path, lines=True))
+
+
+@query("""with l as (select p_partkey // 30 as doc_id, p_partkey % 30 as n, case when p_partkey % 17 = 0 then '' when p_partkey % 6 = 0 then repeat('#', 1 + p_size % 3) || ' ' || p_name when p_partkey % 10 = 1 then '**' || p_name || '**' else p_name || ' ' || p_brand end as line,
+ case when p_partkey % 17 = 0 then null when p_partkey % 6 = 0 then 1 + p_size % 3 when p_partkey % 10 = 1 then 2 end as level, p_name from part),
+s as (select *, last_value(case when level is not null then n end ignore nulls) over (partition by doc_id order by n) as head from l where line <> ''),
+h as (select doc_id, n as head, level, p_name as title from s where level is not null), c as (select doc_id, head, string_agg(line, chr(10) || chr(10) order by n) as content, sum(len(string_split(line, ' ')))::int as n_words from s where level is null and head is not null group by all)
+select doc_id, level::int as level, title, coalesce(content, '') as content, coalesce(n_words, 0) as n_words, substr(sha256(title || coalesce(content, '')), 1, 16) as section_hash from h left join c using (doc_id, head)""")
+def markdown_sections(spark, sf_dir):
+    """Sections of Markdown texts with what stands right below their headings."""
+    line = F.expr("case when p_partkey % 17 = 0 then '' when p_partkey % 6 = 0 then concat(repeat('#', 1 + p_size % 3), ' ', p_name) when p_partkey % 10 = 1 then concat('**', p_name, '**') else concat(p_name, ' ', p_brand) end")
+    one = read(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 30).alias("doc_id"), F.struct("p_partkey", line.alias("line")).alias("r"))
+    texts = one.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"]), "\n").alias("text"))
+    return markdown.sections(texts).select("doc_id", "level", "title", "content", "n_words", "section_hash")

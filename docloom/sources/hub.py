@@ -9,9 +9,9 @@ HUB = """document struct<id: string, pages: array<struct<page_num: int, blocks:
 metadata map<string, string>, validation map<string, string>, raw_corpus struct<full_text: string, pages: array<struct<page_num: int, text: string>>, total_pages: int>"""
 
 
-def read_hub(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each file."""
-    return spark.read.schema(HUB).json(path, multiLine=True)
+def read_hub(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row for each file, or with lines for each line, as Spark writes many documents."""
+    return spark.read.schema(HUB).json(path, multiLine=not lines)
 
 
 def hub_blocks(hub: DataFrame) -> DataFrame:
