@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
@@ -355,3 +356,28 @@ def markdown_sections(spark, sf_dir):
     one = read(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 30).alias("doc_id"), F.struct("p_partkey", line.alias("line")).alias("r"))
     texts = one.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"]), "\n").alias("text"))
     return markdown.sections(texts).select("doc_id", "level", "title", "content", "n_words", "section_hash")
+
+
+@query("""with f as (select 'in/' || p_brand || '/' || p_name || '.' || p_partkey || '.pdf' as path from part), d as (select distinct regexp_extract(path, '([^/]+?)([.][^./]+)?$', 1) as base from (select 'out/' || p_name || '.' || p_partkey || '.json' as path from part where p_size % 3 = 0))
+select path from f where regexp_extract(path, '([^/]+?)([.][^./]+)?$', 1) not in (select base from d)""")
+def files_not_yet_written(spark, sf_dir):
+    """Files without an output of their name."""
+    p = read(spark, sf_dir, "part")
+    key = F.concat("p_name", F.lit("."), F.col("p_partkey").cast("string"))
+    files = p.select(F.concat(F.lit("in/"), "p_brand", F.lit("/"), key, F.lit(".pdf")).alias("path"))
+    return hub.not_yet_written(files, p.where("p_size % 3 = 0").select(F.concat(F.lit("out/"), key, F.lit(".json")).alias("path")))
+
+
+@query(f"""with t as ({_TABLES}), p as (select table_ord, x0 as ax0, x1 as ax1, y0 as ay0, y1 as ay1, page_id as pa, lead(table_ord) over w as b, lead(x0) over w + lead(table_ord) over w % 7 * 90 as bx0, lead(x1) over w + lead(table_ord) over w % 7 * 90 as bx1, lead(y0) over w as by0, lead(y1) over w as by1, lead(page_id) over w as pb
+ from t window w as (partition by doc order by table_ord))
+select table_ord, round(case when pa = pb then greatest(0, 1 - case when ay1 <= by0 then by0 - ay1 else ay0 - by1 end / 700) when pa + 1 = pb then (2 - ay1 / 700 - by0 / 700) / 2 else 0 end, 6) as near,
+ round(case when least(ax1, bx1) >= greatest(ax0, bx0) then (least(ax1, bx1) - greatest(ax0, bx0)) / (greatest(ax1, bx1) - least(ax0, bx0)) else 0 end, 6) as overlap from p where b is not null""")
+def table_positions(spark, sf_dir):
+    """How near neighbouring tables lie, and how much of their width they share."""
+    w = Window.partitionBy("doc").orderBy("table_ord")
+    t, nxt = document_tables(spark, sf_dir), lambda c: F.lead(c).over(w)
+    shift = nxt("table_ord") % 7 * 90
+    box = nxt("box")
+    p = t.select("table_ord", "box", "page_id", "page_height", nxt("table_ord").alias("b"), nxt("page_id").alias("pb"), g.box(box["x0"] + shift, box["y0"], box["x1"] + shift, box["y1"]).alias("other")).where("b is not null")
+    near = table_merge.vertical_proximity(F.col("box"), F.col("other"), F.col("page_id"), F.col("pb"), F.col("page_height"))
+    return p.select("table_ord", F.round(near, 6).alias("near"), F.round(table_merge.horizontal_overlap(F.col("box"), F.col("other")), 6).alias("overlap"))
