@@ -381,9 +381,9 @@ def _open_pairs(still: DataFrame, similarity: float, turn: int | None) -> DataFr
         picked = [F.min_by(F.struct(*fields), F.xxhash64(F.lit(turn * _SOME + k), "h", "id")) for k in range(_SOME)]
         other = still.groupBy("h").agg(F.array_distinct(F.array(*picked)).alias("some")).select("h", F.inline("some"))
     both = (still if turn is not None else still.where("index")).select("h", *end("a")).join(other.select("h", *end("b")), "h")
-    is_open = f"root_a <> root_b and {_reaches(similarity)} and {_may_be(similarity, 'odd')}"
-    # all pairs: the smaller set has the shingle in its index part, so what most sets share far back brings no pairs together
-    found = both.where(is_open if turn is not None else f"index_a and (n_a < n_b or n_a = n_b and a < b) and {is_open}")
+    # the smaller set has the shingle in its index part, so what most sets share far back brings no pairs together
+    is_open = f"root_a <> root_b and {_reaches(similarity)} and if(n_a < n_b or n_a = n_b and a < b, index_a, index_b) and {_may_be(similarity, 'odd')}"
+    found = both.where(is_open if turn is not None else f"(n_a < n_b or n_a = n_b and a < b) and {is_open}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
