@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import begin, cut
 
 WORD = re.compile(r"\w+")
 #: Walks, and steps sampled of each. At a similarity of 0.8 the tests measure a recall above 0.95 for them.
@@ -50,6 +50,10 @@ class _Codes(dict):
 _CODES = _Codes()
 
 
+def _forget() -> None:
+    _CODES.clear()
+
+
 def codes(text: str | None) -> np.ndarray:
     """Codes of a text's words, in lower case and without marks."""
     words = WORD.findall(text.lower()) if text else []
@@ -212,6 +216,7 @@ class Items:
 
 def _searched(items: Items):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("leaks", _forget)
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64()]
         names = [c.split()[0] for c in MATCHES.split(", ")]
 

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
-from .tokenizing import text_encoder
+from .shared import begin, cut
+from .tokenizing import forget_encoders, text_encoder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 ISLAND = 4_000
@@ -32,6 +32,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_i
     """Pieces of every document: its ids with end_id, cut only where they are more than capacity."""
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pieces", forget_encoders)
         encoder, end = text_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []

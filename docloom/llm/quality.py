@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import begin, cut
 
 FEATURES = (
     "log_words chars_per_word upper lower digits high_bytes marks odd_marks bang hash dollar percent ampersand star pipe braces at_signs "
@@ -173,6 +173,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
+        begin("quality")
         if trees is None or not len(texts):
             return pd.Series(np.full(len(texts), 0.5))
         return pd.Series(trees.score(np.array([statistics(t) for t in texts], np.float32).astype(float)))

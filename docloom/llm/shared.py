@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +62,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What tasks of this worker keep between them, by operator: how to give it back.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def nothing() -> None:
+    pass
+
+
+def begin(operator: str, release: Callable[[], None] = nothing) -> None:
+    """For the start of an operator's task in a Python worker. Workers are reused: what tasks of other operators cached there
+    (release empties it) goes back to the system before this one fills its own."""
+    others = [name for name in _HELD if name != operator]
+    for name in others:
+        _HELD.pop(name)()
+    _HELD[operator] = release
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+
 def _edge_state(edges: DataFrame) -> tuple:
     # a sum of decimals cannot overflow and does not depend on the order of rows
     mixed = F.xxhash64("u", "v").cast("decimal(38,0)")

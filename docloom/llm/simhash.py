@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut, discard
+from .shared import begin, components, cut, discard
 
 BITS = 64
 SEED = 42
@@ -206,6 +206,7 @@ def _repeated(rows: DataFrame) -> Broadcast:
     bits = max(4, (rows.count() // 10_000).bit_length())
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("prefixes")
         held, size = [], 0
 
         def emit() -> Iterator[pd.DataFrame]:
@@ -262,6 +263,7 @@ def _kept_places(frequent: Broadcast):
     """(id, n, at, h) of the prefix shingles that the bitmap has."""
 
     def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("places")
         bits = np.frombuffer(frequent.value, np.uint8)
         for frame in frames:
             sizes = frame["prefix"].map(len).to_numpy(np.int64)
@@ -283,6 +285,7 @@ def _sketches(docs: DataFrame, words_per_shingle: int, similarity: float) -> Dat
     common = _common(docs, words_per_shingle)
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("sketches")
         for frame in frames:
             for at in range(0, max(1, len(frame)), _SLICE):
                 rows = []
@@ -302,6 +305,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_per_s
     chosen = classes.join(ends, "id", "left_semi").select("id", F.col("first.doc_id").alias("d"), F.col("first.key").alias("k"))
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("sets")
         for frame in frames:
             for at in range(0, len(frame), _SLICE):
                 part = frame.iloc[at : at + _SLICE]
@@ -352,6 +356,7 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     crowded = shared.where("id > low and id < high").select("h").distinct()
     crowd = cut(shared.drop("low", "high", "lead").join(crowded, "h", "left_semi"), "crowd")
     discard(shared)
+    frequent.destroy()
     # then, where the classes of a shingle are in several groups, with some others of them in each round, and at last all that is open
     for turn in range(_ROUNDS + 1):
         roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")

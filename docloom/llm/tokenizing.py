@@ -157,3 +157,7 @@ class TextEncoder:
 def text_encoder(path: str) -> TextEncoder:
     """One encoder for each worker and file."""
     return TextEncoder(path)
+
+
+def forget_encoders() -> None:
+    text_encoder.cache_clear()
