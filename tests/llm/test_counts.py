@@ -259,3 +259,14 @@ def test_no_folder_of_one_machine_on_a_cluster():
     assert shared_folder(session("yarn", "hdfs://x/w")) == "hdfs://x/w" and shared_folder(session("yarn", "file:/w", "file:///mnt/all")) == "file:///mnt/all"
     with pytest.raises(ValueError, match="one machine"):
         shared_folder(session("spark://a:7077", "file:/home/spark-warehouse"))
+
+
+def test_a_worker_gives_back_what_another_operator_cached(monkeypatch):
+    from docloom.llm import shared
+
+    monkeypatch.setattr(shared, "_HELD", {})
+    given = []
+    for operator in ("leaks", "leaks", "pieces", "quality", "leaks"):
+        shared.begin(operator, lambda operator=operator: given.append(operator))
+    assert given == ["leaks", "pieces", "quality"]
+    assert list(shared._HELD) == ["leaks"]
