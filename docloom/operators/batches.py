@@ -54,7 +54,7 @@ def rewrite_table_batches(cells: DataFrame, table: list[str], model: Callable[[C
 
     cells: table columns, row_id, col_id, text, rowspan, colspan, is_header. The model gets the HTML of a batch of rows (see row_batches) and
     gives HTML. A table is rewritten if all of its batches are sound: the answer ends with </table>, has more than one
-    cell and at least half as much text as the batch; a table with an answer that says `no corrections`, or with more
+    cell (or the one that the batch has) and at least half as much text as the batch; a table with an answer that says `no corrections`, or with more
     than most_rows rows, stays. The rows of the answers follow one another; col_id is a cell's place in its row.
     """
     escaped = F.replace(F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
@@ -62,14 +62,14 @@ def rewrite_table_batches(cells: DataFrame, table: list[str], model: Callable[[C
     span = lambda c: F.when(F.coalesce(c, F.lit(1)) > 1, F.concat(F.lit(f' {c}="'), F.col(c).cast("string"), F.lit('"'))).otherwise("")
     one = cells.select(*table, "row_id", F.length(F.coalesce("text", F.lit(""))).alias("_n"), F.struct("col_id", F.concat(F.lit("<"), tag, span("rowspan"), span("colspan"), F.lit(">"), escaped, F.lit("</"), tag, F.lit(">")).alias("h")).alias("_c"))
     joined = lambda c, f: F.array_join(F.transform(F.array_sort(F.collect_list(c)), f), "")
-    rows = one.groupBy(*table, "row_id").agg(joined("_c", lambda c: c["h"]).alias("h"), F.sum("_n").alias("_n")).join(row_batches(cells, table, most), [*table, "row_id"])
-    batches = rows.groupBy(*table, "batch").agg(F.concat(F.lit("<table>"), joined(F.struct("row_id", "h"), lambda r: F.concat(F.lit("<tr>"), r["h"], F.lit("</tr>"))), F.lit("</table>")).alias("_old"), F.sum("_n").alias("_n"), F.count("*").alias("_rows"))
+    rows = one.groupBy(*table, "row_id").agg(joined("_c", lambda c: c["h"]).alias("h"), F.sum("_n").alias("_n"), F.count("*").alias("_own")).join(row_batches(cells, table, most), [*table, "row_id"])
+    batches = rows.groupBy(*table, "batch").agg(F.concat(F.lit("<table>"), joined(F.struct("row_id", "h"), lambda r: F.concat(F.lit("<tr>"), r["h"], F.lit("</tr>"))), F.lit("</table>")).alias("_old"), F.sum("_n").alias("_n"), F.sum("_own").alias("_own"), F.count("*").alias("_rows"))
     answer = F.trim(F.regexp_replace(F.trim("_raw"), r"^```(?:html)?|```$", ""))
     batches = batches.withColumn("_raw", model(F.col("_old"))).withColumn("html", answer)
     made = html_cells(batches, [*table, "batch"])
     shape = made.groupBy(*table, "batch").agg(F.count("*").alias("_cells"), F.sum(F.length("text")).alias("_text"), (F.max("row_id") + 1).alias("_tall"))
     judged = batches.join(shape, [*table, "batch"], "left")
-    sound = F.endswith("html", F.lit("</table>")) & (F.col("_cells") > 1) & (2 * F.col("_text") >= F.col("_n")) & ~F.contains(F.lower("html"), F.lit("no corrections"))
+    sound = F.endswith("html", F.lit("</table>")) & (F.col("_cells") >= F.least(F.lit(2), "_own")) & (2 * F.col("_text") >= F.col("_n")) & ~F.contains(F.lower("html"), F.lit("no corrections"))
     judged = judged.withColumn("_ok", F.coalesce(sound, F.lit(False)))
     every = Window.partitionBy(*table)
     judged = judged.withColumns({"_all": F.min("_ok").over(every) & (F.sum("_rows").over(every) <= most_rows), "_first": F.coalesce(F.sum("_tall").over(every.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})

@@ -125,3 +125,13 @@ def test_inversions():
     for n in (0, 1, 2, 7, 60):
         v = rng.integers(0, 9, n)
         assert inversions(v) == sum(v[i] > v[j] for i in range(n) for j in range(i + 1, n))
+
+
+def test_a_batch_of_one_row_is_rewritten(spark):
+    """Eleven rows of one cell in batches of ten: the answer for the last row has one cell, as the batch has."""
+    c = spark.createDataFrame([(1, r, 0, f"w{r}", 1, 1, False) for r in range(11)], "t int, row_id long, col_id int, text string, rowspan int, colspan int, is_header boolean")
+    out = batches.rewrite_table_batches(c, ["t"], lambda h: F.replace(h, F.lit("w"), F.lit("x")), most=10).collect()
+    assert sorted((r.row_id, r.text, r.rewritten) for r in out) == sorted((r, f"x{r}", True) for r in range(11))
+    # an answer that joins several cells into one is still none
+    out = batches.rewrite_table_batches(c, ["t"], lambda h: F.regexp_replace(h, "</td></tr><tr><td>", " "), most=10).collect()
+    assert not any(r.rewritten for r in out) and len(out) == 11
