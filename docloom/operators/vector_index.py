@@ -66,8 +66,9 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, n_vectors: int, n_qu
     """
     parts, blocks = max(1, -(-n_vectors // VECTORS)), max(1, -(-n_queries // QUERIES))
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = queries.select("q_id", F.col("v").alias("qv"), F.pmod(F.xxhash64("q_id"), F.lit(blocks)).alias("qp")).withColumn("vp", all_of(parts))
-    v = vectors.select(F.col("id").alias("of"), F.col("v").alias("vv"), F.pmod(F.xxhash64("id"), F.lit(parts)).alias("wp")).withColumn("wq", all_of(blocks))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")  # noqa: E731  (both sides' keys need one type, or their groups don't meet)
+    q = queries.select("q_id", F.col("v").alias("qv"), dealt("q_id", blocks).alias("qp")).withColumn("vp", all_of(parts))
+    v = vectors.select(F.col("id").alias("of"), F.col("v").alias("vv"), dealt("id", parts).alias("wp")).withColumn("wq", all_of(blocks))
     found = q.groupBy("vp", "qp").cogroup(v.groupBy("wp", "wq")).applyInPandas(_best(k), "q_id bigint, id bigint, c double")
     return _ranked(found, k)
 

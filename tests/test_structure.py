@@ -166,3 +166,16 @@ def test_table_chains_and_titles(spark):
     assert [(r.block_ord, r.title, r.source) for r in got.orderBy("block_ord").collect()] == [
         (0, None, "none"), (3, "Inferred: We give data here", "inferred_from_preceding_paragraph"), (4, "Inferred: We give data here", "inferred_from_preceding_paragraph"), (7, "Table 2", "caption_above"),
     ]
+
+
+def test_blocks_of_vectors_meet(spark, monkeypatch):
+    """With several blocks of vectors and of queries each query still meets every vector."""
+    monkeypatch.setattr(vector_index, "VECTORS", 20)
+    monkeypatch.setattr(vector_index, "QUERIES", 5)
+    x = np.random.default_rng(4).normal(size=(90, 6))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    got = vector_index.nearest(v.where("id % 5 = 0").select(F.col("id").alias("q_id"), "v"), v, 4, 90, 18).collect()
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    c = units @ units.T
+    np.fill_diagonal(c, -2)
+    assert {(r.q_id, r["rank"], r.id) for r in got} == {(i, k + 1, int(j)) for i in range(0, 90, 5) for k, j in enumerate(np.argsort(-c[i])[:4])}
