@@ -36,7 +36,9 @@ def merge_broken_lines(lines: DataFrame, block: list[str], order: str = "line_or
     one, other = flat.select(*block, "_i", "_wide"), flat.select(*block, F.col("_i").alias("_j"), F.col("_wide").alias("_other"))
     met = banded_pairs(one, other, block, "_wide", "_other").where("_i <> _j and _j <> _i + 1")
     met = met.withColumn("_s", g.intersection_area(F.col("_wide"), F.col("_other"))).where("_s > 0")
-    met = met.groupBy(*block, "_i").agg(F.map_from_entries(F.collect_list(F.struct("_j", "_s"))).alias("_with"), F.sum("_s").alias("_all"))
+    # summed in the order of lines: another order gives other last digits, which decide where shares lie at a limit
+    met = met.groupBy(*block, "_i").agg(F.array_sort(F.collect_list(F.struct("_j", "_s"))).alias("_met"))
+    met = met.select(*block, "_i", F.map_from_entries("_met").alias("_with"), F.aggregate("_met", F.lit(0.0), lambda t, m: t + m["_s"]).alias("_all"))
     item = F.struct("_i", F.col(order).alias("o"), F.col("box.y0").alias("y0"), F.col("box.y1").alias("y1"), g.area(F.col("box")).alias("area"), F.coalesce("_all", F.lit(0.0)).alias("shared"), F.col("_with").alias("by"))
     whole = flat.join(met, [*block, "_i"], "left").groupBy(*block).agg(F.array_sort(F.collect_list(item), lambda a, b: a["_i"] - b["_i"]).alias("_lines"))
     mine = "coalesce(aggregate(s.open, 0D, (t, j) -> t + coalesce(c.by[j], 0D)), 0D)"

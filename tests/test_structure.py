@@ -179,3 +179,10 @@ def test_blocks_of_vectors_meet(spark, monkeypatch):
     c = units @ units.T
     np.fill_diagonal(c, -2)
     assert {(r.q_id, r["rank"], r.id) for r in got} == {(i, k + 1, int(j)) for i in range(0, 90, 5) for k, j in enumerate(np.argsort(-c[i])[:4])}
+
+
+def test_shares_at_the_limit(spark):
+    """A line's overlaps add up in the order of lines, whatever order they come in: 0.1 + 0.2 + 0.3 isn't 0.3 + 0.2 + 0.1."""
+    plans = lines.merge_broken_lines(spark.createDataFrame([(1, 0, "a", (0.0, 0.0, 10.0, 1.0))], "block int, line_ord int, text string, box struct<x0:double,y0:double,x1:double,y1:double>"), ["block"])
+    plan = plans._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(_s" not in plan
