@@ -40,10 +40,12 @@ def layout_coverage(blocks: DataFrame, lines: DataFrame, page: list[str], least:
     blocks: page columns, block_id, box, block_type, page_box. A page whose only block is text over four fifths of it is
     covered whatever its lines: layout models say so of blank pages.
     """
-    lines = lines.select(*page, F.col("box").alias("line_box"))
-    touched = F.count_if(g.intersection_area(F.col("box"), F.col("line_box")) > 0) >= least_lines
+    touching = lines.groupBy(*page, F.col("box").alias("line_box")).agg(F.count("*").alias("n"))  # equal boxes are measured once
+    met = blocks.select(*page, "box").distinct().join(touching, page).where(g.intersection_area(F.col("box"), F.col("line_box")) > 0)
+    met = met.groupBy(*page, "box").agg(F.sum("n").alias("n"))
+    touched = F.sum(F.coalesce("n", F.lit(0))) >= least_lines
     whole = (F.col("block_type") == "Text") & (g.intersection_share(F.col("page_box"), F.col("box")) > 0.8)
-    each = blocks.join(lines, page, "left").groupBy(*page, "block_id").agg(touched.alias("touched"), F.first(whole).alias("whole"))
+    each = blocks.join(met, [*page, "box"], "left").groupBy(*page, "block_id").agg(touched.alias("touched"), F.first(whole).alias("whole"))
     share = F.count_if("touched") / F.count("*")
     return each.groupBy(*page).agg(share.alias("coverage"), ((share >= least) | ((F.count("*") == 1) & F.coalesce(F.max("whole"), F.lit(False)))).alias("covered"))
 
@@ -53,9 +55,9 @@ def mark_math_lines(lines: DataFrame, formulas: DataFrame, page: list[str], tall
 
     formulas: page columns, formula_id, box. Ties go to the smaller line_id.
     """
-    line = lines.select(*page, "line_id", F.col("box").alias("line_box"))
+    line = lines.groupBy(*page, F.col("box").alias("line_box")).agg(F.min("line_id").alias("line_id"))
     shared = g.intersection_area(F.col("box"), F.col("line_box"))
-    best = formulas.join(line, page).where(shared > 0).groupBy(*page, "formula_id").agg(F.min(F.struct((-shared).alias("k"), "line_id"))["line_id"].alias("line_id"))
+    best = formulas.select(*page, "box").distinct().join(line, page).where(shared > 0).groupBy(*page, "box").agg(F.min(F.struct((-shared).alias("k"), "line_id"))["line_id"].alias("line_id"))
     marked = lines.join(best.select(*page, "line_id", F.lit(True).alias("_m")).distinct(), [*page, "line_id"], "left")
     upright = g.height(F.col("box")) <= tallest * g.width(F.col("box"))
     return marked.withColumn("math", F.coalesce(F.col("_m") & upright, F.lit(False))).drop("_m")
@@ -63,11 +65,9 @@ def mark_math_lines(lines: DataFrame, formulas: DataFrame, page: list[str], tall
 
 def missed_boxes(found: DataFrame, other: DataFrame, page: list[str], most: float = 0.8) -> DataFrame:
     """Rows of other (page columns, box) that no box of found on the page matches by more than `most` of union."""
-    f = found.select(*[F.col(c).alias(f"f_{c}") for c in page], F.col("box").alias("f_box"))
-    on: Column = g.iou(F.col("box"), F.col("f_box")) > most
-    for c in page:
-        on = on & (F.col(c) == F.col(f"f_{c}"))
-    return other.join(f, on, "left_anti")
+    f = found.select(*page, F.col("box").alias("f_box")).distinct()
+    matched = other.select(*page, "box").distinct().join(f, page).where(g.iou(F.col("box"), F.col("f_box")) > most).select(*page, "box").distinct()
+    return other.join(matched, [*page, "box"], "left_anti").select(other.columns)
 
 
 def footnotes_last(blocks: DataFrame, page: list[str], order: str = "block_ord") -> DataFrame:

@@ -183,3 +183,31 @@ def test_question_words_end_at_accents_too(spark):
     answer = F.lit("Una de dos palabras")
     score = lambda q: one(spark, tx.qa_quality(F.lit(q), answer))
     assert score("Doí osja raez que") == score("Do osja raez que") == score("Dogs osja raez que") + 0.1
+
+
+@pytest.mark.parametrize("name", ["uncovered_blocks", "nearest_reference", "iou_pairs"])
+def test_pages_grow_with_the_table(spark, tmp_path, name):
+    """More parts give longer pages, not more of them, and every box of a page counts."""
+    import duckdb
+
+    from docloom.plans.queries import ORACLE_SQL, QUERIES
+
+    duck = duckdb.connect()
+    duck.execute(f"copy (select i as p_partkey, (i * 7 % 50 + 1)::int as p_size from range(3400) t(i)) to '{tmp_path}/part.parquet' (format parquet)")
+    duck.execute(f"create view part as select * from read_parquet('{tmp_path}/part.parquet')")
+    want = duck.execute(ORACLE_SQL[name])
+    names = [c[0] for c in want.description]
+    want = sorted((tuple(r) for r in want.fetchall()), key=str)
+    assert {r[names.index("page_id")] for r in want} <= set(range(40))
+    assert rows(QUERIES[name](spark, str(tmp_path)), *names) == want
+
+
+def test_equal_boxes_are_all_assigned(spark):
+    """Lines and blocks of equal boxes: each line has the smallest block_id, and lines that meet nothing stay."""
+    box = "struct<x0:double,y0:double,x1:double,y1:double>"
+    same, far = (0.0, 0.0, 10.0, 10.0), (500.0, 500.0, 510.0, 510.0)
+    lines = spark.createDataFrame([(1, 1, same), (1, 2, same), (1, 3, far), (1, 4, None), (2, 5, same)], f"page int, line_id int, box {box}")
+    blocks = spark.createDataFrame([(1, 9, same), (1, 8, same), (1, 7, None)], f"page int, block_id int, box {box}")
+    assert rows(spatial.assign_lines(lines, blocks, ["page"]), "line_id", "block_id", "how") == [(1, 8, "area"), (2, 8, "area"), (3, None, None), (4, None, None), (5, None, None)]
+    pairs = spatial.overlapping_pairs(lines.withColumnRenamed("line_id", "id"), blocks.withColumnRenamed("block_id", "id"), ["page"])
+    assert rows(pairs, "a_id", "b_id", "iou") == [(1, 8, 1.0), (1, 9, 1.0), (2, 8, 1.0), (2, 9, 1.0)]
