@@ -164,3 +164,15 @@ def test_sample_by_kind(spark):
     c = spark.createDataFrame([(f"k{n}", kind) for n in range(60) for kind in ("factual", "conceptual")], "section_hash string, kind string")
     got = qa.sample(c, {"factual": 0.5, "conceptual": 0.25}, 21).collect()
     assert len({r.section_hash for r in got}) == len(got) == 21 and sum(r.kind == "conceptual" for r in got) == 5
+
+
+def test_pages_go_through_in_slices():
+    """No batch of blocks comes from more than PAGES pages, however many a batch of pages has."""
+    import pyarrow as pa
+
+    pages = ["<p>a</p><p>b</p>", None, "<h1>c</h1>", ""] * 50
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(200)), "html": pages})
+    out = list(html._block_batches("page_id")(iter([batch])))
+    assert max(len(set(b.column(0).to_pylist())) for b in out) <= html.PAGES < 200
+    got = [(r["page_id"], r["block_ord"], r["block_type"], r["text"], r["attrs"]) for b in out for r in b.to_pylist()]
+    assert got == [(i, b[0], b[1], b[3], list(b[8].items())) for i, h in enumerate(pages) for b in html.parse(h)[0]]
