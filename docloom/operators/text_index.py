@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stems import with_stems
@@ -16,17 +16,27 @@ def tokens(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     return rows.select(key, F.posexplode(words).alias("pos", "word"))
 
 
+def _stemmed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, at, stem): a document's words with their places. Whole texts are dealt by key, not their words; a document's word is stemmed once."""
+    return with_stems(tokens(docs.select(key, text).repartition(key), key, text).groupBy(key, "word").agg(F.collect_list("pos").alias("at"))).select(key, "at", "stem")
+
+
+def _positions() -> Column:
+    return F.array_sort(F.flatten(F.collect_list("at"))).alias("positions")
+
+
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(stem, key, positions): where a document has a stem, in order. A document's word is stemmed once."""
-    by_word = tokens(docs, key, text).groupBy(key, "word").agg(F.collect_list("pos").alias("at"))
-    return with_stems(by_word).groupBy("stem", key).agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("positions"))
+    """(stem, key, positions): where a document has a stem, in order."""
+    return _stemmed(docs, key, text).groupBy("stem", key).agg(_positions())
 
 
 def write_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", parts: int = 64) -> None:
     """The postings as Parquet under path, in folders by a hash of the stem and sorted by stem within, so that a search reads the
     folders of its own stems, and of those the pages that hold them."""
-    spread = postings(docs, key, text).withColumn("part", F.pmod(F.xxhash64("stem"), F.lit(parts)))
-    spread.repartition("part", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("part", "stem", key).write.mode("overwrite").partitionBy("part").parquet(path)
+    spread = _stemmed(docs, key, text).withColumns({"part": F.pmod(F.xxhash64("stem"), F.lit(parts)), "_of": F.pmod(F.xxhash64(key), F.lit(8))})
+    # dealt once, by folder, and grouped where they lie
+    spread = spread.repartition("part", "_of").groupBy("part", "_of", "stem", key).agg(_positions()).drop("_of")
+    spread.sortWithinPartitions("part", "stem", key).write.mode("overwrite").partitionBy("part").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -186,3 +186,12 @@ def test_shares_at_the_limit(spark):
     plans = lines.merge_broken_lines(spark.createDataFrame([(1, 0, "a", (0.0, 0.0, 10.0, 1.0))], "block int, line_ord int, text string, box struct<x0:double,y0:double,x1:double,y1:double>"), ["block"])
     plan = plans._jdf.queryExecution().optimizedPlan().toString()
     assert "sum(_s" not in plan
+
+
+def test_postings_are_dealt_by_text(spark):
+    """Whole texts are dealt, not each of their words: one exchange by document and one by stem."""
+    docs = spark.createDataFrame([(1, "Runs run running"), (2, "a run"), (3, None)], "doc_id long, text string")
+    out = text_index.postings(docs)
+    assert rows(out, "stem", "doc_id", "positions") == rows(spark.createDataFrame([("run", 1, [0, 1, 2]), ("a", 2, [0]), ("run", 2, [1])], "stem string, doc_id long, positions array<int>"), "stem", "doc_id", "positions")
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert [line.count("word") for line in plan.splitlines() if "Exchange" in line] == [0, 0]
