@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,6 +58,29 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Bits of the largest bitmap of sieve(), 16 MB, and bits for each key below that.
+_SIEVE_BITS, _ROOM = 27, 64
+
+
+def sieve(rows: DataFrame, code: Column, keys: DataFrame, flag: str | None = None) -> DataFrame:
+    """The rows whose code (a 64-bit hash) a bitmap of the keys has: all that keys has, and a few others. With flag: all rows,
+    with a column of that name which says so.
+
+    keys: one column of codes, read twice. The bitmap is broadcast in pieces of 4 KB, 16 MB at any size, so rows stay where they are.
+    """
+    name = keys.columns[0]
+    bits = min(_SIEVE_BITS, max(15, (keys.count() * _ROOM).bit_length()))
+    place = lambda c: F.shiftrightunsigned(c, 64 - bits)
+    pieces = keys.select(place(F.col(name)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+    placed = rows.withColumn("_place", place(code))
+    met = placed.join(F.broadcast(pieces), F.bitmap_bucket_number("_place") == F.col("_piece"), "left")
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    has = F.coalesce(F.expr("shiftright(_byte, cast(bitmap_bit_position(_place) % 8 as int)) & 1") == 1, F.lit(False))
+    met = met.withColumn("_byte", byte).withColumn(flag or "_has", has).drop("_place", "_piece", "_bits", "_byte")
+    return met if flag else met.where("_has").drop("_has")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

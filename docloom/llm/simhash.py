@@ -9,10 +9,10 @@ import pandas as pd
 import xxhash
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import begin, components, cut, discard
+from .shared import begin, components, cut, discard, sieve
 
 BITS = 64
 SEED = 42
@@ -312,7 +312,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_per_s
                 yield pd.DataFrame({"id": part["id"], "s": [shingle_set(t, words_per_shingle)[0].view(np.int64) for t in part["text"]]})
 
     chosen = cut(chosen, "chosen")  # written first: its size tells Spark whether to broadcast it, and texts stay where they are
-    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("id", "text")
+    met = sieve(docs, F.xxhash64("doc_id", "key"), chosen.select(F.xxhash64("d", "k")))
+    texts = met.join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("id", "text")
     sets = cut(texts.mapInPandas(hashed, "id bigint, s array<bigint>").dropDuplicates(["id"]), "sets")  # repeated rows have one set
     side = lambda x: sets.select(F.col("id").alias(x), F.col("s").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -383,8 +384,8 @@ def _open_pairs(still: DataFrame, similarity: float, turn: int | None) -> DataFr
     end = lambda x: [F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in fields[1:]]]
     other = still
     if turn is not None:
-        picked = [F.min_by(F.struct(*fields), F.xxhash64(F.lit(turn * _SOME + k), "h", "id")) for k in range(_SOME)]
-        other = still.groupBy("h").agg(F.array_distinct(F.array(*picked)).alias("some")).select("h", F.inline("some"))
+        rank = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64(F.lit(turn), "h", "id"), "id"))  # ranks beyond the bound don't leave their task
+        other = still.withColumn("rank", rank).where(f"rank <= {_SOME}").drop("rank")
     both = (still if turn is not None else still.where("index")).select("h", *end("a")).join(other.select("h", *end("b")), "h")
     # the smaller set has the shingle in its index part, so what most sets share far back brings no pairs together
     is_open = f"root_a <> root_b and {_reaches(similarity)} and if(n_a < n_b or n_a = n_b and a < b, index_a, index_b) and {_may_be(similarity, 'odd')}"
@@ -412,18 +413,24 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def one_of_each_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of docs, all columns, that stand for their group of similar_documents(): the one with the smallest doc_id,
     of several texts with that doc_id one. Rows are told apart by doc_id and text, so a text that merely shares its doc_id
-    with a copy stays; of rows that are equal in both one stays. Rows with a null doc_id stay. Texts are not shuffled
-    where the list of what goes may be broadcast.
+    with a copy stays; of rows that are equal in both one stays. Rows with a null doc_id stay. Only texts that one bitmap
+    has among those that go and another among those that stay wait for the list of what goes; no other text is shuffled.
     """
     found = _similar(_rows(docs, doc_id, text), **{"words_per_shingle": 5, "similarity": 0.8, "max_bits": 3} | options).where("doc_id is not null")
     found = cut(found.select("doc_id", "key", (F.struct("doc_id", "key") == F.struct("first.doc_id", "first.key")).alias("stays")), "groups")
     gone = found.where(~F.col("stays")).select("doc_id", "key").distinct()
     twice = found.where("stays").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
     marks = cut(gone.withColumn("gone", F.lit(True)).unionByName(twice.withColumn("gone", F.lit(False))), "marks")
+    code = F.xxhash64("doc_id", "key")
+    # what a bitmap of the marked rows has and one of the others among them hasn't goes for certain; rows in both are looked up
+    stay = cut(sieve(found.where("stays").select("doc_id", "key"), code, marks.select(code)), "kept")
+    own = F.xxhash64(F.col(doc_id).cast("long"), _key(F.col(text)))
+    flagged = sieve(sieve(docs.where(F.col(doc_id).isNotNull()), own, marks.select(code), "_marked"), own, stay.select(code), "_kept")
     marks = marks.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("gone").alias("_gone"))
-    marked = docs.join(marks, (F.col(doc_id).cast("long") == F.col("_d")) & (_key(F.col(text)) == F.col("_k")), "left")
-    once = marked.where("not _gone").dropDuplicates(["_d", "_k"])  # repeated rows alone
-    return marked.where("_gone is null").unionByName(once).select(docs.columns)
+    seen = flagged.where("_marked and _kept").drop("_marked", "_kept").join(marks, (F.col(doc_id).cast("long") == F.col("_d")) & (_key(F.col(text)) == F.col("_k")), "left")
+    once = seen.where("not _gone").dropDuplicates(["_d", "_k"])  # repeated rows alone
+    clear = docs.where(F.col(doc_id).isNull()).unionByName(flagged.where("not _marked").select(docs.columns))
+    return clear.unionByName(seen.where("_gone is null").select(docs.columns)).unionByName(once.select(docs.columns))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
