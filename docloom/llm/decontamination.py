@@ -145,6 +145,7 @@ class Items:
             self.ids.append(item_id)
             self.words.append(w)
             self.most.append(k)
+        self.plain = [w.tolist() for w in self.words]
         self.classes = [self._tables(gram, steps, members) for (gram, steps), members in sorted(groups.items())]
 
     def _tables(self, gram: int, steps: int, members: list[int]) -> _Class:
@@ -203,10 +204,10 @@ class Items:
                 a, b = max(low, at - k), min(high, at + n + k)
                 if b - a < n - k or done.get((d, m), -1) >= b:
                     continue
-                region = tokens[a:b]
-                if int(np.isin(self.words[m], region).sum()) < n - k:
+                region = tokens[a:b].tolist()
+                if sum(map(set(region).__contains__, self.plain[m])) < n - k:  # a set: arrays this short cost more to sort
                     continue
-                got = within(self.words[m].tolist(), region.tolist(), k)
+                got = within(self.plain[m], region, k)
                 if got:
                     done[d, m] = b
                     one = (got[0], a - low + got[1], a - low + got[2])
