@@ -9,6 +9,10 @@ from ..functions.similarity import fuzzy
 from ..functions.text import strip_edge_digits
 
 
+#: Rows of a task that sorts whole pages, so that its memory is the same for any number of pages.
+_TASK_ROWS = 200_000
+
+
 def repeated_edges(blocks: DataFrame, doc: list[str], page: str = "page_id", order: str = "block_ord", share: float = 0.2, streak: int = 3, more_than: int = 3, match: float = 90) -> DataFrame:
     """blocks with ignore set on each page's first and last text block that is like a common one of the document.
 
@@ -35,8 +39,9 @@ def repeated_edges(blocks: DataFrame, doc: list[str], page: str = "page_id", ord
 def line_number_spans(spans: DataFrame, page: list[str], share: float = 0.6) -> DataFrame:
     """spans with ignore set on each line's leftmost span where it is a number and most lines of the page begin with one.
 
-    spans: page columns, line_id, x0, text.
+    spans: page columns, line_id, x0, text. Pages are dealt once, to as many tasks as leave each some _TASK_ROWS spans; they are counted for that.
     """
+    spans = spans.repartition(spans.count() // _TASK_ROWS + 1, *page)
     numeric = F.trim("text").rlike(r"^[0-9]+$")
     line = Window.partitionBy(*page, "line_id")
     left = F.row_number().over(line.orderBy("x0", "text")) == 1

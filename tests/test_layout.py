@@ -211,3 +211,16 @@ def test_equal_boxes_are_all_assigned(spark):
     assert rows(spatial.assign_lines(lines, blocks, ["page"]), "line_id", "block_id", "how") == [(1, 8, "area"), (2, 8, "area"), (3, None, None), (4, None, None), (5, None, None)]
     pairs = spatial.overlapping_pairs(lines.withColumnRenamed("line_id", "id"), blocks.withColumnRenamed("block_id", "id"), ["page"])
     assert rows(pairs, "a_id", "b_id", "iou") == [(1, 8, 1.0), (1, 9, 1.0), (2, 8, 1.0), (2, 9, 1.0)]
+
+
+def test_line_numbers_deal_more_pages_to_more_tasks(spark, monkeypatch):
+    """Tasks grow with the spans, and pages are dealt once; marks are the same however many there are."""
+    from docloom.operators import processors
+
+    spans = spark.createDataFrame([(p, n, x, str(n) if x == 0 and (p < 5 or n % 2) else "w") for p in range(20) for n in range(10) for x in (0.0, 1.0)], "page int, line_id int, x0 double, text string")
+    whole = rows(processors.line_number_spans(spans, ["page"]), "page", "line_id", "x0", "ignore")
+    monkeypatch.setattr(processors, "_TASK_ROWS", 100)
+    dealt = processors.line_number_spans(spans, ["page"])
+    assert dealt.rdd.getNumPartitions() == 5
+    assert rows(dealt, "page", "line_id", "x0", "ignore") == whole
+    assert {r[:2] for r in whole if r[3]} == {(p, n) for p in range(5) for n in range(10)}
