@@ -224,3 +224,25 @@ def test_line_numbers_deal_more_pages_to_more_tasks(spark, monkeypatch):
     assert dealt.rdd.getNumPartitions() == 5
     assert rows(dealt, "page", "line_id", "x0", "ignore") == whole
     assert {r[:2] for r in whole if r[3]} == {(p, n) for p in range(5) for n in range(10)}
+
+
+@pytest.mark.parametrize("name", ["geometry_measures", "layout_coverage", "math_line_marks"])
+def test_forty_pages_hold_the_whole_table(spark, tmp_path, name):
+    """Boxes of a page meet however far apart their keys lie, in code and SQL: forty pages at any size."""
+    import duckdb
+
+    from docloom.plans.queries import ORACLE_SQL, QUERIES
+
+    duck = duckdb.connect()
+    duck.execute(f"copy (select i as p_partkey, (i * 7 % 50 + 1)::int as p_size from range(3400) t(i)) to '{tmp_path}/part.parquet' (format parquet)")
+    duck.execute(f"create view part as select * from read_parquet('{tmp_path}/part.parquet')")
+    want = duck.execute(ORACLE_SQL[name])
+    names = [c[0] for c in want.description]
+    want = sorted((tuple(r) for r in want.fetchall()), key=str)
+    got = rows(QUERIES[name](spark, str(tmp_path)), *names)
+    assert got == want
+    if name == "geometry_measures":
+        pairs = {(r[names.index("a_id")], r[names.index("b_id")]) for r in got}
+        assert len(pairs) == len(got) == sum(a % 40 == b % 40 for a in range(3400) if a // 40 % 10 == 1 for b in range(3400) if b // 40 % 10 != 1)
+    else:
+        assert {r[names.index("page_id")] for r in got} == set(range(40))
