@@ -29,16 +29,17 @@ from .shared import begin, cut
 WORD = re.compile(r"\w+")
 #: Walks, and steps sampled of each. At a similarity of 0.8 the tests measure a recall above 0.95 for them.
 WALKS, SAMPLED = 12, 3
-BLOCK_WORDS = 2_000_000
-_SLAB_WORDS = 1_000_000
-_MAP_BITS = 22
+#: What a worker holds: words of items, words of documents that are searched together, and words whose codes are kept.
+BLOCK_WORDS, _SLAB_WORDS, _KEPT_WORDS = 500_000, 250_000, 100_000
+#: Places of a seed map for each seed, and bits of the largest map.
+_ROOM, _MAP_BITS = 64, 22
 MATCHES = "doc_id bigint, item_id bigint, distance int, item_words int, start_word bigint, end_word bigint, similarity double"
 
 
 class _Codes(dict):
     """word -> 64-bit code; bounded, and the same on every worker."""
 
-    room = 600_000
+    room = _KEPT_WORDS
 
     def __missing__(self, word: str) -> int:
         code = xxhash.xxh64_intdigest(word) or 1
@@ -120,7 +121,8 @@ class _Class:
     gram: int
     steps: int
     seeds: np.ndarray
-    seen: np.ndarray  # a bit map over the seeds' low bits
+    seen: np.ndarray  # a map over the seeds' leading bits
+    shift: int  # bits that it leaves out
     keys: np.ndarray  # walks x entries, sorted
     order: np.ndarray  # the entry of each
     item: np.ndarray
@@ -163,16 +165,17 @@ class Items:
             seeds.append(runs[:reach])
             at += len(w)
         keys = walk_keys(np.concatenate(tokens), np.array(starts), np.array(ends), steps)
-        order = np.argsort(keys, axis=1, kind="stable")
+        order = np.argsort(keys, axis=1, kind="stable").astype(np.int32)
         seeds = np.unique(np.concatenate(seeds))
-        seen = np.zeros(1 << _MAP_BITS, bool)
-        seen[(seeds >> np.uint64(64 - _MAP_BITS)).astype(np.int64)] = True
-        return _Class(gram, steps, seeds, seen, np.take_along_axis(keys, order, axis=1), order, np.array(item), np.array(offset))
+        bits = min(_MAP_BITS, (len(seeds) * _ROOM).bit_length())
+        seen = np.zeros(1 << bits, bool)
+        seen[(seeds >> np.uint64(64 - bits)).astype(np.int64)] = True
+        return _Class(gram, steps, seeds, seen, 64 - bits, np.take_along_axis(keys, order, axis=1), order, np.array(item), np.array(offset))
 
     def _candidates(self, tokens: np.ndarray, doc_ends: np.ndarray, c: _Class) -> np.ndarray:
         """Unique rows (item, place where the item's first word would be, document of the hit). The place may lie before the document."""
         runs = grams(tokens, c.gram)
-        place = np.flatnonzero(c.seen[(runs >> np.uint64(64 - _MAP_BITS)).astype(np.int64)])
+        place = np.flatnonzero(c.seen[(runs >> np.uint64(c.shift)).astype(np.int64)])
         known = np.minimum(np.searchsorted(c.seeds, runs[place]), len(c.seeds) - 1)
         place = place[c.seeds[known] == runs[place]]
         place = place[place + c.gram <= doc_ends[np.searchsorted(doc_ends, place, side="right")]]
@@ -228,9 +231,9 @@ def _searched(items: Items):
 
         ids, docs, held = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids.append(doc_id)
-                docs.append(codes(text))
+                docs.append(codes(text.as_py()))  # one text at a time
                 held += len(docs[-1])
                 if held >= _SLAB_WORDS:
                     yield found(ids, docs)
