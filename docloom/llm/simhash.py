@@ -21,6 +21,8 @@ _SLAB = 1 << 16
 _COUNTED, _COMMON = 8_000, 200_000
 #: Rounds in which each class meets some others of each of its shingles, and how many, before all pairs that are still open.
 _ROUNDS, _SOME = 2, 8
+#: Shingles before each one of a class that say whether a pair has met already.
+_BEFORE = 4
 #: Longs of the odd sketch of a shingle set [Mitzenmacher, Pagh, Pham 2014].
 WIDE = 8
 
@@ -363,7 +365,7 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
         roots = components(links, "a", "b").select(F.col("node").alias("id"), "root")
         rooted = cut(crowd.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
         mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
-        still = cut(rooted.join(mixed, "h").join(classes.select("id", "odd"), "id"), "open")
+        still = cut(_with_earlier(rooted.join(mixed, "h").join(classes.select("id", "odd"), "id")), "open")
         more = likely(_open_pairs(still, similarity, turn if turn < _ROUNDS else None))
         discard(rooted, still)
         links = links.unionByName(more)
@@ -374,21 +376,29 @@ def _similar(docs: DataFrame, words_per_shingle: int, similarity: float, max_bit
     return rows.select("doc_id", "key", "id").join(groups, "id").withColumn("component_id", F.col("first.doc_id"))
 
 
+def _with_earlier(places: DataFrame) -> DataFrame:
+    """places with earlier: the last shingles that the same class has before each."""
+    return places.withColumn("earlier", F.collect_list("h").over(Window.partitionBy("id").orderBy("at").rowsBetween(-_BEFORE, -1)))
+
+
 def _open_pairs(still: DataFrame, similarity: float, turn: int | None) -> DataFrame:
     """Pairs (a, b) of classes in different groups that share a shingle h and that no bound rules out: each class with
     the _SOME that `turn` picks by hash for each of its shingles, so rows grow in proportion, or all of them if turn is None.
 
-    still: (h, id, n, at: the place of h in its prefix, index: whether that is in its index part, root, odd).
+    A pair is made where no shingle just before this one has made it: what holds for it at one place holds at all earlier ones,
+    so the first shared one makes it, and of the many others that near copies share few do.
+
+    still: (h, id, n, at: the place of h in its prefix, index: whether that is in its index part, root, odd, earlier).
     """
-    fields = ["id", "n", "at", "root", "odd", "index"]
+    fields = ["id", "n", "at", "root", "odd", "index", "earlier"]
     end = lambda x: [F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in fields[1:]]]
     other = still
     if turn is not None:
         rank = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64(F.lit(turn), "h", "id"), "id"))  # ranks beyond the bound don't leave their task
-        other = still.withColumn("rank", rank).where(f"rank <= {_SOME}").drop("rank")
+        other = _with_earlier(still.withColumn("rank", rank).where(f"rank <= {_SOME}").drop("rank", "earlier"))  # earlier ones that were picked, too
     both = (still if turn is not None else still.where("index")).select("h", *end("a")).join(other.select("h", *end("b")), "h")
     # the smaller set has the shingle in its index part, so what most sets share far back brings no pairs together
-    is_open = f"root_a <> root_b and {_reaches(similarity)} and if(n_a < n_b or n_a = n_b and a < b, index_a, index_b) and {_may_be(similarity, 'odd')}"
+    is_open = f"root_a <> root_b and {_reaches(similarity)} and if(n_a < n_b or n_a = n_b and a < b, index_a, index_b) and {_may_be(similarity, 'odd')} and not arrays_overlap(earlier_a, earlier_b)"
     found = both.where(is_open if turn is not None else f"(n_a < n_b or n_a = n_b and a < b) and {is_open}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

@@ -46,3 +46,17 @@ def test_candidates_are_checked_without_sorting_their_words(monkeypatch):
     edited = " ".join("other" if i in (3, 20) else w for i, w in enumerate(item.split()))
     docs = [decontamination.codes(t) for t in (f"a b {item} c", edited, "w1 w2 w3 w4 w5")]
     assert items.matches(docs) == [(0, 0, 0, 2, 42), (1, 0, 2, 0, 40)]
+
+
+def test_near_copies_meet_at_the_first_shingles_they_share(spark, monkeypatch):
+    """Twenty classes with thirty shingles in common made each pair thirty times; pairs stay the same, and few are made again."""
+    field = "h long, id long, n int, at int, index boolean, root long, odd array<long>, earlier array<long>"
+    own = lambda i: i % 3 + 1  # noqa: E731  some have shingles of their own between the common ones
+    places = [[h if h % 7 else 1000 * own(i) + h for h in range(1, 31)] for i in range(20)]
+    frame = lambda before: spark.createDataFrame([(h, i, 400, at, True, i, [0] * 8, p[max(0, at - before) : at]) for i, p in enumerate(places) for at, h in enumerate(p)], field)
+    monkeypatch.setattr(type(spark.range(0)), "distinct", lambda self: self)
+    for turn, most in ((None, 190), (0, 1_000)):
+        new, plain = (simhash._open_pairs(frame(before), 0.8, turn).collect() for before in (4, 0))
+        assert set(new) == set(plain) and len(set(new)) <= 190
+        assert len(set(new)) <= len(new) <= most
+    assert len(simhash._open_pairs(frame(4), 0.8, None).collect()) == 190
