@@ -33,22 +33,34 @@ def usable(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
 
 
 def _best(k: int):
-    """The k best vectors of a block for each query of a block."""
+    """The k best vectors of a block for each query of a block: single precision rules out what is too far, doubles decide among the rest."""
 
     def best(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"q_id": [], "id": [], "c": []}).astype({"q_id": "int64", "id": "int64", "c": "float64"})
         if queries.empty or vectors.empty:
             return empty
         q_id, ids, v = queries["q_id"].to_numpy(np.int64), vectors["of"].to_numpy(np.int64), _units(vectors["vv"])
+        single = v.astype(np.float32).T
+        slack = 2 * (v.shape[1] + 4) * 2.0**-23  # more than two products of unit vectors in single precision can be off
         out = []
         for at in range(0, len(q_id), 256):
-            c = _units(queries["qv"].iloc[at : at + 256]) @ v.T
-            c[q_id[at : at + 256, None] == ids[None, :]] = -np.inf
-            keep = min(k, len(ids))
-            edge = -np.partition(-c, keep - 1, axis=1)[:, keep - 1 : keep]
-            row, col = np.nonzero((c >= edge - 1e-9) & np.isfinite(c))  # with all that tie for the last place
-            out.append(pd.DataFrame({"q_id": q_id[at + row], "id": ids[col], "c": c[row, col]}))
-        return pd.concat(out, ignore_index=True)
+            q = _units(queries["qv"].iloc[at : at + 256])
+            c = q.astype(np.float32) @ single
+            some = c[:, : max(k, 2048)].copy()  # the k-th best of some is no better than that of all
+            some[q_id[at : at + 256, None] == ids[None, : some.shape[1]]] = -np.inf
+            bound = np.partition(some, -k, axis=1)[:, -k] if some.shape[1] >= k else np.full(len(q), -np.inf)
+            for i, own in enumerate(q_id[at : at + 256]):
+                col = np.flatnonzero(c[i] >= bound[i] - slack)
+                col = col[ids[col] != own]
+                if not len(col):
+                    continue
+                near = v[col] @ q[i]
+                order = np.lexsort((ids[col], -near))
+                col, near = col[order], near[order]
+                # with what ties for the last place, but of equal cosines the first k ids are enough
+                held = (near >= near[min(k, len(col)) - 1] - 1e-9) & (np.arange(len(col)) - np.searchsorted(-near, -near) < k)
+                out.append((np.full(held.sum(), own), ids[col[held]], near[held]))
+        return pd.DataFrame(dict(zip(("q_id", "id", "c"), map(np.concatenate, zip(*out, strict=True)), strict=True))) if out else empty
 
     return best
 
@@ -73,6 +85,27 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, n_vectors: int, n_qu
     return _ranked(found, k)
 
 
+def nearest_of_all(vectors: DataFrame, k: int, n_vectors: int) -> DataFrame:
+    """(q_id, id, c, rank) as nearest() gives them, with every vector as a query.
+
+    vectors: id, v; n_vectors is about how many there are. Each pair of blocks meets once, in a task that holds the two blocks and
+    looks both ways; all pairs are looked at, so the time grows with the square of the vectors.
+    """
+    parts = max(1, -(-n_vectors // VECTORS), min(6, n_vectors // 1000))
+    other = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    v = vectors.select(F.col("id").alias("of"), F.col("v").alias("vv"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part")).withColumn("other", other)
+    best = _best(k)
+
+    def both_ways(block: pd.DataFrame) -> pd.DataFrame:
+        low, high = block[block["part"] == block["low"]], block[block["part"] == block["high"]]
+        asked = lambda rows: rows[["of", "vv"]].set_axis(["q_id", "qv"], axis=1)
+        found = best(asked(low), high)
+        return found if (block["low"] == block["high"]).all() else pd.concat([found, best(asked(high), low)], ignore_index=True)
+
+    pairs = v.select("of", "vv", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    return _ranked(pairs.groupBy("low", "high").applyInPandas(both_ways, "q_id bigint, id bigint, c double"), k)
+
+
 def fit_centres(vectors: DataFrame, lists: int, sample: int = SAMPLE, rounds: int = 8, seed: int = 5) -> np.ndarray:
     """Unit vectors, at most `lists`, around which others lie: spherical k-means on at most `sample` vectors. vectors: v."""
     n = vectors.count()

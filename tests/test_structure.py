@@ -195,3 +195,31 @@ def test_postings_are_dealt_by_text(spark):
     assert rows(out, "stem", "doc_id", "positions") == rows(spark.createDataFrame([("run", 1, [0, 1, 2]), ("a", 2, [0]), ("run", 2, [1])], "stem string, doc_id long, positions array<int>"), "stem", "doc_id", "positions")
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
     assert [line.count("word") for line in plan.splitlines() if "Exchange" in line] == [0, 0]
+
+
+@pytest.mark.parametrize("size", [20, 1000])
+def test_every_vector_is_asked(spark, monkeypatch, size):
+    """Blocks meet once and look both ways; of many equal vectors the smallest ids come first, and itself is left out."""
+    monkeypatch.setattr(vector_index, "VECTORS", size)
+    x = np.random.default_rng(6).normal(size=(90, 6))
+    x[40:60] = x[40]
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    c = np.round(units @ units.T, 9)
+    want = {(q, rank + 1, i) for q in range(90) for rank, i in enumerate(sorted((i for i in range(90) if i != q), key=lambda i: (-c[q, i], i))[:4])}
+    assert {(r.q_id, r["rank"], r.id) for r in vector_index.nearest_of_all(v, 4, 90).collect()} == want
+
+
+def test_every_vector_has_a_vote(spark, tmp_path):
+    """nearest_label_vote asks every vector of the table, not one in fifty; votes that tie go to the smaller label, none last."""
+    import duckdb
+
+    from docloom.plans.queries import ORACLE_SQL, QUERIES
+
+    data = [(i, [float(a) for a in r], None if i % 4 == 0 else i % 4) for i, r in enumerate(np.random.default_rng(8).normal(size=(120, 5)))]
+    spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    got = sorted((tuple(r) for r in QUERIES["nearest_label_vote"](spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(duck.execute(ORACLE_SQL["nearest_label_vote"]).fetchall(), key=str)
+    assert [r[0] for r in sorted(got)] == list(range(120))
