@@ -246,3 +246,22 @@ def test_forty_pages_hold_the_whole_table(spark, tmp_path, name):
         assert len(pairs) == len(got) == sum(a % 40 == b % 40 for a in range(3400) if a // 40 % 10 == 1 for b in range(3400) if b // 40 % 10 != 1)
     else:
         assert {r[names.index("page_id")] for r in got} == set(range(40))
+
+
+def test_pairs_of_one_page_are_dealt_to_many_tasks(spark, monkeypatch):
+    """Pairs of one page are made in as many tasks as they take, each once; equal boxes keep all their rows."""
+    for name, n in (("_SIDE", 16), ("_LIST", 3), ("_TASK_PAIRS", 200)):
+        monkeypatch.setattr(spatial, name, n, raising=False)
+    at = lambda i: (float(i % 7), float(i % 3), float(i % 7 + 4), float(i % 3 + 5))
+    data = [(1, i, at(i)) for i in range(120)] + [(2, i, at(i)) for i in range(5)] + [(1, 7, at(7)), (1, 500, None), (2, None, at(1)), (None, 501, at(1))]
+    b = spark.createDataFrame(data, f"page int, id int, {BOX}")
+    low, high = b.where("id < 60"), b.where("id >= 60 or id is null or page = 2")
+    measures = lambda x, y: [g.corner_distance(x, y).alias("far")]
+    got = spatial.measured_pairs(low, high, ["page"], measures, F.col("far") < 4)
+    one = [r for r in data if r[1] is not None and r[1] < 60 and r[0] and r[2]]
+    other = [r for r in data if (r[1] is None or r[1] >= 60 or r[0] == 2) and r[0] and r[2]]
+    far = lambda p, q: ((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** 0.5
+    want = [(p, i, j, far(x, y)) for p, i, x in one for q, j, y in other if p == q and far(x, y) < 4]
+    assert rows(got, "page", "a_id", "b_id", "far") == sorted(want, key=str)
+    used = got.select(F.spark_partition_id().alias("k")).distinct().count()
+    assert used > 10
