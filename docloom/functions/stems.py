@@ -1,11 +1,15 @@
 """English stems by Porter's algorithm [Porter 1980], as SQL expressions that Spark and DuckDB both read.
 
 Each step is one expression over a word w. Words of one or two letters, and
-those with anything but a to z, are their own stems.
+those with anything but a to z, are their own stems. `porter` does the same
+for one word in Python, for folds over whole texts that keep the stems they
+have seen; a test holds the two against each other.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,3 +80,61 @@ def stems_sql(words: str, word: str = "word", stem: str = "stem") -> str:
     for step in steps("regexp_matches"):
         out = f"select * replace (case when not regexp_matches({word}, '^[a-z]+$') then w else {step} end as w) from ({out})"
     return f"select * exclude (w), w as {stem} from ({out})"
+
+
+_HAS = {name: re.compile(pattern).search for name, pattern in {"m0": _M0, "m1": _M1, "more": _MORE, "vowel": _VOWEL, "cvc": _CVC, "st": "[st]$", "ss": ".(ss|i)es$", "s": ".[^s]s$", "e": "(at|bl|iz)$", "double": "[^aeiouylsz]$"}.items()}
+_BY_LENGTH = lambda endings: sorted(endings, key=lambda e: (-len(e), e))
+_STEPS_2_3 = [(endings, _BY_LENGTH(endings)) for endings in (ENDINGS_2, ENDINGS_3)]
+_STEP_4 = [*_BY_LENGTH(ENDINGS_4), "ion"]
+
+
+def porter(w: str) -> str:
+    """The stem of one word, by the steps of steps()."""
+    has = _HAS
+    if len(w) < 3 or not (w.isascii() and w.isalpha() and w.islower()):
+        return w
+    if w[0] == "y":
+        w = "Y" + w[1:]
+    if has["ss"](w):
+        w = w[:-2]
+    elif has["s"](w):
+        w = w[:-1]
+    if len(w) >= 3:
+        cut = None
+        if w.endswith("eed"):
+            if has["m0"](w[:-3]):
+                w = w[:-1]
+        elif w.endswith("ed") and has["vowel"](w[:-2]):
+            cut = w[:-2]
+        elif w.endswith("ing") and has["vowel"](w[:-3]):
+            cut = w[:-3]
+        if cut is not None:
+            if has["e"](cut):
+                w = cut + "e"
+            elif cut[-1:] == cut[-2:-1] and has["double"](cut):
+                w = cut[:-1]
+            else:
+                w = cut + "e" if has["cvc"](cut) else cut
+    if len(w) > 2 and w[-1] == "y" and has["vowel"](w[:-1]):
+        w = w[:-1] + "i"
+    for endings, order in _STEPS_2_3:
+        if len(w) >= 3:
+            for e in order:
+                if w.endswith(e):
+                    if has["m0"](w[: -len(e)]):
+                        w = w[: -len(e)] + endings[e]
+                    break
+    if len(w) >= 3:
+        for e in _STEP_4:
+            if w.endswith(e):
+                before = w[: -len(e)]
+                if has["more"](before) and (e != "ion" or has["st"](before)):
+                    w = before
+                break
+    if len(w) > 2 and w[-1] == "e":
+        before = w[:-1]
+        if has["more"](before) or (has["m1"](before) and not has["cvc"](before)):
+            w = before
+    if len(w) > 2 and w.endswith("ll") and has["more"](w):
+        w = w[:-1]
+    return "y" + w[1:] if w[:1] == "Y" else w

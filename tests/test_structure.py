@@ -223,3 +223,38 @@ def test_every_vector_has_a_vote(spark, tmp_path):
     got = sorted((tuple(r) for r in QUERIES["nearest_label_vote"](spark, str(tmp_path)).collect()), key=str)
     assert got == sorted(duck.execute(ORACLE_SQL["nearest_label_vote"]).fetchall(), key=str)
     assert [r[0] for r in sorted(got)] == list(range(120))
+
+
+def test_stem_of_one_word_equals_the_steps(spark):
+    """porter() gives what the SQL steps give: the author's words, and made ones with each ending."""
+    from docloom.functions import stems as st
+
+    r, ends = random.Random(3), [*st.ENDINGS_2, *st.ENDINGS_3, *st.ENDINGS_4, "ion", "sion", "tion", "ed", "ing", "eed", "s", "ies", "sses", "y", "e", "ll", ""]
+    words = sorted({"".join(r.choice("aeiouybcdlrstzx") for _ in range(r.randint(0, 5))) + e + r.choice(["", "", *ends]) for e in ends for _ in range(40)} | {"Ab", "naïve", "it", "ab c"} | set(STEMS))
+    got = spark.createDataFrame([(w, st.porter(w)) for w in words], "word string, got string").withColumn("want", F.expr(stem_of("word")))
+    assert got.where("got <> want").collect() == []
+
+
+@pytest.mark.parametrize("at_once", [1, 500_000])
+def test_a_text_is_folded_to_postings(spark, tmp_path, monkeypatch, at_once):
+    """The index gets a row for each stem of a document, whatever the batches: no row for each of its words leaves the fold."""
+    monkeypatch.setattr(text_index, "_WORDS", at_once, raising=False)
+    data = [(2, "Runs run; running \u0130 K\u212aing"), (1, "a run"), (3, None), (4, "!"), (2, "cat run"), (None, "cats cat"), (5, "ABLE able")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    want = [(1, "a", [0]), (1, "run", [1]), (2, "cat", [0]), (2, "ing", [4]), (2, "k", [3]), (2, "run", [0, 1, 1, 2]), (5, "abl", [0, 1]), (None, "cat", [0, 1])]
+    assert sorted((tuple(r) for r in text_index.postings(docs).select("doc_id", "stem", "positions").collect()), key=str) == sorted(want, key=str)
+    text_index.write_index(docs, f"{tmp_path}/i", parts=3)
+    assert sorted((tuple(r) for r in text_index.read_index(spark, f"{tmp_path}/i").select("doc_id", "stem", "positions").collect()), key=str) == sorted(want, key=str)
+    assert "posexplode" not in text_index.postings(docs)._jdf.queryExecution().toString()
+
+
+def test_search_looks_up_asked_stems_only(spark, tmp_path):
+    """Only rows of the index with an asked stem go into the join; phrases are found where stems repeat, at a text's start and end."""
+    docs = spark.createDataFrame([(1, "run cat run cat dog"), (2, "dog cat run"), (3, "cat dog run cat"), (4, "bird")], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "cat run cat"), (2, "cats dogs"), (3, "run"), (4, "")], "query_id long, text string")
+    text_index.write_index(docs, f"{tmp_path}/i", parts=4)
+    got = text_index.search(text_index.read_index(spark, f"{tmp_path}/i"), asked)
+    want = [(1, 1, 4, True), (1, 2, 2, False), (1, 3, 3, False), (2, 1, 3, True), (2, 2, 2, False), (2, 3, 3, True), (3, 1, 2, True), (3, 2, 1, True), (3, 3, 1, True)]
+    assert rows(got, "query_id", "doc_id", "n_hits", "phrase") == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 3
